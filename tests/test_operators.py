@@ -1,0 +1,235 @@
+"""Operators on small frames."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierline.functions.json import text_distinct
+from tierline.functions.stamps import stamp
+from tierline.operators import clean, counts, gates, keyed, records
+from tierline.schemas import GOLD, PAYLOAD_FIELDS, SILVER
+
+T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+
+
+def _payloads(spark, *payloads):
+    rows = [(1, n, p) for n, p in enumerate(payloads)]
+    return spark.createDataFrame(rows, "page long, pos int, payload string")
+
+
+def test_parse_payload(spark):
+    rows = clean.parse_payload(
+        _payloads(
+            spark,
+            '{"id":"a","latitude":-12.50,"extra":1,"name":{"x":1}}',
+            "{bad",
+            '["a"]',
+            '{"id":"a","id":"b"}',
+        )
+    )
+    assert rows.columns == list(PAYLOAD_FIELDS)
+    got = [(r.id, r.name, r.latitude, r.city) for r in rows.collect()]
+    assert got == [("a", '{"x":1}', "-12.5", None), (None,) * 4, (None,) * 4, ("b", None, None, None)]
+
+
+def test_silver_schema_and_malformed_payload(spark):
+    silver = clean.silver_rows(_payloads(spark, "{bad"), T1)
+    assert silver.dtypes == [(f.name, f.dataType.simpleString()) for f in SILVER.fields]
+    row = silver.first()
+    assert (row.id, row.country, row.state_province, row.city) == (None,) + ("Not Informed",) * 3
+    assert row.full_address == "" and row.brewery_type is None
+
+
+def test_gold_counts_null_and_blank_keys(spark):
+    rows = [("A", "", None), ("A", None, None), ("A", "x", "t")]
+    silver = spark.createDataFrame(rows, "country string, state_province string, brewery_type string")
+    gold = counts.gold_counts(counts.as_stored(silver))
+    assert gold.columns + ["processed_at"] == GOLD.fieldNames()
+    assert sorted(map(tuple, gold.collect()), key=str) == [("A", "x", "t", 1), ("A", None, None, 2)]
+
+
+def test_quarantine_and_accepted_are_complements(spark):
+    keys = ["id", "city"]
+    df = _payloads(spark, '{"id":"a","city":null}', '{"id":"b"}', '{"id":null,"city":"x"}', "{bad", "[]", None)
+    refused = records.quarantine(df, keys)
+    assert [r.pos for r in records.accepted(df, keys).collect()] == [0]
+    assert {r.pos: (r.missing_keys, r.reason) for r in refused.collect()} == {
+        1: ("city", "missing keys"),
+        2: ("", "null id"),
+        3: (None, "malformed"),
+        4: (None, "malformed"),
+        5: (None, "malformed"),
+    }
+
+
+def test_key_check(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string")
+    assert {tuple(r) for r in keyed.key_check(df, "id").collect()} == {("b", 2, "duplicate key"), (None, 1, "null key")}
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    newest = keyed.latest_per_key(df, "k", [F.desc("id")])
+    assert sorted(r.id for r in newest.collect()) == [997, 998, 999]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange")[1]
+
+
+def _state(spark, rows):
+    df = spark.createDataFrame(rows, "id_api string, payload string, first string, last string")
+    return df.select(
+        "id_api",
+        "payload",
+        F.col("first").cast("timestamp").alias("ingested_at"),
+        F.col("last").cast("timestamp").alias("updated_at"),
+    )
+
+
+def _batch(spark, rows, as_of=T2):
+    return spark.createDataFrame(rows, "id_api string, payload string").withColumn("updated_at", stamp(as_of))
+
+
+OLD, NEW = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+STORED = [
+    ("same", '{"x":1,"y":2}', OLD, OLD),
+    ("changed", '{"x":1}', OLD, OLD),
+    ("missing", '{"x":1}', OLD, OLD),
+]
+BATCH = [("same", '{ "y": 2, "x": 1.0 }'), ("changed", '{"x":2}'), ("new", '{"x":3}')]
+MERGED = {
+    ("same", '{"x":1,"y":2}', OLD, OLD),
+    ("changed", '{"x":2}', OLD, NEW),
+    ("missing", '{"x":1}', OLD, OLD),
+    ("new", '{"x":3}', NEW, NEW),
+}
+
+
+def _rows(df):
+    return {
+        (r[0], r[1], r[2], r[3])
+        for r in df.select(
+            "id_api", "payload", F.col("ingested_at").cast("string"), F.col("updated_at").cast("string")
+        ).collect()
+    }
+
+
+@pytest.mark.parametrize("limit", [keyed.BROADCAST_BYTES, 0])
+def test_upserts_agree(spark, limit):
+    target, batch = _state(spark, STORED), _batch(spark, BATCH)
+    assert _rows(keyed.upsert_changed(target, batch)) == MERGED
+    assert _rows(keyed.upsert_broadcast(target, batch, limit_bytes=limit)) == MERGED
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_upsert_changes_over_layers(spark, broadcast):
+    base = _state(spark, STORED + [("twice", '{"x":0}', OLD, OLD)])
+    newer = _state(spark, [("twice", '{"x":5}', OLD, OLD)])
+    batch = _batch(spark, BATCH + [("twice", '{"x":5}')])
+    keys = batch.select("id_api") if broadcast else None
+    changes = keyed.upsert_changes([base, newer], batch, small_keys=keys)
+    assert {(r.id_api, r.op) for r in changes.collect()} == {("changed", "update"), ("new", "insert")}
+    assert _rows(changes) == {("changed", '{"x":2}', OLD, NEW), ("new", '{"x":3}', NEW, NEW)}
+
+
+def test_upsert_into_nothing(spark):
+    changes = keyed.upsert_changes([], _batch(spark, BATCH))
+    assert {r.op for r in changes.collect()} == {"insert"} and changes.count() == 3
+    assert _rows(keyed.upsert_changed(_state(spark, []), _batch(spark, BATCH))) == {
+        (k, p, NEW, NEW) for k, p in BATCH
+    }
+
+
+def test_upsert_is_idempotent_and_text_compare_is_a_choice(spark):
+    merged = keyed.upsert_changed(_state(spark, STORED), _batch(spark, BATCH))
+    assert _rows(keyed.upsert_changed(merged, _batch(spark, BATCH, datetime(2024, 1, 3)))) == MERGED
+    by_text = keyed.upsert_changed(_state(spark, STORED), _batch(spark, BATCH), distinct=text_distinct)
+    assert ("same", BATCH[0][1], OLD, NEW) in _rows(by_text)
+
+
+def test_broadcast_upsert_moves_no_target_row(spark, tmp_path):
+    _state(spark, STORED).write.parquet(str(tmp_path / "t"))
+    _batch(spark, BATCH).write.parquet(str(tmp_path / "b"))
+    target, batch = (spark.read.parquet(str(tmp_path / n)) for n in "tb")
+    plan = keyed.upsert_broadcast(target, batch)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert plan.count("BroadcastHashJoin") == 3
+
+
+def test_merge_needs_a_format_that_supports_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql(
+        "CREATE TABLE merge_target (id_api string, payload string, ingested_at timestamp, updated_at timestamp) "
+        f"USING parquet LOCATION '{path}'"
+    )
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        keyed.merge_changed(_batch(spark, BATCH), "merge_target")
+    spark.sql("DROP TABLE merge_target")
+
+
+def _stamped(spark, *stamps):
+    return spark.createDataFrame([(s,) for s in stamps], "s string").select(F.col("s").cast("timestamp").alias("ts"))
+
+
+def test_bronze_gate_order(spark):
+    empty, some = _stamped(spark), _stamped(spark, OLD, NEW)
+    verdict = lambda df, cursor: gates.bronze_gate(gates.change_stats(df, "ts", cursor)).first()
+    assert verdict(empty, None).status == "fail"
+    assert verdict(empty, T1).status == "fail"
+    assert verdict(some, T2).status == "skip"
+    assert tuple(verdict(some, T1)) == ("proceed", None, 2, 1)
+    assert verdict(some, None).changed == 2
+
+
+@pytest.mark.parametrize(
+    "up, down, status",
+    [((), (OLD,), "fail"), ((OLD,), (OLD,), "skip"), ((OLD,), (NEW,), "skip"), ((NEW,), (OLD,), "proceed"),
+     ((OLD,), (), "proceed"), ((OLD,), None, "proceed")],
+)
+def test_delta_gate(spark, up, down, status):
+    downstream = None if down is None else _stamped(spark, *down)
+    verdict = gates.delta_gate(_stamped(spark, *up), "ts", downstream, "ts")
+    row = verdict.withColumn("cursor", F.col("cursor").cast("string")).first()
+    assert row.status == status
+    if not down:
+        assert row.cursor == "1900-01-01 00:00:00"
+
+
+def test_delta_filter_is_strict_and_pushed(spark, tmp_path):
+    _stamped(spark, OLD, NEW).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert gates.delta_filter(df, "ts", T1).count() == 1
+    assert gates.delta_filter(df, "ts", T2).count() == 0
+    assert gates.delta_filter(df, "ts", None).count() == 2
+    assert "GreaterThan(ts," in gates.delta_filter(df, "ts", T1)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_delta_filter_pushes_on_ntz(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = gates.delta_filter(events, "ts", T1)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ts,2024-01-01T00:00)" in plan
+
+
+def test_reconcile(spark):
+    df = _stamped(spark, OLD, NEW, NEW)
+    assert gates.reconcile(df, "ts", 2).first().status == "proceed"
+    assert gates.reconcile(df, "ts", 3).first().status == "fail"
+    assert gates.reconcile(df, "ts", 0).first().status == "skip"
+    assert tuple(gates.reconcile(_stamped(spark), "ts", 1).first()) == ("fail", 1, 0)
+
+
+def test_preflight(spark):
+    df = spark.range(3)
+    checks = gates.preflight({"a": (df, ["id"]), "b": (df, ["x"]), "c": (df.limit(0), [])}).collect()
+    assert [(r.input, r.missing_columns, r.n_rows, r.status) for r in checks] == [
+        ("a", "", 3, "ok"),
+        ("b", "x", 3, "missing columns"),
+        ("c", "", 0, "empty"),
+    ]
+
+
+def test_gold_counts_shuffles_once(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = counts.gold_counts(events, ["event_type"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("partial_count") == 1
+    assert "ReadSchema: struct<event_type:string>" in plan

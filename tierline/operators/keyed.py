@@ -140,3 +140,24 @@ def upsert_changes(
         "updated_at",
         F.when(stored, F.lit("update")).otherwise(F.lit("insert")).alias("op"),
     )
+
+
+def merge_changed(batch: DataFrame, table: str, key: str = KEY, distinct: Distinct = json_distinct) -> None:
+    """The same upsert as MERGE INTO, for catalog tables whose format supports it.
+
+    Plain Parquet tables do not; :class:`tierline.sources.bronze.BronzeStore` is for those.
+    """
+    target = table.rpartition(".")[2]
+    stored, new = F.col(f"{target}.payload"), F.col("b.payload")
+    source = batch.select(key, "payload", "updated_at").alias("b")
+    merge = source.mergeInto(table, F.col(f"{target}.{key}") == F.col(f"b.{key}"))
+    merge.whenMatched(distinct(stored, new)).update(
+        {"payload": new, "updated_at": F.col("b.updated_at")}
+    ).whenNotMatched().insert(
+        {
+            key: F.col(f"b.{key}"),
+            "payload": new,
+            "ingested_at": F.col("b.updated_at"),
+            "updated_at": F.col("b.updated_at"),
+        }
+    ).merge()

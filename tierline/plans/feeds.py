@@ -4,13 +4,20 @@ Customers and suppliers become JSON records with the gaps a real feed has: nulls
 blanks, stray spaces and case, unreadable numbers.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierline.schemas import PAGE_SIZE, PAYLOAD_FIELDS
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,24 +220,27 @@ union all select 'events', '', count(*), case when count(*) = 0 then 'empty' els
         f"select * from ({_stored(_CUSTOMERS)}) where country = 'Asia'",
         f"select * from ({_stored(_SUPPLIERS)}) where country = 'Asia'",
     ),
+    "lake_table": f"""
+select run_id, country, count(*) as n_rows, count(latitude) as n_located
+from ({_runs("country, latitude", _stored(_CUSTOMERS), _stored(_SUPPLIERS))}) group by 1, 2""",
     "latest_run": _stored(_SUPPLIERS),
     "gold_snapshot": f"select *, {_FIRST_SECONDS} as processed_at from ({_gold(_CUSTOMERS)})",
     "run_id": "select event_id, strftime(ts, '%Y%m%d_%H%M') as run_id from events",
-    "bronze_stage_state": f"""
+    "bronze_stage": f"""
 select id as id_api, name, address_2,
        case when id like 's%' then {_SECOND_SECONDS} else {_FIRST_SECONDS} end as ingested_at,
        case when id in (select id from ({_SECOND_DELTA})) then {_SECOND_SECONDS}
             else {_FIRST_SECONDS} end as updated_at
 from ({_CURRENT})""",
-    "silver_stage_history": f"""
+    "silver_stage": f"""
 select *, case when run_id = '{_RUN_1}' then {_FIRST_SECONDS} else {_SECOND_SECONDS} end as ingested_at
 from ({_runs(_SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA))})""",
-    "gold_stage_latest": f"select *, {_SECOND_SECONDS} as processed_at from ({_gold(_SECOND_DELTA)})",
+    "gold_stage": f"select *, {_SECOND_SECONDS} as processed_at from ({_gold(_SECOND_DELTA)})",
     "gold_stage_current": _gold(_CURRENT),
     "medallion": _runs(
         "country, state_province, brewery_type, total_breweries", _gold(_CUSTOMERS), _gold(_SECOND_DELTA)
     ),
-    "stream_silver_runs": _runs(
+    "stream_silver": _runs(
         _SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA), ("batch_000000000000", "batch_000000000001")
     ),
 }

@@ -1,5 +1,6 @@
 """The registered queries: every operator over whole test tables."""
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -29,11 +30,12 @@ SPLIT = datetime(2024, 1, 16)
 
 
 def query(run: Query) -> Query:
+    """Register under the function's name; a trailing underscore keeps a name free."""
+
     def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
         return run(prepare(spark), sf_dir)
 
-    prepared.__name__ = run.__name__
-    QUERIES[run.__name__] = prepared
+    QUERIES[run.__name__.rstrip("_")] = prepared
     return run
 
 
@@ -310,6 +312,17 @@ def latest_run(spark, sf_dir):
     return lake.read_run(spark, _silver_lake(spark, sf_dir), SILVER).drop("ingested_at")
 
 
+@query
+def lake_table(spark, sf_dir):
+    """The two silver runs as a catalog table, read by SQL; publishing twice is harmless."""
+    base, table = _silver_lake(spark, sf_dir), f"tierline_{uuid.uuid4().hex}.silver"
+    for _ in range(2):
+        lake.publish(spark, table, base, SILVER, LOCATION_COLUMNS, new_folder(spark, "database"))
+    return spark.sql(
+        f"SELECT run_id, country, count(*) AS n_rows, count(latitude) AS n_located FROM {table} GROUP BY ALL"
+    )
+
+
 @query
 def gold_snapshot(spark, sf_dir):
     base = new_folder(spark, "gold")
@@ -345,7 +358,7 @@ def _json_field(name: str):
 
 
 @query
-def bronze_stage_state(spark, sf_dir):
+def bronze_stage_(spark, sf_dir):
     layers = _loaded(spark, sf_dir, "bronze")
     state = BronzeStore(spark, layers.bronze).state()
     return state.select(
@@ -354,13 +367,13 @@ def bronze_stage_state(spark, sf_dir):
 
 
 @query
-def silver_stage_history(spark, sf_dir):
+def silver_stage_(spark, sf_dir):
     layers = _loaded(spark, sf_dir, "silver")
     return lake.read_runs(spark, layers.silver, SILVER).withColumn("ingested_at", _seconds("ingested_at"))
 
 
 @query
-def gold_stage_latest(spark, sf_dir):
+def gold_stage_(spark, sf_dir):
     layers = _loaded(spark, sf_dir, "silver")
     gold_stage(spark, layers, SECOND_RUN, SECOND)
     return lake.read_run(spark, layers.gold, GOLD).withColumn("processed_at", _seconds("processed_at"))
@@ -385,7 +398,7 @@ def medallion(spark, sf_dir):
 
 
 @query
-def stream_silver_runs(spark, sf_dir):
+def stream_silver_(spark, sf_dir):
     """Bronze load, stream, stream again with nothing new, second load, stream."""
     layers = Layers.under(new_folder(spark, "stream"))
     store = BronzeStore(spark, layers.bronze)

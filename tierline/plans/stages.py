@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tierline.functions.stamps import EPOCH, stamp, utc
 from tierline.operators import clean, counts, gates, keyed, records
@@ -48,12 +48,35 @@ class Outcome:
     rows: int = 0
 
 
-def _cursor(stamps: DataFrame, ts: str) -> datetime | None:
-    """High-water mark as an aware datetime, whatever zones session and machine use."""
-    micros = stamps.agg(F.unix_micros(F.max(ts))).first()[0]
+def _moment(micros: int | None) -> datetime | None:
+    """Microseconds since the epoch as an aware datetime: a stamp that leaves Spark this
+    way does not depend on session or machine time zone."""
     return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
+def _after(cursor: datetime | None, as_of: datetime) -> datetime | None:
+    """The cursor, once the run's own stamp is known to lie after it: stamps grow from
+    run to run, so the last run alone holds a layer's high-water mark."""
+    if cursor is not None and utc(as_of) <= cursor:
+        raise ValueError(f"as_of {utc(as_of)} is not after the last run's {cursor}")
+    return cursor
+
+
+def _pass_gate(stage: str, gate: DataFrame) -> tuple[Outcome | None, datetime | None]:
+    """Ask a delta gate: the outcome if it skips, and the cursor to read from."""
+    verdict = gate.select("status", "reason", F.unix_micros(F.col("latest_downstream"))).first()
+    if verdict[0] == "fail":
+        raise StageFailed(f"{stage}: {verdict[1]}")
+    skipped = Outcome(stage, "skip", verdict[1]) if verdict[0] == "skip" else None
+    return skipped, _moment(verdict[2])
+
+
+def _last_before(spark: SparkSession, base: str, schema: T.StructType, run_id: str) -> DataFrame:
+    """The last run older than ``run_id``, empty if there is none. Stamps grow from run
+    to run, so a layer's high-water mark is found without opening its history."""
+    return lake.read_runs(spark, base, schema, lake.runs_before(spark, base, run_id)[-1:])
+
+
 def bronze_stage(
     spark: SparkSession,
     layers: Layers,
@@ -71,9 +94,8 @@ def bronze_stage(
     position wins, or the run fails with ``on_duplicate="error"``.
     """
     store = BronzeStore(spark, layers.bronze)
-    cursor = _cursor(store.stamps(run_id, inclusive=False), "updated_at")
-    if cursor is not None and utc(as_of) <= cursor:
-        raise ValueError(f"as_of {as_of} is not after the last load's {cursor}")
+    mark = gates.high_water_mark(store.stamps(run_id, inclusive=False), "updated_at")
+    cursor = _after(_moment(mark.select(F.unix_micros("high_water_mark")).first()[0]), as_of)
 
     size = Observation()
     measured = fetched.observe(size, keyed.row_bytes("payload").alias("bytes"))
@@ -108,15 +130,12 @@ def silver_stage(
     same stamps and bronze is read once.
     """
     store = BronzeStore(spark, layers.bronze)
-    history = lake.read_runs(spark, layers.silver, SILVER, lake.runs_before(spark, layers.silver, run_id))
-    gate = gates.delta_gate(store.stamps(run_id), "updated_at", history, "ingested_at").first()
-    if gate["status"] == "fail":
-        raise StageFailed(f"bronze: {gate['reason']}")
-    if gate["status"] == "skip":
-        return Outcome("silver", "skip", gate["reason"])
-
-    cursor = _cursor(history, "ingested_at")
-    delta = store.changed_since(cursor, upto=run_id)
+    done = _last_before(spark, layers.silver, SILVER, run_id)
+    gate = gates.delta_gate(store.stamps(run_id), "updated_at", done, "ingested_at")
+    skipped, cursor = _pass_gate("silver", gate)
+    if skipped:
+        return skipped
+    delta = store.changed_since(_after(cursor, as_of), upto=run_id)
     written = lake.write_run(
         clean.silver_rows(delta, as_of, blank_as_missing), layers.silver, run_id, LOCATION_COLUMNS
     )
@@ -143,20 +162,16 @@ def gold_stage(
     silver_runs = lake.list_runs(spark, layers.silver)
     if not silver_runs:
         raise lake.NoRuns(f"no runs in {layers.silver}")
-    history = lake.read_runs(spark, layers.silver, SILVER, silver_runs)
-    done = lake.read_runs(spark, layers.gold, GOLD, lake.runs_before(spark, layers.gold, run_id))
-    gate = gates.delta_gate(history, "ingested_at", done, "processed_at").first()
-    if gate["status"] == "fail":
-        raise StageFailed(f"silver: {gate['reason']}")
-    if gate["status"] == "skip":
-        return Outcome("gold", "skip", gate["reason"])
-
+    latest = lake.read_run(spark, layers.silver, SILVER, silver_runs[-1])
+    done = _last_before(spark, layers.gold, GOLD, run_id)
+    skipped, cursor = _pass_gate("gold", gates.delta_gate(latest, "ingested_at", done, "processed_at"))
+    if skipped:
+        return skipped
+    _after(cursor, as_of)
     if scope == "current":
+        history = lake.read_runs(spark, layers.silver, SILVER, silver_runs)
         totals = counts.gold_current(history, [F.desc("run_id")])
     else:
-        latest = lake.read_run(spark, layers.silver, SILVER, silver_runs[-1])
-        if latest.isEmpty():
-            raise StageFailed("silver: the latest run is empty")
         totals = counts.gold_counts(latest)
     written = lake.write_run(totals.withColumn("processed_at", stamp(as_of)), layers.gold, run_id)
     run = lake.read_run(spark, layers.gold, GOLD, lake.run_name(run_id))

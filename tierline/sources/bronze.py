@@ -90,13 +90,12 @@ class BronzeStore:
         return newer.select(*BRONZE.fieldNames())
 
     def stamps(self, run_id: str | None = None, inclusive: bool = True) -> DataFrame:
-        """The stamp column of everything stored, for high-water marks. A file holds
-        few distinct stamps, so the scan reads little more than footers."""
+        """The stamps of the last run, whose latest one is the high-water mark: stamps
+        grow from run to run and a run without changes is not kept."""
         snapshot, changes = self._parts(run_id, inclusive)
-        stamps = self._log(changes).select("updated_at")
-        if snapshot:
-            stamps = self._snapshot(snapshot).select("updated_at").unionByName(stamps)
-        return stamps
+        if snapshot and not changes:
+            return self._snapshot(snapshot).select("updated_at")
+        return self._log(changes[-1:]).select("updated_at")
 
     def stats(self, run_id: str, cursor: datetime | None) -> DataFrame:
         """Stored keys, and rows of ``run_id`` newer than the cursor, as the bronze gate
@@ -115,8 +114,11 @@ class BronzeStore:
         )
 
     def append(self, changes: DataFrame, run_id: str) -> int:
-        """Store one run's inserts and updates; returns their number."""
-        return lake.write_run(changes.select(*BRONZE_CHANGES.fieldNames()), self.changes_path, run_id)
+        """Store one run's inserts and updates, if any; returns their number."""
+        written = lake.write_run(changes.select(*BRONZE_CHANGES.fieldNames()), self.changes_path, run_id)
+        if written == 0:
+            lake.drop_run(self.spark, self.changes_path, run_id)
+        return written
 
     def compact(self, buckets: int | None = None) -> str | None:
         """Fold all changes into a new bucketed snapshot named after the last run.

@@ -3,7 +3,7 @@
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierline.operators.gates import delta_filter
 
@@ -65,6 +65,28 @@ def jdbc_overwrite(
     _write(df, url, table, "overwrite", connection, {"numPartitions": str(connections), "truncate": "true"})
 
 
+def append_once(
+    df: DataFrame, ts: str, stored: DataFrame | None, append: Callable[[DataFrame], None]
+) -> bool:
+    """Append one run's rows unless an earlier try of the run already did.
+
+    ``stored`` is the table as it is now (None: it does not exist yet). All rows of a run
+    share one stamp, so the run is there when as many rows carry it. A part of them means
+    a try broke off: parallel connections commit one by one, so that is an error to
+    resolve in the database, not a reason to append a second copy.
+    """
+    if stored is not None:
+        run = df.agg(F.max(ts).alias("run_stamp"), F.count(F.lit(1)).alias("n"))
+        there = stored.filter(F.col(ts) == run.select("run_stamp").scalar()).agg(F.count(F.lit(1)).alias("there"))
+        found, wanted = there.withColumn("n", run.select("n").scalar()).first()
+        if found == wanted:
+            return False
+        if found:
+            raise RuntimeError(f"{found} of the run's {wanted} rows are already in the table")
+    append(df)
+    return True
+
+
 def jdbc_sink(
     write: Callable[..., None], url: str, table: str, connection: Mapping[str, str] | None = None
 ) -> Callable[[DataFrame], None]:

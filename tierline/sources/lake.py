@@ -46,6 +46,12 @@ def runs_before(spark: SparkSession, base: str, run_id: str) -> list[str]:
     return [r for r in list_runs(spark, base) if r < run_name(run_id)]
 
 
+def drop_run(spark: SparkSession, base: str, run_id: str) -> None:
+    """Remove a run's folder, so it does not count as a run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_path(base, run_id))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_run(df: DataFrame, base: str, run_id: str, partition_by: Sequence[str] = ()) -> int:
     """Write one run's folder and return its row count, without a second job.
 
@@ -82,3 +88,33 @@ def read_run(spark: SparkSession, base: str, schema: T.StructType, run: str | No
     """One run (default: the latest) in the layer's column order."""
     run = run or latest_run(spark, base)
     return read_runs(spark, base, schema, [run]).select(*schema.fieldNames())
+
+
+def publish(
+    spark: SparkSession,
+    table: str,
+    base: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+    database_path: str | None = None,
+) -> DataFrame:
+    """Make a layer queryable as ``database.table``, idempotently.
+
+    Creates what does not exist yet and registers the runs written since the last call;
+    data stays where it is.
+    """
+    database = table.rpartition(".")[0]
+    if database:
+        location = f" LOCATION '{database_path}'" if database_path else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{location}")
+    partitions = ["run_id", *partition_by]
+    types = {f.name: f.dataType.simpleString() for f in schema.fields} | {"run_id": "string"}
+    order = [c for c in types if c not in partitions] + partitions
+    columns = ", ".join(f"{c} {types[c]}" for c in order)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{base}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
