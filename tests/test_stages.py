@@ -1,6 +1,7 @@
 """Incremental scenarios over the three stages."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -186,3 +187,60 @@ def test_stream_hand_over(spark, layers, tmp_path):
     assert told == ["batch_000000000000", "batch_000000000001"]
     rows = lake.read_runs(spark, layers.silver, SILVER).collect()
     assert {(r.run_id[-1], r.id) for r in rows} == {("0", "a"), ("0", "b"), ("1", "late")}
+
+
+def test_no_records_at_all(spark, layers):
+    nothing = spark.createDataFrame([], "page long, pos int, payload string")
+    with pytest.raises(StageFailed, match="table is empty"):
+        bronze_stage(spark, layers, nothing, RUNS[0], TIMES[0])
+    bronze_stage(spark, layers, _fetched(spark, _record("a")), RUNS[0], TIMES[0])
+    assert bronze_stage(spark, layers, nothing, RUNS[1], TIMES[1]).status == "skip"
+
+
+def test_random_loads_against_a_dictionary(spark, layers):
+    """Four random loads, one compaction, against the merge rules in plain Python."""
+    rng = random.Random(7)
+    keys = [f"k{n}" for n in range(60)]
+    model = {}
+    for run, as_of in zip(RUNS, TIMES):
+        items = []
+        for key in rng.sample(keys, 40) + rng.choices(keys, k=10):
+            record = _record(key, rng.choice(["a", "b"]), tags=rng.choice([[1, 2], [2, 1], None]), n=rng.choice([1, 2]))
+            if rng.random() < 0.1:
+                del record["city"]
+            if rng.random() < 0.05:
+                record["id"] = None
+            if rng.random() < 0.05:
+                items.append("{broken")
+                continue
+            fields = list(record.items())
+            rng.shuffle(fields)
+            text = json.dumps(dict(fields), indent=rng.choice([None, 1]))
+            items.append(text.replace('"n": 1', '"n": 1.0') if rng.random() < 0.5 else text)
+        last = {}
+        for text in items:
+            try:
+                record = json.loads(text)
+            except ValueError:
+                continue
+            if "city" in record and record["id"] is not None:
+                last[record["id"]] = record
+        expected = 0
+        for key, record in last.items():
+            old = model.get(key)
+            if old is None:
+                model[key] = (record, run, run)
+            elif old[0] != record:
+                model[key] = (record, old[1], run)
+            else:
+                continue
+            expected += 1
+        assert bronze_stage(spark, layers, _fetched(spark, *items), run, as_of).rows == expected
+        if run == RUNS[1]:
+            BronzeStore(spark, layers.bronze).compact(buckets=3)
+    run_of = {int((t - datetime(1970, 1, 1)).total_seconds()): r for t, r in zip(TIMES, RUNS)}
+    state = BronzeStore(spark, layers.bronze).state().select(
+        "id_api", "payload", F.unix_seconds("ingested_at"), F.unix_seconds("updated_at")
+    )
+    got = {r[0]: (json.loads(r[1]), run_of[r[2]], run_of[r[3]]) for r in state.collect()}
+    assert got == model

@@ -36,8 +36,10 @@ def canonical_json(payload: Column) -> Column:
     it is, so different values never become equal.
     """
     canonical = F.to_json(F.try_parse_json(payload))
-    exact = F.when(~canonical.rlike(_INEXACT_NUMBER), canonical)
-    return F.coalesce(exact, payload)
+    # Bound by the lambda, the parsed text is computed once however often it is used.
+    return F.transform(
+        F.array(canonical), lambda text: F.when(~text.rlike(_INEXACT_NUMBER), text).otherwise(payload)
+    )[0]
 
 
 def json_distinct(left: Column, right: Column) -> Column:

@@ -12,7 +12,7 @@ from tierline.schemas import PAYLOAD, SILVER
 def parse_payload(df: DataFrame, schema: T.StructType | str = PAYLOAD, payload: str = "payload") -> DataFrame:
     """Schema-on-read: the payload's known fields as columns, unknown ones dropped.
 
-    Unreadable text gives a row of NULLs. Fields no later step uses are never parsed.
+    Unreadable text gives a row of NULLs.
     """
     return df.select(F.from_json(payload, schema).alias("data")).select("data.*")
 

@@ -42,11 +42,13 @@ def key_check(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 def _merged(joined: DataFrame, key: str, distinct: Distinct) -> DataFrame:
     is_new = F.col("t._stored").isNull()
     changed = F.col("b._seen").isNotNull() & distinct(F.col("t.payload"), F.col("b.payload"))
-    return joined.select(
+    # A column of its own, so payloads are compared once for both values it decides.
+    take = F.col("_take")
+    return joined.withColumn("_take", is_new | changed).select(
         F.col(key),
-        F.when(is_new | changed, F.col("b.payload")).otherwise(F.col("t.payload")).alias("payload"),
+        F.when(take, F.col("b.payload")).otherwise(F.col("t.payload")).alias("payload"),
         F.when(is_new, F.col("b.updated_at")).otherwise(F.col("t.ingested_at")).alias("ingested_at"),
-        F.when(is_new | changed, F.col("b.updated_at")).otherwise(F.col("t.updated_at")).alias("updated_at"),
+        F.when(take, F.col("b.updated_at")).otherwise(F.col("t.updated_at")).alias("updated_at"),
     )
 
 

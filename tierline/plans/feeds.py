@@ -20,10 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation and region names; both tables have a fixed size."""
-    nation = table(spark, sf_dir, "nation")
-    return nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+def _located(spark: SparkSession, sf_dir: str, entities: DataFrame, nation_key: str) -> DataFrame:
+    """Entities with their nation and region names.
+
+    The small tables are joined on one after the other: the size Catalyst knows of each
+    keeps the entities the streamed side. Joined to each other first, their estimated
+    product could look larger than the entities.
+    """
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return entities.join(nation, F.col(nation_key) == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
 
 
 def _every(n: int, key: Column, value: Column, otherwise: Column) -> Column:
@@ -59,18 +66,14 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per customer, plus its page and position in the feed."""
     key = F.col("c_custkey")
     fields = _record("c", key, F.col("c_name"), F.col("c_mktsegment"))
-    joined = table(spark, sf_dir, "customer").join(
-        places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    joined = _located(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey")
     return joined.select(key, *_paging(key), *[c.alias(n) for n, c in fields.items()])
 
 
 def supplier_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
     fields = _record("s", key, F.col("s_name"), F.lit("SUPPLIER"))
-    joined = table(spark, sf_dir, "supplier").join(
-        places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    joined = _located(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey")
     return joined.select(*_paging(key), *[c.alias(n) for n, c in fields.items()])
 
 
