@@ -186,6 +186,23 @@ def test_bronze_store(spark, tmp_path, compact):
         assert tuple(store.stats("3", T2).first()) == (3, 0)
 
 
+def test_compaction_moves_only_the_changes(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path))
+    _load(spark, store, [(str(i), "{}") for i in range(200)], "1", T1)
+    assert store.pending() == 1 and store.compact() == "run_id=1.b8" and store.pending() == 0
+    _load(spark, store, [(str(i), "[]") for i in range(150, 250)], "2", T2)
+    merged = keyed.overlay(*store.layers())
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "FullOuter" in plan
+    assert store.compact() == "run_id=2.b8"
+    assert len(glob.glob(f"{store.snapshot_path}/run_id=2.b8/*.parquet")) == 8
+    want = {str(i): "{}" if i < 150 else "[]" for i in range(250)}
+    assert _current(store) == want
+    _load(spark, store, [("x", "{}")], "3", T3)
+    assert store.compact(buckets=20) == "run_id=3.b20"
+    assert _current(store) == want | {"x": "{}"}
+
+
 def test_bucketed_snapshot_is_joined_in_place(spark, tmp_path):
     store = BronzeStore(spark, str(tmp_path))
     _load(spark, store, [(str(i), "{}") for i in range(100)], "1", T1)

@@ -198,7 +198,7 @@ def test_no_records_at_all(spark, layers):
 
 
 def test_random_loads_against_a_dictionary(spark, layers):
-    """Four random loads, one compaction, against the merge rules in plain Python."""
+    """Four random loads, compacted after every second, against the merge rules in plain Python."""
     rng = random.Random(7)
     keys = [f"k{n}" for n in range(60)]
     model = {}
@@ -235,9 +235,7 @@ def test_random_loads_against_a_dictionary(spark, layers):
             else:
                 continue
             expected += 1
-        assert bronze_stage(spark, layers, _fetched(spark, *items), run, as_of).rows == expected
-        if run == RUNS[1]:
-            BronzeStore(spark, layers.bronze).compact(buckets=3)
+        assert bronze_stage(spark, layers, _fetched(spark, *items), run, as_of, compact_after=2).rows == expected
     run_of = {int((t - datetime(1970, 1, 1)).total_seconds()): r for t, r in zip(TIMES, RUNS)}
     state = BronzeStore(spark, layers.bronze).state().select(
         "id_api", "payload", F.unix_seconds("ingested_at"), F.unix_seconds("updated_at")

@@ -144,6 +144,19 @@ def upsert_changes(
     )
 
 
+def overlay(base: DataFrame, newer: DataFrame, key: str = KEY) -> DataFrame:
+    """Rows of ``base`` with those of ``newer`` in place of or beside them.
+
+    One full outer join, whose rows stay where a base bucketed by the key has them.
+    """
+    columns = [c for c in base.columns if c != key]
+    joined = base.alias("t").join(newer.withColumn("_newer", F.lit(True)).alias("b"), key, "full_outer")
+    is_newer = F.col("b._newer").isNotNull()
+    return joined.select(
+        key, *[F.when(is_newer, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns]
+    )
+
+
 def merge_changed(batch: DataFrame, table: str, key: str = KEY, distinct: Distinct = json_distinct) -> None:
     """The same upsert as MERGE INTO, for catalog tables whose format supports it.
 

@@ -184,7 +184,7 @@ def upsert_changes(spark, sf_dir):
 
 @query
 def bronze_store(spark, sf_dir):
-    """Load, compact into buckets, merge a batch against the buckets, read the state."""
+    """Load, compact into buckets, merge a batch against them, compact again in place."""
     target, batch = _event_versions(spark, sf_dir)
     store = BronzeStore(spark, new_folder(spark, "bronze"))
 
@@ -195,6 +195,7 @@ def bronze_store(spark, sf_dir):
     store.compact(buckets=8)
     batch = batch.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
     store.append(keyed.upsert_changes(store.layers(), batch), SECOND_RUN)
+    store.compact()
     state = store.state()
     return state.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ingested_at", "updated_at")})
 

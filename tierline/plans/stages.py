@@ -85,13 +85,15 @@ def bronze_stage(
     as_of: datetime,
     required: Sequence[str] = REQUIRED_KEYS,
     on_duplicate: str = "last",
+    compact_after: int | None = None,
 ) -> Outcome:
     """Merge fetched records ``(page, pos, payload)`` into the bronze store.
 
     The records land once in the shared folder: the source is read a single time however
     many jobs follow. Records without the mandatory keys or an id are left out (see
     :func:`tierline.operators.records.quarantine`). For a repeated id the last page and
-    position wins, or the run fails with ``on_duplicate="error"``.
+    position wins, or the run fails with ``on_duplicate="error"``. With ``compact_after``
+    the store is compacted whenever that many change runs wait.
     """
     store = BronzeStore(spark, layers.bronze)
     mark = gates.high_water_mark(store.stamps(run_id, inclusive=False), "updated_at")
@@ -113,6 +115,8 @@ def bronze_stage(
     verdict = gates.bronze_gate(store.stats(run_id, cursor)).first()
     if verdict["status"] == "fail":
         raise StageFailed(f"bronze: {verdict['reason']}")
+    if compact_after and store.pending() >= compact_after:
+        store.compact()
     return Outcome("bronze", verdict["status"], verdict["reason"], verdict["changed"])
 
 

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierline.functions.stamps import stamp
+from tierline.operators import keyed
 from tierline.operators.gates import delta_filter
 from tierline.operators.keyed import KEY, latest_per_key
 from tierline.schemas import BRONZE, BRONZE_CHANGES
@@ -114,47 +115,57 @@ class BronzeStore:
         )
 
     def append(self, changes: DataFrame, run_id: str) -> int:
-        """Store one run's inserts and updates, if any; returns their number."""
-        written = lake.write_run(changes.select(*BRONZE_CHANGES.fieldNames()), self.changes_path, run_id)
+        """Store one run's inserts and updates, if any; returns their number.
+
+        A first load is written as its own shuffle spread it; later runs are what is left
+        of a larger batch, so their files are sized anew.
+        """
+        later = any(self._parts(run_id))
+        rows = changes.select(*BRONZE_CHANGES.fieldNames())
+        written = lake.write_run(rows, self.changes_path, run_id, rebalance=later)
         if written == 0:
             lake.drop_run(self.spark, self.changes_path, run_id)
         return written
 
+    def pending(self) -> int:
+        """Change runs not yet folded into a snapshot."""
+        return len(self._parts()[1])
+
     def compact(self, buckets: int | None = None) -> str | None:
         """Fold all changes into a new bucketed snapshot named after the last run.
 
-        Run it now and then, not per load. Older folders are left for the caller's
-        retention rules; readers move to the new snapshot by themselves.
+        Run it after the first load, then now and then. While the bucket number stays,
+        the old snapshot is merged bucket by bucket in place and only the changes are
+        shuffled. Older folders are left for the caller's retention rules; readers move to
+        the new snapshot by themselves.
         """
-        runs = lake.list_runs(self.spark, self.changes_path)
-        if not runs:
-            return None
-        snapshot, newer = self._parts()
-        if not newer:
+        snapshot, changes = self._parts()
+        if not changes:
             return snapshot
-        buckets = buckets or self._bucket_count()
-        name = f"{runs[-1]}.b{buckets}"
+        current = int(snapshot.rpartition(".b")[2]) if snapshot else 0
+        if buckets is None:
+            wanted = self._wanted_buckets(snapshot, changes)
+            # Buckets may double in size before the table is spread anew.
+            buckets = wanted if wanted > 2 * current else current
+        if buckets == current:
+            state = keyed.overlay(*self.layers())
+        else:
+            # One task per bucket file: the shuffle uses the hash the bucket layout uses.
+            state = self.state().repartition(buckets, KEY)
+        name = f"{changes[-1]}.b{buckets}"
         path = f"{self.snapshot_path}/{name}"
         table = self._table_name(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        # One task per bucket file: the shuffle uses the hash the bucket layout uses.
-        (
-            self.state()
-            .repartition(buckets, KEY)
-            .write.mode("overwrite")
-            .bucketBy(buckets, KEY)
-            .sortBy(KEY)
-            .option("path", path)
-            .format("parquet")
-            .saveAsTable(table)
-        )
+        writer = state.write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
+        writer.option("path", path).format("parquet").saveAsTable(table)
         return name
 
-    def _bucket_count(self) -> int:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.changes_path)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        wanted = -(-fs.getContentSummary(path).getLength() // BUCKET_BYTES)
-        return int(min(max(wanted, BUCKETS[0]), BUCKETS[1]))
+    def _wanted_buckets(self, snapshot: str | None, changes: list[str]) -> int:
+        folders = [f"{self.changes_path}/{c}" for c in changes]
+        if snapshot:
+            folders.append(f"{self.snapshot_path}/{snapshot}")
+        size = sum(lake.folder_bytes(self.spark, f) for f in folders)
+        return min(max(-(-size // BUCKET_BYTES), BUCKETS[0]), BUCKETS[1])
 
     def _log(self, runs: list[str]) -> DataFrame:
         return lake.read_runs(self.spark, self.changes_path, BRONZE_CHANGES, runs)

@@ -46,23 +46,31 @@ def runs_before(spark: SparkSession, base: str, run_id: str) -> list[str]:
     return [r for r in list_runs(spark, base) if r < run_name(run_id)]
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def drop_run(spark: SparkSession, base: str, run_id: str) -> None:
     """Remove a run's folder, so it does not count as a run."""
     path = spark._jvm.org.apache.hadoop.fs.Path(run_path(base, run_id))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def write_run(df: DataFrame, base: str, run_id: str, partition_by: Sequence[str] = ()) -> int:
+def write_run(
+    df: DataFrame, base: str, run_id: str, partition_by: Sequence[str] = (), rebalance: bool = True
+) -> int:
     """Write one run's folder and return its row count, without a second job.
 
     REBALANCE sizes the files: rows of one directory go together, small partitions are
     merged, and a directory holding a third of the data is split over many tasks, which
     ``repartition`` on the columns would hand to one. Small results end up in one file.
+    Rows that leave a shuffle evenly and all get written can do without.
     """
     rows = Observation()
-    # Counted behind the shuffle, where a recomputed map task cannot count twice.
-    placed = df.hint("rebalance", *partition_by).observe(rows, F.count(F.lit(1)).alias("n"))
-    writer = placed.write.mode("overwrite")
+    # Counted behind the last shuffle, where a recomputed map task cannot count twice.
+    placed = df.hint("rebalance", *partition_by) if rebalance else df
+    writer = placed.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(run_path(base, run_id))
