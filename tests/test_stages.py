@@ -1,7 +1,9 @@
 """Incremental scenarios over the three stages."""
 
 import json
+import os
 import random
+import uuid
 from datetime import datetime
 
 import pytest
@@ -12,6 +14,7 @@ from tierline.plans.stages import Layers, Outcome, StageFailed, bronze_stage, go
 from tierline.schemas import GOLD, SILVER
 from tierline.sources import lake
 from tierline.sources.bronze import BronzeStore
+from tierline.sources.pages import paged_source, read_page_files
 from tierline.streaming.handover import stream_silver
 
 RUNS = ["20240101_0900", "20240102_0900", "20240103_0900", "20240104_0900"]
@@ -85,6 +88,34 @@ def test_large_batches_take_the_shuffled_join(spark, layers, monkeypatch):
     assert [o.rows for o in out] == [1, 1, 1]
 
 
+def test_the_feed_is_fetched_once(spark, layers, tmp_path):
+    calls = str(tmp_path / "calls")
+    os.mkdir(calls)
+
+    def page(number, per_page):
+        with open(f"{calls}/{number}-{uuid.uuid4().hex}", "w"):
+            pass
+        return [_record_of(f"{number}-{n}") for n in range(per_page)]
+
+    def _record_of(key):
+        return {"id": key, "name": key, "brewery_type": "micro", "city": "x", "country": "Chile"}
+
+    spark.dataSource.register(paged_source(lambda: 600, page, "counted_pages"))
+    fetched = spark.read.format("counted_pages").load()
+    assert [o.rows for o in refresh(spark, layers, fetched, RUNS[0], TIMES[0])] == [600, 600, 1]
+    assert sorted(name.split("-")[0] for name in os.listdir(calls)) == ["1", "2", "3"]
+
+
+def test_records_in_files_need_no_landing(spark, layers, tmp_path):
+    (tmp_path / "pages").mkdir()
+    for n, key in ((1, "a"), (2, "b")):
+        (tmp_path / "pages" / f"page_{n}.json").write_text(json.dumps([_record(key)]))
+    saved = read_page_files(spark, str(tmp_path / "pages"))
+    assert bronze_stage(spark, layers, saved, RUNS[0], TIMES[0], land=False).rows == 2
+    assert bronze_stage(spark, layers, saved, RUNS[1], TIMES[1], land=False).status == "skip"
+    assert not os.path.exists(layers.landing)
+
+
 def test_duplicate_ids(spark, layers):
     batch = _fetched(spark, _record("a", "first"), _record("b"), _record("a", "last"))
     with pytest.raises(StageFailed, match="twice"):
@@ -138,7 +169,7 @@ def test_two_bronze_runs_before_one_silver_run(spark, layers):
 
 
 def test_reconciliation_stops_the_run(spark, layers, monkeypatch):
-    monkeypatch.setattr(stages.lake, "write_run", lambda *a, _real=lake.write_run: _real(*a) + 1)
+    monkeypatch.setattr(stages.lake, "write_run", lambda *a, _real=lake.write_run, **k: _real(*a, **k) + 1)
     bronze_stage(spark, layers, _fetched(spark, _record("a")), RUNS[0], TIMES[0])
     with pytest.raises(StageFailed, match="wrote 2 rows, found 1"):
         silver_stage(spark, layers, RUNS[0], TIMES[0])
