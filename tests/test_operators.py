@@ -53,7 +53,7 @@ def test_quarantine_and_accepted_are_complements(spark):
     keys = ["id", "city"]
     df = _payloads(spark, '{"id":"a","city":null}', '{"id":"b"}', '{"id":null,"city":"x"}', "{bad", "[]", None)
     refused = records.quarantine(df, keys)
-    assert [r.pos for r in records.accepted(df, keys).collect()] == [0]
+    assert [r.pos for r in records.accepted(records.examined(df, keys)).collect()] == [0]
     assert {r.pos: (r.missing_keys, r.reason) for r in refused.collect()} == {
         1: ("city", "missing keys"),
         2: ("", "null id"),

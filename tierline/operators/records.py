@@ -15,43 +15,51 @@ def required_keys(records: DataFrame, keys: Sequence[str] = REQUIRED_KEYS, paylo
     return records.filter(has_keys(F.col(payload), keys))
 
 
-def quarantine(
+def examined(
     records: DataFrame, keys: Sequence[str] = REQUIRED_KEYS, payload: str = "payload", id_key: str = "id"
 ) -> DataFrame:
-    """The records bronze refuses, with ``missing_keys`` and a ``reason``.
+    """Records with their ``id_api`` and ``missing_keys`` (text; NULL for no JSON object).
 
-    Complement of :func:`accepted`: absent keys, malformed text, or a null id, which
-    the keyed store cannot hold.
+    What is known of a record once it was parsed: stored next to it, later steps need
+    not parse it again.
     """
-    missing = missing_keys(F.col(payload), keys)
-    return (
-        records.withColumn("missing_keys", F.array_join(missing, ","))
-        .withColumn(
-            "reason",
-            F.when(F.col("missing_keys").isNull(), "malformed")
-            .when(F.col("missing_keys") != "", "missing keys")
-            .when(record_id(F.col(payload), id_key).isNull(), "null id"),
-        )
-        .filter(F.col("reason").isNotNull())
+    body = F.col(payload)
+    return records.withColumns(
+        {"id_api": record_id(body, id_key), "missing_keys": F.array_join(missing_keys(body, keys), ",")}
     )
 
 
-def accepted(
+def accepted(examined: DataFrame) -> DataFrame:
+    """Examined records bronze takes: all mandatory keys and a non-null id."""
+    return examined.filter((F.col("missing_keys") == "") & F.col("id_api").isNotNull())
+
+
+def refused(examined: DataFrame) -> DataFrame:
+    """The other examined records, with a ``reason``: absent keys, malformed text, or a
+    null id, which the keyed store cannot hold."""
+    reason = (
+        F.when(F.col("missing_keys").isNull(), "malformed")
+        .when(F.col("missing_keys") != "", "missing keys")
+        .when(F.col("id_api").isNull(), "null id")
+    )
+    return examined.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def quarantine(
     records: DataFrame, keys: Sequence[str] = REQUIRED_KEYS, payload: str = "payload", id_key: str = "id"
 ) -> DataFrame:
-    """Records bronze takes: all mandatory keys and a non-null id."""
-    return required_keys(records, keys, payload).filter(record_id(F.col(payload), id_key).isNotNull())
+    """The records bronze refuses, and why."""
+    return refused(examined(records, keys, payload, id_key))
 
 
 def bronze_rows(
-    records: DataFrame, as_of: datetime, payload: str = "payload", id_key: str = "id", carry: Sequence[str] = ()
+    records: DataFrame, as_of: datetime, payload: str = "payload", id_key: str = "id"
 ) -> DataFrame:
     """``(id_api, payload, updated_at)`` of each record, one stamp for the batch."""
     return records.select(
         record_id(F.col(payload), id_key).alias("id_api"),
         F.col(payload).alias("payload"),
         stamp(as_of).alias("updated_at"),
-        *carry,
     )
 
 

@@ -104,7 +104,7 @@ def required_keys(spark, sf_dir):
 @query
 def quarantine(spark, sf_dir):
     refused = records.quarantine(_feed(spark, sf_dir, keep_null_keys=False))
-    return refused.select(record_id(F.col("payload")).alias("id"), "missing_keys", "reason")
+    return refused.select(F.col("id_api").alias("id"), "missing_keys", "reason")
 
 
 @query

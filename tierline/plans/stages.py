@@ -77,16 +77,12 @@ def _last_before(spark: SparkSession, base: str, schema: T.StructType, run_id: s
     return lake.read_runs(spark, base, schema, lake.runs_before(spark, base, run_id)[-1:])
 
 
-def _payload_bytes(fetched: DataFrame) -> int:
-    return fetched.agg(keyed.row_bytes("payload")).first()[0]
-
-
-def _landed(fetched: DataFrame, layers: Layers, run_id: str) -> tuple[DataFrame, int]:
-    """The records as written to this run's landing folder, and their size."""
+def _landed(examined: DataFrame, layers: Layers, run_id: str) -> tuple[DataFrame, int]:
+    """The records as written to this run's landing folder, and the size of their ids."""
     path = lake.run_path(layers.landing, run_id)
     size = Observation()
-    fetched.observe(size, keyed.row_bytes("payload").alias("bytes")).write.mode("overwrite").parquet(path)
-    return fetched.sparkSession.read.schema(fetched.schema).parquet(path), size.get["bytes"]
+    examined.observe(size, keyed.row_bytes("id_api").alias("bytes")).write.mode("overwrite").parquet(path)
+    return examined.sparkSession.read.schema(examined.schema).parquet(path), size.get["bytes"]
 
 
 def bronze_stage(
@@ -102,10 +98,11 @@ def bronze_stage(
 ) -> Outcome:
     """Merge fetched records ``(page, pos, payload)`` into the bronze store.
 
-    The records land once in the landing layer: the source is read a single time however
-    many jobs follow. ``land=False`` saves that copy for records that already lie in files
-    which do not change. Records without the mandatory keys or an id are left out (see
-    :func:`tierline.operators.records.quarantine`). For a repeated id the last page and
+    The records land once in the landing layer with what was found out about them: the
+    source is read and each record examined a single time however many jobs follow.
+    ``land=False`` saves that copy for records that already lie in files which do not
+    change. Records without the mandatory keys or an id are left out (landing keeps them;
+    see :func:`tierline.operators.records.refused`). For a repeated id the last page and
     position wins, or the run fails with ``on_duplicate="error"``. With ``compact_after``
     the store is compacted whenever that many change runs wait.
     """
@@ -113,15 +110,17 @@ def bronze_stage(
     mark = gates.high_water_mark(store.stamps(run_id, inclusive=False), "updated_at")
     cursor = _after(_moment(mark.select(F.unix_micros("high_water_mark")).first()[0]), as_of)
 
-    landed, size = _landed(fetched, layers, run_id) if land else (fetched, _payload_bytes(fetched))
-    rows = records.bronze_rows(records.accepted(landed, required), as_of, carry=("page", "pos"))
+    examined = records.examined(fetched, required)
+    if land:
+        examined, id_bytes = _landed(examined, layers, run_id)
+    else:
+        id_bytes = examined.agg(keyed.row_bytes("id_api")).first()[0]
+    rows = records.accepted(examined).withColumn("updated_at", stamp(as_of))
     if on_duplicate == "error" and not keyed.key_check(rows, keyed.KEY).isEmpty():
         raise StageFailed("bronze: a record id occurs twice in the batch")
     batch = keyed.latest_per_key(rows, keyed.KEY, [F.desc("page"), F.desc("pos")])
 
-    # The ids are part of the payloads, so the payloads' measured size bounds them.
-    small = size <= keyed.BROADCAST_BYTES
-    small_keys = rows.select(keyed.KEY) if small else None
+    small_keys = rows.select(keyed.KEY) if id_bytes <= keyed.BROADCAST_BYTES else None
     store.append(keyed.upsert_changes(store.layers(run_id), batch, small_keys=small_keys), run_id)
     verdict = gates.bronze_gate(store.stats(run_id, cursor)).first()
     if verdict["status"] == "fail":

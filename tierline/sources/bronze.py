@@ -7,6 +7,7 @@ place and shuffle only the other side. A run becomes visible as a whole.
 """
 
 import hashlib
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,8 +24,9 @@ BUCKET_BYTES = 256 << 20
 BUCKETS = (8, 65_536)
 
 
-def _snapshot_run(name: str) -> str:
-    return name.rpartition(".b")[0]
+def _run_of(folder: str) -> str:
+    """Run folder name without a snapshot's bucket suffix."""
+    return re.sub(r"\.b\d+$", "", folder)
 
 
 class BronzeStore:
@@ -33,18 +35,20 @@ class BronzeStore:
         self.changes_path = f"{base.rstrip('/')}/changes"
         self.snapshot_path = f"{base.rstrip('/')}/snapshot"
 
-    def _parts(self, run_id: str | None = None, inclusive: bool = False) -> tuple[str | None, list[str]]:
-        """Newest snapshot and the change runs after it, up to ``run_id``."""
+    def _visible(self, path: str, run_id: str | None, inclusive: bool) -> list[str]:
+        """Run folders up to ``run_id``, oldest first."""
+        limit = run_id and lake.run_name(run_id)
 
-        def visible(run: str) -> bool:
-            return run_id is None or run < lake.run_name(run_id) or (inclusive and run == lake.run_name(run_id))
+        def seen(run: str) -> bool:
+            return limit is None or run < limit or (inclusive and run == limit)
 
-        snapshots = [s for s in lake.list_runs(self.spark, self.snapshot_path) if visible(_snapshot_run(s))]
-        snapshot = snapshots[-1] if snapshots else None
-        changes = [c for c in lake.list_runs(self.spark, self.changes_path) if visible(c)]
-        if snapshot:
-            changes = [c for c in changes if c > _snapshot_run(snapshot)]
-        return snapshot, changes
+        return [name for name in lake.list_runs(self.spark, path) if seen(_run_of(name))]
+
+    def _parts(self, run_id: str | None = None, inclusive: bool = False) -> tuple[str | None, list[str]]:
+        """Newest snapshot and the change runs after it, up to ``run_id``."""
+        snapshot = next(reversed(self._visible(self.snapshot_path, run_id, inclusive)), None)
+        changes = self._visible(self.changes_path, run_id, inclusive)
+        return snapshot, [c for c in changes if snapshot is None or c > _run_of(snapshot)]
 
     def layers(self, before: str | None = None) -> list[DataFrame]:
         """Snapshot and later changes, oldest first, each unique per key.
@@ -92,11 +96,13 @@ class BronzeStore:
 
     def stamps(self, run_id: str | None = None, inclusive: bool = True) -> DataFrame:
         """The stamps of the last run, whose latest one is the high-water mark: stamps
-        grow from run to run and a run without changes is not kept."""
-        snapshot, changes = self._parts(run_id, inclusive)
-        if snapshot and not changes:
+        grow from run to run and a run without changes is not kept. The snapshot is asked
+        only if the run's own folder is gone."""
+        snapshot, later = self._parts(run_id, inclusive)
+        runs = self._visible(self.changes_path, run_id, inclusive)[-1:]
+        if snapshot and not later and runs != [_run_of(snapshot)]:
             return self._snapshot(snapshot).select("updated_at")
-        return self._log(changes[-1:]).select("updated_at")
+        return self._log(runs).select("updated_at")
 
     def stats(self, run_id: str, cursor: datetime | None) -> DataFrame:
         """Stored keys, and rows of ``run_id`` newer than the cursor, as the bronze gate

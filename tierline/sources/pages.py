@@ -33,7 +33,7 @@ def page_records(pages: DataFrame, body: str = "body") -> DataFrame:
     Each payload stays raw JSON. An empty page gives no rows; a page that is no JSON
     array fails the job instead of vanishing.
     """
-    filled = F.col(body).isNotNull() & (F.trim(body) != "") & (F.trim(body) != "null")
+    filled = ~F.trim(body).isin("", "null", "{}")
     items = F.from_json(body, "array<string>", {"mode": "FAILFAST"})
     return pages.filter(filled).select("page", F.posexplode(items).alias("pos", "payload"))
 
