@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tierline.plans.oracles import ORACLES
+from tierline.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -28,12 +29,12 @@ def _clean(v):
     return None if isinstance(v, float) and math.isnan(v) else v
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = [tuple(_clean(r[c]) for c in columns) for r in df.collect()]
-    result = duck.execute(contract.oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
@@ -44,4 +45,4 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
