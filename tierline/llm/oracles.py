@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+from tierline.llm.license_scan import EQUIVALENT, KNOWN
+
 _OP3 = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -23,6 +25,109 @@ select conv_id, count(*) as n_turns,
 from ordered group by conv_id
 """
 
+
+_OP1 = r"""
+with captures as (
+  select page_id, url, date '2024-01-01' + (page_id * 7 % 366)::int as fetched_on,
+         rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1), '.') as host,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1)) as path
+  from pages
+), hosts as (
+  select distinct host, ('0x' || substr(md5(host), 1, 6))::int as x from captures where host <> ''
+), intervals as (
+  select 'spam' as list, 'domain' as kind, host as entry, date '2024-01-01' + x % 200 as valid_from, null::date as valid_to
+  from hosts where regexp_matches(host, 'pills|casino|bets|spam|adult')
+  union all select 'reported', 'domain', host, date '2024-01-01' + x % 200, date '2024-01-01' + (x % 200 + 40) from hosts where x % 5 = 0
+  union all select 'reported', 'domain', host, date '2024-01-01' + (x % 200 + 90), null from hosts where x % 10 = 0
+  union all select 'sections', 'prefix', host || '/fr', date '2024-01-01' + x % 300, null from hosts where x % 3 = 0
+), held as (
+  select page_id, list, valid_from, kind, entry
+  from captures join intervals on valid_from <= fetched_on and (valid_to is null or valid_to > fetched_on)
+   and case kind when 'domain' then host = entry or ends_with(host, '.' || entry)
+       else starts_with(host || path || '/', entry || '/') end
+), found as (
+  select page_id, array_to_string(list_sort(list_distinct(list(list))), ',') as lists,
+         min({'a': valid_from, 'b': kind, 'c': entry, 'd': list}) as first_entry
+  from held group by page_id
+)
+select page_id, url, strftime(fetched_on, '%Y-%m-%d') as fetched_on, found.lists is not null as blocked, coalesce(lists, '') as lists,
+       strftime(first_entry.a, '%Y-%m-%d') as listed_since, first_entry.c as entry
+from captures left join found using (page_id)
+"""
+
+_OP4 = r"""
+with shingled as (
+  select kind, id, case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+                        when len(w) > 0 then [array_to_string(w, ' ')] else [] end as shingles
+  from (select 'doc' as kind, doc_id as id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents
+        union all select 'item', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') from benchmark)
+), items as (select distinct id, unnest(shingles) as s from shingled where kind = 'item'),
+docs as (select distinct id, unnest(shingles) as s from shingled where kind = 'doc'),
+sizes as (select id, count(*) as n from items group by id)
+select docs.id as doc_id, items.id as item_id, any_value(n) as n_shingles, count(*) as matched, count(*) / any_value(n) as containment
+from docs join items using (s) join sizes on sizes.id = items.id
+group by docs.id, items.id having count(*) * 100 >= any_value(n) * 75
+"""
+
+
+def _canonical(text: str) -> str:
+    bare = rf"regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n(©]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9]{{4}}|by )|\(c\)|©|all rights reserved)[^\n]*$', '', 'g')"
+    out = rf"' ' || trim(regexp_replace({bare}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
+    for a, b in EQUIVALENT:
+        out = f"replace({out}, ' {a} ', ' {b} ')"
+    return f"trim({out})"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_OP5 = rf"""
+with known as (
+  select distinct license, {_canonical("t")} as c from (values {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}) k(license, t)
+), units as (
+  select doc_id, 'text' as unit, text as u from documents
+  union all select doc_id, 'paragraph', p from (
+    select doc_id, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) as p from documents where regexp_matches(text, '\n[ \t\r]*\n')) where contains(p, chr(10))
+  union all select doc_id, 'line', unnest(string_split(text, chr(10))) from documents where contains(text, chr(10))
+)
+select doc_id, license, unit, count(*) as n from (select doc_id, unit, {_canonical("u")} as c from units) join known using (c) group by all
+"""
+
+_OP6 = r"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+         ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as o
+  from documents
+), sources as (
+  select *, 2 * words as cap from (
+    select source, sum(size)::bigint as words, [5.0, 2.0, 1.0][((row_number() over (order by source nulls last) - 1) % 3) + 1]::double as weight from sized group by source)
+), levels as (
+  select *, (sum(words) over () * 1.5::double - coalesce(sum(cap) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))
+            / sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following) as level
+  from sources
+), aims as (
+  select source, words, least(cap::double, max(case when level * weight <= cap then level end) over () * weight) as target from levels
+), queued as (
+  select s.*, words, target, sum(size) over (partition by s.source order by o, doc_id::varchar, size rows unbounded preceding) as up_to
+  from sized s join aims a on s.source is not distinct from a.source
+), copies as (
+  select *, (up_to + copy * words)::double / target as finish from queued, (select unnest([0, 1]) as copy) where size > 0 and target > 0
+), served as (
+  select *, sum(size) over (order by finish, source nulls last, o, doc_id::varchar, size, copy rows unbounded preceding) as spent,
+         (select sum(target) from aims) as budget
+  from copies
+), takes as (
+  select doc_id, o, size, source, up_to, sum(size) as taken from served where spent - size / 2 < budget group by all
+)
+select q.doc_id, q.source, q.size, q.words as source_size, round(q.target, 6) as target, coalesce(t.taken, 0)::bigint as taken
+from queued q left join takes t on q.doc_id = t.doc_id and q.up_to = t.up_to and q.source is not distinct from t.source
+"""
+
 ORACLES = {
+    "op1_url_filter": _OP1,
     "op3_chat_format": _OP3,
+    "op4_decontaminate": _OP4,
+    "op5_license_scan": _OP5,
+    "op6_mixing": _OP6,
 }

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import chat_format, token_counts
+from tierline.llm import chat_format, decontaminate, language_id, license_scan, mixing, token_counts, url_filter
 from tierline.llm.common import table
 
 #: Turns of the conversation that every run formats besides the table's.
@@ -14,6 +14,42 @@ VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+#: Hosts of these words are on the spam list of the URL filter's query.
+SPAM_HOSTS = "pills|casino|bets|spam|adult"
+
+
+def _block_lists(pages: DataFrame) -> DataFrame:
+    """Dated entries made from the hosts of the pages: spam hosts listed one after another,
+    other hosts reported, cleared and reported again, and some directories."""
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).distinct().where("host <> ''")
+    number = F.conv(F.substring(F.md5("host"), 1, 6), 16, 10).cast("int")
+    hosts = hosts.withColumn("x", number)
+
+    def entries(name: str, kind: str, entry, day: str, listed: bool, which: str) -> DataFrame:
+        return hosts.where(which).select(
+            F.lit(name).alias("list"), F.lit(kind).alias("kind"), entry.alias("entry"), F.expr(f"date_add(date'2024-01-01', {day})").alias("day"), F.lit(listed).alias("listed")
+        )
+
+    host = F.col("host")
+    return (
+        entries("spam", url_filter.DOMAIN, host, "x % 200", True, f"host rlike '{SPAM_HOSTS}'")
+        .unionByName(entries("reported", url_filter.DOMAIN, host, "x % 200", True, "x % 5 = 0"))
+        .unionByName(entries("reported", url_filter.DOMAIN, host, "x % 200 + 40", False, "x % 5 = 0"))
+        .unionByName(entries("reported", url_filter.DOMAIN, host, "x % 200 + 90", True, "x % 10 = 0"))
+        .unionByName(entries("sections", url_filter.PREFIX, F.concat(host, F.lit("/fr")), "x % 300", True, "x % 3 = 0"))
+    )
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, with a fetch day each, against dated lists made from their hosts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = pages.withColumn("fetched_at", F.expr("cast(date_add(date'2024-01-01', cast(page_id * 7 % 366 as int)) as timestamp) + interval 12 hours"))
+    return url_filter.filter_captures(fetched, _block_lists(pages)).select(
+        "page_id", "url", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_on"), "blocked", F.array_join("lists", ",").alias("lists"),
+        F.date_format("first_entry.valid_from", "yyyy-MM-dd").alias("listed_since"), F.col("first_entry.entry").alias("entry"),
+    )
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -37,6 +73,21 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that contain a benchmark item, with the item."""
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences in all documents: as the whole text, a paragraph or a line."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, mixed by weights 5, 2, 1 to 150 % of their words."""
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     documents = table(spark, sf_dir, "documents")
@@ -44,7 +95,20 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, learned from three quarters of the others."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    apart = documents.withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    model = language_id.train(apart.where(~F.col("held_out")))
+    return language_id.identify(apart.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_chat_format": op3_chat_format,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_license_scan": op5_license_scan,
+    "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
+    "op10_language_id": op10_language_id,
 }
