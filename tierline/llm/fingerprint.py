@@ -18,64 +18,47 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tierline.llm.common import small_batches, text_or_empty
+from tierline.llm.hashing import MIXES, mixed
+from tierline.llm.hashing import words as hashed_words
 
 IDENTITY_LANES = 32
 LIKENESS_LANES = 128
 GRAM = 3
 
 _IDENTITY_BYTES = 4 * IDENTITY_LANES
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-#: Odd factors of the hash; any do.
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_MIXES = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-
-
-def _mixed(h: np.ndarray, factor: np.uint64) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * factor
-    h = (h ^ (h >> np.uint64(29))) * _FACTOR
-    return h ^ (h >> np.uint64(32))
-
-
-def _word_hashes(raw: bytes) -> np.ndarray:
-    """A hash of each word: runs of bytes that are not ASCII white space."""
-    letters = np.frombuffer(raw, dtype=np.uint8)
-    blank = _BLANK[letters]
-    edges = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    lengths = ends - starts
-    place = np.arange(lengths.sum(), dtype=np.uint64) - np.repeat(np.cumsum(lengths) - lengths, lengths).astype(np.uint64)
-    each = _mixed((letters[~blank].astype(np.uint64) + np.uint64(1)) * _FACTOR + place * _MIXES[0], _MIXES[1])
-    return np.add.reduceat(each, np.cumsum(lengths) - lengths)
-
-
-def _likeness(raw: bytes) -> np.ndarray:
-    """Sums of random signs over the word trigrams; fewer words are one gram."""
-    words = _word_hashes(raw)
-    if not len(words):
-        return np.zeros(LIKENESS_LANES, dtype=np.int64)
-    n = max(len(words) - GRAM + 1, 1)
-    grams = np.zeros(n, dtype=np.uint64)
-    for i in range(min(GRAM, len(words))):
-        grams = grams * _MIXES[1] + words[i : i + n]
-    total = np.zeros(LIKENESS_LANES, dtype=np.int64)
-    for at in range(0, n, 8192):
-        part = grams[at : at + 8192]
-        bits = np.stack([_mixed(part, m) for m in _MIXES], axis=1).astype("<u8")
-        signs = np.unpackbits(bits.view(np.uint8).reshape(len(part), -1), axis=1)
-        total += 2 * signs.sum(axis=0, dtype=np.int64) - len(part)
-    return total
-
-
-def vector(paragraph: str) -> tuple[np.ndarray, np.ndarray]:
-    """The identity and likeness lanes of one paragraph."""
-    raw = paragraph.encode()
-    identity = np.frombuffer(hashlib.shake_128(raw).digest(_IDENTITY_BYTES), dtype="<u4")
-    return identity, _likeness(raw).astype("<u2")
+#: Word grams spread to signs at once; this bounds the memory.
+_CHUNK = 1 << 15
+
+
+def _grams(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word trigrams within each owner, and their owners; an owner with
+    fewer words has all of them as its one gram."""
+    firsts = np.flatnonzero(np.diff(owner, prepend=-1))
+    counts = np.diff(firsts, append=len(words))
+    size = np.minimum(counts, GRAM)
+    grams_of = counts - size + 1
+    start = np.repeat(firsts, grams_of) + np.arange(grams_of.sum()) - np.repeat(np.cumsum(grams_of) - grams_of, grams_of)
+    size = np.repeat(size, grams_of)
+    grams = words[start]
+    for i in range(1, GRAM):
+        more = size > i
+        grams[more] = grams[more] * MIXES[1] + words[start[more] + i]
+    return grams, owner[start]
+
+
+def _add_signs(total: np.ndarray, grams: np.ndarray, owner: np.ndarray) -> None:
+    """Add the random signs of each gram to the row of its owner (owners ascend)."""
+    for at in range(0, len(grams), _CHUNK):
+        part, rows = grams[at : at + _CHUNK], owner[at : at + _CHUNK]
+        bits = np.stack([mixed(part, m) for m in MIXES], axis=1).astype("<u8")
+        ones = np.unpackbits(bits.view(np.uint8).reshape(len(part), -1), axis=1)
+        firsts = np.flatnonzero(np.diff(rows, prepend=-1))
+        ends = np.append(firsts[1:], len(part))
+        for row, a, b in zip(rows[firsts], firsts, ends):
+            total[row] += 2 * ones[a:b].sum(axis=0, dtype=np.int32).astype(np.int64) - (b - a)
 
 
 def paragraphs(text: str | None) -> list[str]:
@@ -83,6 +66,30 @@ def paragraphs(text: str | None) -> list[str]:
     return [p for p in map(str.strip, (text or "").split("\n")) if p]
 
 
+def fingerprint_all(texts: list[str | None]) -> list[str]:
+    """The fingerprint of each text: lanes in hexadecimal, first the identity's."""
+    identity = np.zeros((len(texts), IDENTITY_LANES), dtype="<u4")
+    likeness = np.zeros((len(texts), LIKENESS_LANES), dtype=np.int64)
+    lines, line_of = [], []
+    for row, text in enumerate(texts):
+        parts = [p.encode() for p in paragraphs(text)]
+        if parts:
+            hashed = b"".join(hashlib.shake_128(p).digest(_IDENTITY_BYTES) for p in parts)
+            identity[row] = np.frombuffer(hashed, dtype="<u4").reshape(len(parts), -1).sum(axis=0, dtype="<u4")
+            lines += parts
+            line_of += [row] * len(parts)
+    starts, words = hashed_words(b"\n".join(lines))
+    if len(words):
+        line_starts = np.cumsum([0] + [len(x) + 1 for x in lines[:-1]])
+        grams, line = _grams(words, np.searchsorted(line_starts, starts, side="right") - 1)
+        _add_signs(likeness, grams, np.array(line_of)[line])
+    return [_hex(a, b) for a, b in zip(identity, likeness.astype("<u2"))]
+
+
+def fingerprint(text: str | None) -> str:
+    return fingerprint_all([text])[0]
+
+
 def _hex(identity: np.ndarray, likeness: np.ndarray) -> str:
     return identity.astype("<u4").tobytes().hex() + likeness.astype("<u2").tobytes().hex()
 
@@ -98,15 +105,6 @@ def combine(fingerprint: str, other: str, sign: int = 1) -> str:
     return _hex(a + c, b + d) if sign > 0 else _hex(a - c, b - d)
 
 
-def fingerprint(text: str | None) -> str:
-    """Lanes in hexadecimal: first the identity's, then the likeness's."""
-    identity, likeness = np.zeros(IDENTITY_LANES, dtype="<u4"), np.zeros(LIKENESS_LANES, dtype="<u2")
-    for paragraph in paragraphs(text):
-        a, b = vector(paragraph)
-        identity, likeness = identity + a, likeness + b
-    return _hex(identity, likeness)
-
-
 def near(one: str, other: str) -> float:
     """Likeness from 0 to 1: 1 for equal fingerprints, else the cosine of the likeness
     lanes, 0 if it is negative or one has no words."""
@@ -121,13 +119,24 @@ def fingerprints(df: DataFrame, *texts: str) -> DataFrame:
     """The rows of ``df`` with ``<text>_fingerprint`` for each column of ``texts``; a null
     text has the fingerprint of an empty one, which is all zeros."""
     small_batches(df.sparkSession)
+    names = [f"{t}_fingerprint" for t in texts]
+
+    @F.pandas_udf(", ".join(f"c{i} string" for i in range(len(texts))))
+    def summed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            # Equal texts of a batch are hashed once.
+            different = list(dict.fromkeys(t for column in columns for t in column))
+            known = dict(zip(different, fingerprint_all(different), strict=True))
+            yield pd.DataFrame({f"c{i}": [known[t] for t in column] for i, column in enumerate(columns)})
+
+    made = df.withColumn("summed_", summed(*(F.col(t) for t in texts)))
+    return made.withColumns({n: F.col(f"summed_.c{i}") for i, n in enumerate(names)}).drop("summed_")
 
-    @F.pandas_udf("string")
-    def summed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([fingerprint(t) for t in batch], dtype=object)
 
-    return df.withColumns({f"{t}_fingerprint": summed(F.col(t)) for t in texts})
+@F.pandas_udf(DoubleType())
+def likeness(one: pd.Series, other: pd.Series) -> pd.Series:
+    """:func:`near` of two columns of fingerprints."""
+    return pd.Series([near(a, b) for a, b in zip(one, other)], dtype="float64")
 
 
 #: Documents that a range of keys holds on average, and the most ranges there are.

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import chat_format, decontaminate, language_id, license_scan, mixing, token_counts, url_filter
+from tierline.llm import chat_format, decontaminate, fingerprint, html_extract, language_id, license_scan, mixing, token_counts, url_filter
 from tierline.llm.common import table
 
 #: Turns of the conversation that every run formats besides the table's.
@@ -50,6 +50,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document, edited with the next one's text, and the fingerprints of both."""
+    documents = fingerprint.with_next(table(spark, sf_dir, "documents"))
+    edited = documents.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text")))
+    summed = fingerprint.fingerprints(edited, "text", "edited", "next_text")
+    return summed.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("text_fingerprint").alias("fingerprint"),
+        "edited_fingerprint",
+        fingerprint.likeness("text_fingerprint", "edited_fingerprint").alias("near_edited"),
+        fingerprint.likeness("text_fingerprint", "next_text_fingerprint").alias("near_next"),
+    )
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -88,6 +104,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every whole page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     documents = table(spark, sf_dir, "documents")
@@ -105,10 +126,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_fingerprint": op2_fingerprint,
     "op3_chat_format": op3_chat_format,
     "op4_decontaminate": op4_decontaminate,
     "op5_license_scan": op5_license_scan,
     "op6_mixing": op6_mixing,
+    "op7_html_extract": op7_html_extract,
     "op8_token_counts": op8_token_counts,
     "op10_language_id": op10_language_id,
 }
