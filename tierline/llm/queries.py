@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import chat_format, decontaminate, fingerprint, html_extract, language_id, license_scan, mixing, token_counts, url_filter
+from tierline.llm import chat_format, decontaminate, fingerprint, html_extract, jaccard_join, language_id, license_scan, mixing, token_counts, url_filter
 from tierline.llm.common import table
 
 #: Turns of the conversation that every run formats besides the table's.
@@ -116,6 +116,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the group of near duplicates each is in."""
+    return jaccard_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole document, learned from three quarters of the others."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -133,5 +138,6 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_html_extract": op7_html_extract,
     "op8_token_counts": op8_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
