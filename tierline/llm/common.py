@@ -24,3 +24,13 @@ def text_or_empty(column: Column | str) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+#: Rows of a few fixed-size columns that may be broadcast.
+MOST_BROADCAST = 2_000_000
+
+
+def small_side(written: DataFrame) -> DataFrame:
+    """A written table of keys as the side of a join: broadcast if its rows, counted, are
+    few; otherwise the join shuffles."""
+    return F.broadcast(written) if written.count() <= MOST_BROADCAST else written

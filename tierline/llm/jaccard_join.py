@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import small_batches
+from tierline.llm.common import small_batches, small_side
 from tierline.llm.components import components
 from tierline.llm.hashing import FACTOR, MIXES, mixed
 from tierline.llm.hashing import words as hashed_words
@@ -47,9 +47,6 @@ BLOCK, FAN = 512, 8
 #: Pairs that a block may leave per document before only the connecting ones are kept.
 DENSE = 8
 
-#: Identifiers that may be broadcast: 2 million of 8 bytes.
-MOST_BROADCAST = 2_000_000
-
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -387,9 +384,7 @@ class _Join:
         first = self.profiles.where("n > 0").groupBy(F.col("text_id").alias("id")).agg(F.min("doc").alias("doc"))
         ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         wanted = stage(first.join(ends, "id").select(F.col("doc").alias("wanted")).distinct(), "wanted")
-        # Sent to the workers only if it is small; otherwise the texts are shuffled.
-        right = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
-        texts = self.docs.join(right, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi")
+        texts = self.docs.join(small_side(wanted), F.col("doc").eqNullSafe(F.col("wanted")), "left_semi")
 
         def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -493,17 +488,9 @@ def _digest(shingles: np.ndarray) -> int:
     return int(mixed(np.array([h], dtype=np.uint64), MIXES[0]).view(np.int64)[0])
 
 
-def linked(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: ``key``, ``n_shingles`` and ``component_id``, the smallest key
-    reachable by links, its own included.
-
-    A document's set is its distinct shingles of five words (runs of anything but ASCII
-    white space, A-Z in lower case), or all its words if they are fewer. Documents link
-    when the intersection is at least ``percent`` / 100 of the union. Null and empty texts,
-    and those of white space only, have no shingles and link with nothing. Rows of one key
-    and different texts are documents of their own; a null key is reported as such, and is
-    never the smallest unless there is no other. Other columns are left out.
-    """
+def _grouped(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """A row ``doc, version`` (a hash of the text)``, n, text_id`` per input row, and
+    ``text_id, root`` of the texts that have shingles."""
     spark = df.sparkSession
     small_batches(spark)
     docs = df.select(df[key].alias("doc"), df[text].cast("string").alias("text"))
@@ -517,6 +504,7 @@ def linked(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
             yield pd.DataFrame(
                 {
                     "doc": batch["doc"],
+                    "version": batch["version"],
                     "text_id": [_digest(s) for s in found],
                     "n": [len(s) for s in found],
                     "rare": _lists(f.view(np.int64) for f, _ in firsts),
@@ -525,14 +513,52 @@ def linked(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
                 }
             )
 
-    profiles = stage(docs.mapInPandas(profile, f"doc {kind}, text_id long, n long, rare array<bigint>, frequent array<bigint>, bits binary"), "profiles")
-    parts = components(_Join(docs, profiles, percent).links())
+    made = docs.withColumn("version", F.xxhash64("text")).mapInPandas(profile, f"doc {kind}, version long, text_id long, n long, rare array<bigint>, frequent array<bigint>, bits binary")
+    profiles = stage(made, "profiles")
+    parts = components(_Join(docs, profiles, percent).links()).withColumnRenamed("node", "text_id")
+    texts = profiles.where("n > 0").select("text_id").distinct()
+    roots = texts.join(parts, "text_id", "left").withColumn("root", F.coalesce("root", "text_id"))
+    return profiles.select("doc", "version", "n", F.when(F.col("n") > 0, F.col("text_id")).alias("text_id")), stage(roots, "roots")
+
 
-    first = profiles.where("n > 0").groupBy("text_id").agg(F.min("doc").alias("doc"))
-    rooted = first.join(parts.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn("root", F.coalesce("root", "text_id"))
-    least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
-    named = rooted.join(least, "root").select("text_id", "component_id")
-    own = profiles.select("doc", F.when(F.col("n") > 0, F.col("text_id")).alias("text_id"), "n")
-    return own.join(named, "text_id", "left").select(
+def linked(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: ``key``, ``n_shingles`` and ``component_id``, the smallest key
+    reachable by links, its own included.
+
+    A document's set is its distinct shingles of five words (runs of anything but ASCII
+    white space, A-Z in lower case), or all its words if they are fewer. Documents link
+    when the intersection is at least ``percent`` / 100 of the union. Null and empty texts,
+    and those of white space only, have no shingles and link with nothing. Rows of one key
+    and different texts are documents of their own; a null key is reported as such, and is
+    never the smallest unless there is no other. Other columns are left out.
+    """
+    rows, roots = _grouped(df, percent, key, text)
+    first = rows.where("n > 0").groupBy("text_id").agg(F.min("doc").alias("doc")).join(roots, "text_id")
+    named = first.join(first.groupBy("root").agg(F.min("doc").alias("component_id")), "root").select("text_id", "component_id")
+    return rows.join(named, "text_id", "left").select(
         F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id")
     )
+
+
+def first_of_groups(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input rows, all columns, without near duplicates: of each group (see
+    :func:`linked`) the row with the smallest key stays, of several with that key the one
+    with the smallest hash of its text, of repeated rows any one. A null key comes last.
+    Rows without shingles all stay.
+    """
+    rows, roots = _grouped(df, percent, key, text)
+    rows = rows.where("n > 0").groupBy("text_id", "doc", "version").agg(F.count(F.lit(1)).alias("times")).join(roots, "text_id")
+    order = F.struct(F.col("doc").isNull().alias("last"), "doc", "version")
+    chosen = rows.groupBy("root").agg(F.min(order).alias("chosen"))
+    judged = rows.join(chosen, "root").withColumn("stays", order == F.col("chosen"))
+    gone = small_side(stage(judged.where("not stays").select(F.col("doc").alias("gone_doc"), F.col("version").alias("gone_version")), "gone"))
+    repeated = stage(judged.where("stays and times > 1").select(F.col("doc").alias("gone_doc"), F.col("version").alias("gone_version")), "repeated")
+
+    plain = df.select(*(df[c].alias(f"c{i}") for i, c in enumerate(df.columns)), df[key].alias("doc"), F.xxhash64(df[text].cast("string")).alias("version"))
+    same = F.col("doc").eqNullSafe(F.col("gone_doc")) & (F.col("version") == F.col("gone_version"))
+    kept = plain.join(gone, same, "left_anti")
+    # Repeated rows are few: only they are brought together.
+    if not repeated.isEmpty():
+        side = small_side(repeated)
+        kept = kept.join(side, same, "left_anti").unionByName(kept.join(side, same, "left_semi").dropDuplicates(["doc", "version"]))
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)))

@@ -160,8 +160,9 @@ def _judge(text: str | None, words: _Words) -> tuple[str, float]:
     return languages[best], float(odds[best] / odds.sum())
 
 
-def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The input rows with ``lang_pred`` and ``score`` (0 to 1) of their whole text.
+def identify(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The input rows with the language (``lang_pred``) and ``score`` (0 to 1) of their whole
+    text, in columns of these ``names``.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if
     nothing was learned. Equal scores go to the first language in order. Columns of these
@@ -169,9 +170,8 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     small_batches(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in df.columns if c not in ("lang_pred", "score")]
-    names = [f"c{i}" for i in range(len(kept))]
-    inner = df.select(*(df[c].alias(n) for c, n in zip(kept, names, strict=True)), df[text].cast("string").alias("judged"))
+    kept = [c for c in df.columns if c not in names]
+    inner = df.select(*(df[c].alias(f"c{i}") for i, c in enumerate(kept)), df[text].cast("string").alias("judged"))
 
     @F.pandas_udf("lang_pred string, score double")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -180,7 +180,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame([_judge(t, words) for t in texts], columns=["lang_pred", "score"])
 
     out = inner.withColumn("verdict", judged("judged"))
-    return out.select(*(F.col(n).alias(c) for c, n in zip(kept, names, strict=True)), "verdict.lang_pred", "verdict.score")
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("verdict.lang_pred").alias(names[0]), F.col("verdict.score").alias(names[1]))
 
 
 def held_out(key: Column) -> Column:

@@ -1,5 +1,6 @@
 """The registered query of every operator, with its production parameters."""
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,4 +141,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
