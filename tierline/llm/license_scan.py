@@ -67,30 +67,33 @@ KNOWN = [
 _COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9]{4}|by )|\(c\)|©|all rights reserved)[^\n]*$"
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form: lower-case words with one space between them.
+def canonical(df: DataFrame, unit: str) -> DataFrame:
+    """``df`` with the column ``unit`` in canonical form: lower-case words with one space
+    between them.
 
     A copyright line begins with the sign, or with the word and a year, a sign or a name;
-    a line of a wrapped licence that begins with "copyright holders" is not one.
+    a line of a wrapped licence that begins with "copyright holders" is not one. Each step
+    is a projection of its own, so that none is computed twice.
     """
-    low = F.lower(text)
-    marked = low.contains("copyright") | low.contains("(c)") | low.contains("©") | low.contains("all rights reserved")
-    bare = F.when(marked, F.regexp_replace(low, _COPYRIGHT_LINE, "")).otherwise(low)
-    words = F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
-    spelled = F.concat(F.lit(" "), words, F.lit(" "))
+    text = F.col(unit)
+    marked = text.contains("copyright") | text.contains("(c)") | text.contains("©") | text.contains("all rights reserved")
     some = F.lit(False)
-    for a, _ in EQUIVALENT:
-        some = some | spelled.contains(f" {a} ")
-    replaced = spelled
+    replaced = F.concat(F.lit(" "), text, F.lit(" "))
     for a, b in EQUIVALENT:
+        some = some | text.contains(a)
         replaced = F.replace(replaced, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.when(some, F.trim(replaced)).otherwise(words)
+    return (
+        df.withColumn(unit, F.lower(unit))
+        .withColumn(unit, F.when(marked, F.regexp_replace(text, _COPYRIGHT_LINE, "")).otherwise(text))
+        .withColumn(unit, F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")))
+        .withColumn(unit, F.when(some, F.trim(replaced)).otherwise(text))
+    )
 
 
 def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] = KNOWN) -> DataFrame:
     """``license`` and ``digest`` of known texts; the list's length bounds the table."""
     texts = spark.createDataFrame(licenses, "license string, text string")
-    return texts.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
+    return canonical(texts, "text").select("license", F.sha2("text", 256).alias("digest")).distinct()
 
 
 def scan(df: DataFrame, licenses: list[tuple[str, str]] = KNOWN, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,6 +116,8 @@ def scan(df: DataFrame, licenses: list[tuple[str, str]] = KNOWN, key: str = "doc
         F.when(F.size(F.split("text", r"\n[ \t\r]*\n")) > 1, tagged(paragraphs, "paragraph")).otherwise(F.array().cast("array<struct<unit:string,text:string>>")),
         F.when(F.size(lines) > 1, tagged(lines, "line")).otherwise(F.array().cast("array<struct<unit:string,text:string>>")),
     )
-    every = picked.where(F.col("text").isNotNull()).select("key", F.explode(units).alias("u")).select("key", "u.unit", F.sha2(canonical(F.col("u.text")), 256).alias("digest"))
+    every = picked.where(F.col("text").isNotNull()).select("key", F.explode(units).alias("u")).select("key", "u.unit", "u.text")
+    # Never null: a filter for that, put before the join, would compute all of it again.
+    every = canonical(every, "text").select("key", "unit", F.coalesce(F.sha2("text", 256), F.lit("")).alias("digest"))
     known = F.broadcast(known_digests(df.sparkSession, licenses))
     return every.join(known, "digest").groupBy(F.col("key").alias(key), "license", "unit").agg(F.count(F.lit(1)).alias("n"))
