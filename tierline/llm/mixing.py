@@ -13,7 +13,7 @@ from tierline.llm.common import word_count
 from tierline.session import stage
 
 #: Documents that a slice of a queue, or of virtual time, holds on average.
-SLICE_ROWS = 8192
+SLICE_ROWS = 1024
 
 #: Bits of the shuffle order.
 ORDER_BITS = 60
