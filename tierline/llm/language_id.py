@@ -4,8 +4,8 @@ A known word is scored by its log frequency in each language. An unseen word fal
 to the longest n-grams of it that are known in any language, from ``MAX_GRAM`` characters
 down to one; the word's end marks count as characters.
 
-Training counts words and n-grams with Spark on a bounded sample: at most ``train_rows``
-rows of a language, those with the smallest hash of their key. The model keeps at most
+Training counts words and n-grams with Spark on a bounded sample: ``train_rows`` rows of a
+language at most, those with the smallest hash of their key. The model keeps at most
 ``words_kept`` words a language and ``grams_kept`` n-grams a language and length, so its
 size does not depend on the corpus, and it is sent to the workers.
 """
@@ -63,9 +63,13 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     Repeated rows count as often as they are there; a language needs one word at least.
     """
     usable = labelled.where(labelled[lang].isNotNull() & labelled[text].isNotNull())
-    order = F.xxhash64(usable[key])
-    ranked = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), order.alias("order"))
+    # A number from 0 to 1 for each row; those of a language below a limit that leaves four
+    # times the sample are ranked, so that no language's rows all meet in one task.
+    order = F.pmod(F.xxhash64(usable[key]), F.lit(1 << 40)) / (1 << 40)
+    drawn = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), order.alias("order"))
+    limits = drawn.groupBy("lang").agg((4 * train_rows / F.count(F.lit(1))).alias("limit"))
     first = Window.partitionBy("lang").orderBy("order", "key")
+    ranked = drawn.join(limits, "lang").where(F.col("order") < F.col("limit"))
     chosen = ranked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= train_rows)
     # At most train_rows a language are chosen: that is the bound of this broadcast.
     sample = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), usable[text].cast("string").alias("text")).join(
