@@ -110,6 +110,11 @@ BIG = "12345678901234567890123456789012345678901234567890"
         (f'{{"t":"{LONG}a"}}', f'{{ "t":"{LONG}b"}}', True),
         (f'{{"t":"{LONG}"}}', f'{{ "t":"{LONG}"}}', False),
         (f'{{"x":{BIG}1}}', f'{{"x":{BIG}2}}', True),
+        ('{"a":"Suite 3E2","b":1}', '{"b":1,"a":"Suite 3E2"}', False),
+        ('{"a":"\\"Infinity\\\\","b":"7E7"}', '{"b":"7E7","a":"\\"Infinity\\\\"}', False),
+        ('{"a":1e300,"b":"x"}', '{"b":"x","a":1e300}', True),
+        ('{"a":1} x', '{"a":1}', True),
+        ('{"a":1}{"b":2}', '{"a":1}', True),
     ],
 )
 def test_json_distinct(spark, left, right, distinct):

@@ -32,17 +32,27 @@ def test_page_files(spark, tmp_path):
     body = [{"id": "a", "n": None}, {"id": "b", "o": {"k": [1, 2]}}]
     (tmp_path / "page_1.json").write_text(json.dumps(body, indent=2))
     (tmp_path / "page_12.json").write_text("[]")
+    (tmp_path / "v3_page_2.json").write_text('[{"id": "c"}]')
+    (tmp_path / "v3_page_7.json.txt").write_text('[{"id": "d"}]')
     got = pages.read_page_files(spark, str(tmp_path)).orderBy("page", "pos").collect()
-    assert [(r.page, r.pos, json.loads(r.payload)) for r in got] == [(1, 0, body[0]), (1, 1, body[1])]
+    assert [(r.page, r.pos, json.loads(r.payload)) for r in got] == [
+        (1, 0, body[0]),
+        (1, 1, body[1]),
+        (2, 0, {"id": "c"}),
+        (7, 0, {"id": "d"}),
+    ]
 
 
-@pytest.mark.parametrize("body", ['[{"id":1},', "xx", '{"id":'])
+@pytest.mark.parametrize(
+    "body",
+    ['[{"id":1},', "xx", '{"id":', '[{"id":"a"}][{"id":"b"}]', '[{"id":"c"}],{"id":"d"}]', '[{"id":1}] x', "", "\n", None, "[1", '{"a":1}', '[{"a":1}],"x":[{"b":2}]', "[1],[2]"],
+)
 def test_broken_page_fails(spark, body):
     with pytest.raises(Exception, match="MALFORMED"):
         pages.page_records(spark.createDataFrame([(1, body)], "page long, body string")).collect()
 
 
-@pytest.mark.parametrize("body", ["[]", " [ ] ", "null", "{}", "", None])
+@pytest.mark.parametrize("body", ["[]", " [ ] ", "null", "{}", " {}\n"])
 def test_empty_page(spark, body):
     assert pages.page_records(spark.createDataFrame([(1, body)], "page long, body string")).count() == 0
 
@@ -62,8 +72,9 @@ def test_paged_source(spark):
     ids = df.select("page", F.get_json_object("payload", "$.id").cast("int").alias("id"), "pos").collect()
     assert sorted(r.id for r in ids) == list(range(1005))
     assert all(r.id == (r.page - 1) * 200 + r.pos for r in ids)
-    assert df.rdd.getNumPartitions() == 6
-    assert reader.option("maxFetches", 2).load().rdd.getNumPartitions() == 2
+    assert df.rdd.getNumPartitions() == 2
+    assert reader.option("pagesPerTask", 1).load().rdd.getNumPartitions() == 6
+    assert reader.option("pagesPerTask", 1).option("maxFetches", 2).load().rdd.getNumPartitions() == 2
     assert reader.option("maxFetches", 4).option("perPage", 50).load().count() == 1005
 
 

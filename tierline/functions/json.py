@@ -6,8 +6,16 @@ from pyspark.sql import Column, functions as F
 
 from tierline.schemas import REQUIRED_KEYS
 
-# A number Variant could only hold as a double (exponent, or over 38 digits).
+# A number Variant could only hold as a double (exponent, or over 38 digits), and the
+# strings of a canonical text, in which the same letters mean nothing.
 _INEXACT_NUMBER = r"[0-9]E-?[0-9]|Infinity"
+_STRING = r'"(?:\\.|[^"\\])*+"'
+
+
+def is_json(payload: Column) -> Column:
+    """Whether the text is one JSON value and nothing after it. A parser stops at the end
+    of the first value, so the text is parsed as the one item of a list."""
+    return F.coalesce(F.size(F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "array<string>")) == 1, F.lit(False))
 
 
 def missing_keys(payload: Column, keys: Sequence[str] = REQUIRED_KEYS) -> Column:
@@ -16,7 +24,7 @@ def missing_keys(payload: Column, keys: Sequence[str] = REQUIRED_KEYS) -> Column
     The key set is parsed once per record, however many keys are required.
     """
     wanted = F.array(*[F.lit(k) for k in keys])
-    return F.array_except(wanted, F.json_object_keys(payload))
+    return F.when(is_json(payload), F.array_except(wanted, F.json_object_keys(payload)))
 
 
 def has_keys(payload: Column, keys: Sequence[str] = REQUIRED_KEYS) -> Column:
@@ -35,10 +43,14 @@ def canonical_json(payload: Column) -> Column:
     Text that is no JSON, or holds a number Variant cannot keep exactly, stays as
     it is, so different values never become equal.
     """
-    canonical = F.to_json(F.try_parse_json(payload))
+    canonical = F.when(is_json(payload), F.to_json(F.try_parse_json(payload)))
     # Bound by the lambda, the parsed text is computed once however often it is used.
     return F.transform(
-        F.array(canonical), lambda text: F.when(~text.rlike(_INEXACT_NUMBER), text).otherwise(payload)
+        F.array(canonical),
+        lambda text: F.when(
+            # Strings are looked at only where there is something to find.
+            ~text.rlike(_INEXACT_NUMBER) | ~F.regexp_replace(text, _STRING, "").rlike(_INEXACT_NUMBER), text
+        ).otherwise(payload),
     )[0]
 
 

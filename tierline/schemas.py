@@ -33,7 +33,8 @@ GOLD_KEYS = ("country", "state_province", "brewery_type")
 # Placeholder, page size, parallel fetches, cursor of an empty layer.
 NOT_INFORMED = "Not Informed"
 PAGE_SIZE = 200
-MAX_FETCHES = 10
+# Pages a fetch task reads one after the other; a lost task reads them again.
+PAGES_PER_TASK = 4
 NO_CURSOR = "1900-01-01 00:00:00"
 
 PAYLOAD = T.StructType([T.StructField(f, T.StringType()) for f in PAYLOAD_FIELDS])

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tierline.schemas import MAX_FETCHES, PAGE_SIZE
+from tierline.schemas import PAGE_SIZE, PAGES_PER_TASK
 
 RECORD_SCHEMA = "page long, pos int, payload string"
 
@@ -30,19 +30,27 @@ def page_plan(spark: SparkSession, total: int, per_page: int = PAGE_SIZE) -> Dat
 def page_records(pages: DataFrame, body: str = "body") -> DataFrame:
     """One row ``(page, pos, payload)`` per object of each page's JSON array.
 
-    Each payload stays raw JSON. An empty page gives no rows; a page that is no JSON
-    array fails the job instead of vanishing.
+    Each payload stays raw JSON. ``[]``, ``{}`` and ``null`` are empty pages. Any other
+    body that is not one whole JSON array fails the job: NULL, blank, cut off, or with
+    text after the array. The body is parsed as the one item of a list, since the parser
+    would stop at the end of the first value and overlook the rest.
     """
-    filled = ~F.trim(body).isin("", "null", "{}")
-    items = F.from_json(body, "array<string>", {"mode": "FAILFAST"})
-    return pages.filter(filled).select("page", F.posexplode(items).alias("pos", "payload"))
-
-
-def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """Records of saved pages, one file per page; the page number is in the file name."""
+    text = F.coalesce(F.col(body), F.lit(""))
+    array = F.when(F.trim(F.translate(text, "\t\r\n", "   ")) == "{}", "[]").otherwise(text)
+    parsed = F.from_json(F.concat(F.lit("["), array, F.lit("]")), "array<array<string>>", {"mode": "FAILFAST"})
+    whole = F.when(F.size(parsed) == 1, parsed[0]).otherwise(
+        F.raise_error(F.concat(F.lit("MALFORMED page "), F.col("page").cast("string"))).cast("array<string>")
+    )
+    return pages.select("page", F.posexplode(whole).alias("pos", "payload"))
+
+
+def read_page_files(spark: SparkSession, path: str, number: str = r"(\d+)\D*$") -> DataFrame:
+    """Records of saved pages, one file per page. ``number`` finds the page number in the
+    file name without its ending: by default the last number there."""
     files = spark.read.text(path, wholetext=True)
-    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).cast("long")
-    return page_records(files.select(number.alias("page"), F.col("value").alias("body")))
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"(\.[A-Za-z][A-Za-z0-9]*)+$", "")
+    page = F.regexp_extract(name, number, 1).cast("long")
+    return page_records(files.select(page.alias("page"), F.col("value").alias("body")))
 
 
 class PageRange(InputPartition):
@@ -52,19 +60,27 @@ class PageRange(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    """At most ``max_fetches`` tasks, each fetching a contiguous range of pages."""
+    """Tasks of a few pages each, so that a lost one fetches little again.
+
+    Simultaneous fetches are bounded by the cores of the fetching application; where that
+    is too many for the server, ``max_fetches`` bounds the tasks instead, at the price of
+    longer ranges.
+    """
 
-    def __init__(self, fetch_total, fetch_page, per_page: int, max_fetches: int):
+    def __init__(self, fetch_total, fetch_page, per_page: int, pages_per_task: int, max_fetches: int | None = None):
         self.fetch_total = fetch_total
         self.fetch_page = fetch_page
         self.per_page = per_page
+        self.pages_per_task = pages_per_task
         self.max_fetches = max_fetches
 
     def partitions(self) -> list[InputPartition]:
         n = page_count(int(self.fetch_total()), self.per_page)
-        tasks = min(n, self.max_fetches)
-        cuts = [n * i // tasks for i in range(tasks + 1)] if tasks else []
-        return [PageRange(lo + 1, hi) for lo, hi in zip(cuts, cuts[1:])] or [PageRange(1, 0)]
+        size = self.pages_per_task
+        if self.max_fetches:
+            size = max(size, page_count(n, self.max_fetches))
+        ranges = [PageRange(lo + 1, min(lo + size, n)) for lo in range(0, n, size)]
+        return ranges or [PageRange(1, 0)]
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
         # One Arrow batch per page: memory holds one page, whatever the range.
@@ -89,7 +105,7 @@ def paged_source(
 
     ``fetch_total()`` runs once per scan and returns the record total;
     ``fetch_page(page, per_page)`` runs in the tasks and returns a list of objects.
-    Options: ``perPage`` and ``maxFetches`` (simultaneous fetch tasks).
+    Options: ``perPage``, ``pagesPerTask`` and ``maxFetches`` (none by default).
     """
 
     class PagedSource(DataSource):
@@ -105,7 +121,8 @@ def paged_source(
                 fetch_total,
                 fetch_page,
                 int(self.options.get("perPage", PAGE_SIZE)),
-                int(self.options.get("maxFetches", MAX_FETCHES)),
+                int(self.options.get("pagesPerTask", PAGES_PER_TASK)),
+                int(self.options.get("maxFetches", 0)) or None,
             )
 
     return PagedSource
