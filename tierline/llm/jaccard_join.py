@@ -324,15 +324,18 @@ def _join_blocks(percent: int, complete: bool, dense: int) -> Callable[[Iterator
     return join
 
 
-def _shared_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From rows (``token, id``) sorted by both: the ids of each token that has two at
-    least, once if several tokens have the same ids. A token's rows are few here."""
-    rest_token, rest_id = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-
-    def groups(token: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
+def _shared_groups(percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """From rows (``token, id, n``) sorted by token: the ids of the sets that share a token
+    and are of like size (``n``), once if several tokens have the same. A token's rows are
+    few here."""
+
+    def groups(token: np.ndarray, ids: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        order = np.lexsort((ids, n, token))
+        token, ids, n = token[order], ids[order], n[order]
         new = np.r_[True, (token[1:] != token[:-1]) | (ids[1:] != ids[:-1])][: len(token)]
-        token, ids = token[new], ids[new]
-        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+        token, ids, n = token[new], ids[new], n[new]
+        # A group ends where the next larger set is too large for all before it.
+        starts = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (percent * n[1:] > 100 * n[:-1])][: len(token)])
         ends = np.append(starts[1:], len(token))
         several = ends - starts > 1
         found: dict[bytes, np.ndarray] = {}
@@ -340,13 +343,17 @@ def _shared_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found.setdefault(ids[a:b].tobytes(), ids[a:b])
         return pd.DataFrame({"ids": _lists(found.values())})
 
-    for batch in batches:
-        token, ids = np.concatenate([rest_token, batch["token"].to_numpy()]), np.concatenate([rest_id, batch["id"].to_numpy()])
-        # The last token may go on in the next batch.
-        cut = np.searchsorted(token, token[-1]) if len(token) else 0
-        yield groups(token[:cut], ids[:cut])
-        rest_token, rest_id = token[cut:], ids[cut:]
-    yield groups(rest_token, rest_id)
+    def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = [np.empty(0, dtype=np.int64)] * 3
+        for batch in batches:
+            rows = [np.concatenate([r, batch[c].to_numpy()]) for r, c in zip(rest, ("token", "id", "n"))]
+            # The last token may go on in the next batch.
+            cut = np.searchsorted(rows[0], rows[0][-1]) if len(rows[0]) else 0
+            yield groups(*(r[:cut] for r in rows))
+            rest = [r[cut:] for r in rows]
+        yield groups(*rest)
+
+    return shared
 
 
 def _blocks(rows: DataFrame, count: Column) -> Column:
@@ -370,13 +377,14 @@ class _Join:
 
     def groups(self) -> DataFrame:
         """``group, id, many``: documents that share one of their first shingles."""
-        rare = self.profiles.select(F.explode("rare").alias("token"), F.col("text_id").alias("id"))
-        shared = rare.repartition("token").sortWithinPartitions("token", "id").mapInPandas(_shared_groups, "ids array<bigint>")
+        rare = self.profiles.select(F.explode("rare").alias("token"), F.col("text_id").alias("id"), "n")
+        shared = rare.repartition("token").sortWithinPartitions("token").mapInPandas(_shared_groups(self.percent), "ids array<bigint>")
         small = shared.groupBy(F.xxhash64("ids").alias("group")).agg(F.first("ids").alias("ids"))
         small = small.select("group", F.explode("ids").alias("id"), F.size("ids").cast("long").alias("many"))
         # Frequent shingles: first one row a document set, combined before the shuffle.
-        frequent = self.profiles.select(F.explode("frequent").alias("group"), F.col("text_id").alias("id")).distinct()
-        large = frequent.join(frequent.groupBy("group").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "group")
+        frequent = stage(self.profiles.select(F.explode("frequent").alias("group"), F.col("text_id").alias("id")).distinct(), "frequent")
+        counts = stage(frequent.groupBy("group").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "counts")
+        large = frequent.join(small_side(counts), "group")
         return stage(small.unionByName(large.select("group", "id", "many")), "groups")
 
     def shingles(self, pairs: DataFrame) -> DataFrame:
@@ -422,14 +430,14 @@ class _Join:
         parts = components(links)
 
         # Groups of several blocks: one document of each part of the group stands for it.
-        again = first.where(F.col("use") == AGAIN).select(F.col("a").alias("group")).distinct()
-        open_groups = stage(
-            groups.join(again.withColumn("dense", F.lit(True)), "group", "left").where(F.col("dense") | (F.col("many") > BLOCK)).select("group", "id", "many"), "open"
-        )
+        again = first.where(F.col("use") == AGAIN).select(F.col("a").alias("group"))
+        again = small_side(stage(again.unionByName(groups.where(F.col("many") > BLOCK).select("group")).distinct(), "again"))
+        open_groups = stage(groups.join(again, "group", "left_semi"), "open")
         if not open_groups.isEmpty():
             heads = _with_parts(open_groups.where(F.col("many") > BLOCK), parts).groupBy("group", "part").agg(F.min("id").alias("id"))
-            many = heads.groupBy("group").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-            heads = heads.join(many, "group").select("group", _blocks(heads, F.col("many")).alias("i"), F.lit(0).alias("side"), "id", "part").withColumn("j", F.col("i"))
+            heads = stage(heads, "heads")
+            many = stage(heads.groupBy("group").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "many")
+            heads = heads.join(small_side(many), "group").select("group", _blocks(heads, F.col("many")).alias("i"), F.lit(0).alias("side"), "id", "part").withColumn("j", F.col("i"))
             second = stage(self.sorted_blocks(heads, complete=False), "pairs").where(F.col("use") == CONNECT)
             links = self._more(links, second, shingles)
             parts = components(links)
@@ -466,9 +474,10 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     """Rows (``group, id, many, part``) of groups with several parts, for every two blocks
     that hold different ones. A part of more than a block has blocks of its own; two of
     the same part never meet."""
-    held = rows.groupBy("group", "part").agg(F.count(F.lit(1)).alias("held"))
+    held = stage(rows.groupBy("group", "part").agg(F.count(F.lit(1)).alias("held")), "held")
     several = held.groupBy("group").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("group")
-    known = rows.join(held, ["group", "part"]).join(several, "group", "left_semi")
+    open_parts = stage(held.join(several, "group", "left_semi"), "parts")
+    known = rows.join(small_side(open_parts), ["group", "part"])
     alone = F.col("held") > BLOCK
     block = F.when(alone, F.xxhash64("part", _blocks(rows, F.col("held")))).otherwise(F.pmod(F.xxhash64("part"), F.ceil(F.col("many") / BLOCK)))
     placed = known.withColumn("own", F.when(alone, F.col("part"))).withColumn("block", block)
