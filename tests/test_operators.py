@@ -221,10 +221,10 @@ def test_reconcile(spark):
 def test_preflight(spark):
     df = spark.range(3)
     checks = gates.preflight({"a": (df, ["id"]), "b": (df, ["x"]), "c": (df.limit(0), [])}).collect()
-    assert [(r.input, r.missing_columns, r.n_rows, r.status) for r in checks] == [
-        ("a", "", 3, "ok"),
-        ("b", "x", 3, "missing columns"),
-        ("c", "", 0, "empty"),
+    assert [(r.input, r.missing_columns, r.has_rows, r.status) for r in checks] == [
+        ("a", "", True, "ok"),
+        ("b", "x", True, "missing columns"),
+        ("c", "", False, "empty"),
     ]
 
 

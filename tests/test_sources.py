@@ -189,9 +189,11 @@ def test_bronze_store(spark, tmp_path, compact):
     # The same run again gives the same result: it does not see its own output.
     assert _load(spark, store, [("a", '{"v": 1.0}'), ("b", '{"v":2}'), ("c", '{"v":1}')], "2", T2) == 2
     assert _current(store) == want
-    assert {r.id_api for r in store.changed_since(T1).collect()} == {"b", "c"}
-    assert {r.id_api for r in store.changed_since(None).collect()} == {"a", "b", "c"}
-    assert {r.id_api for r in store.changed_since(None, upto="1").collect()} == {"a", "b"}
+    assert store.runs() == ["run_id=1", "run_id=2"] and store.runs("1") == ["run_id=1"]
+    assert {r.id_api for r in store.changed_by(["run_id=2"]).collect()} == {"b", "c"}
+    assert {r.id_api: r.payload for r in store.changed_by(store.runs()).collect()} == want
+    assert {r.id_api for r in store.changed_by(store.runs("1")).collect()} == {"a", "b"}
+    assert store.missing_rows(store.runs()) == 0
     assert tuple(store.stats("2", T1).first()) == (3, 2)
     assert tuple(store.stats("2", T2).first()) == (3, 0)
     # Nothing changed: no run is kept.

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tierline.plans import stages
 from tierline.plans.stages import Layers, Outcome, StageFailed, bronze_stage, gold_stage, refresh, silver_stage
-from tierline.schemas import GOLD, SILVER
+from tierline.schemas import BRONZE_CHANGES, GOLD, SILVER
 from tierline.sources import lake
 from tierline.sources.bronze import BronzeStore
+from tierline.sources.jdbc import append_sink
 from tierline.sources.pages import paged_source, read_page_files
 from tierline.streaming.handover import stream_silver
 
@@ -144,12 +145,12 @@ def test_retry_after_a_failed_stage(spark, layers):
     fetched = _fetched(spark, _record("a"), _record("b"))
     seen = []
 
-    def broken(run):
+    def broken(run, run_id):
         raise OSError("sink is down")
 
     with pytest.raises(OSError):
         refresh(spark, layers, fetched, RUNS[0], TIMES[0], silver_sinks=[broken])
-    again = refresh(spark, layers, fetched, RUNS[0], TIMES[0], silver_sinks=[lambda run: seen.append(run.count())])
+    again = refresh(spark, layers, fetched, RUNS[0], TIMES[0], silver_sinks=[lambda run, run_id: seen.append(run.count())])
     assert [o.rows for o in again] == [2, 2, 1] and seen == [2]
     assert lake.read_runs(spark, layers.silver, SILVER).count() == 2
 
@@ -169,8 +170,8 @@ def test_two_bronze_runs_before_one_silver_run(spark, layers):
 
 
 def test_reconciliation_stops_the_run(spark, layers, monkeypatch):
-    monkeypatch.setattr(stages.lake, "write_run", lambda *a, _real=lake.write_run, **k: _real(*a, **k) + 1)
     bronze_stage(spark, layers, _fetched(spark, _record("a")), RUNS[0], TIMES[0])
+    monkeypatch.setattr(stages.lake, "write_run", lambda *a, _real=lake.write_run, **k: _real(*a, **k) + 1)
     with pytest.raises(StageFailed, match="wrote 2 rows, found 1"):
         silver_stage(spark, layers, RUNS[0], TIMES[0])
 
@@ -201,23 +202,116 @@ def test_stream_hand_over(spark, layers, tmp_path):
     store = BronzeStore(spark, layers.bronze)
     told = []
 
-    def catch_up():
+    def catch_up(checkpoint="ckpt"):
         stream_silver(
-            spark, store.changes_path, layers.silver, str(tmp_path / "ckpt"), clock=lambda n: TIMES[n], then=told.append
+            spark, layers.bronze, layers.silver, str(tmp_path / checkpoint), clock=lambda run: TIMES[2], then=told.append
         ).awaitTermination()
 
+    catch_up()
     bronze_stage(spark, layers, _fetched(spark, _record("a"), _record("b")), RUNS[0], TIMES[0])
     catch_up()
     catch_up()
-    assert told == ["batch_000000000000"]
+    # The same run again, and a run that is not complete: nothing new.
+    bronze_stage(spark, layers, _fetched(spark, _record("a"), _record("b")), RUNS[0], TIMES[0])
+    lake.write_run(store.changed_by(store.runs()).withColumn("op", F.lit("insert")), store.changes_path, RUNS[3])
+    os.remove(f"{lake.run_path(store.changes_path, RUNS[3])}/_SUCCESS")
+    catch_up()
+    # A lost checkpoint neither repeats nor overwrites anything.
+    catch_up("other")
+    assert told == [RUNS[0]]
     # Committed late, with an older stamp than silver has seen: still picked up.
     late = store.state().withColumn("id_api", F.lit("late")).limit(1).withColumn("op", F.lit("insert"))
-    late.select("id_api", F.lit(json.dumps(_record("late"))).alias("payload"), "ingested_at", "updated_at", "op") \
-        .write.parquet(lake.run_path(store.changes_path, "20231231_0900"))
+    store.append(late.withColumn("payload", F.lit(json.dumps(_record("late")))), "20231231_0900")
     catch_up()
-    assert told == ["batch_000000000000", "batch_000000000001"]
+    assert told == [RUNS[0], "20231231_0900"]
     rows = lake.read_runs(spark, layers.silver, SILVER).collect()
-    assert {(r.run_id[-1], r.id) for r in rows} == {("0", "a"), ("0", "b"), ("1", "late")}
+    assert {(r.run_id, r.id) for r in rows} == {(RUNS[0], "a"), (RUNS[0], "b"), ("20231231_0900", "late")}
+
+
+def test_a_run_repeated_after_compaction(spark, layers):
+    bronze_stage(spark, layers, _fetched(spark, _record("a")), RUNS[0], TIMES[0], compact_after=1)
+    BronzeStore(spark, layers.bronze).compact(buckets=2)
+    again = _fetched(spark, _record("a", "nano"), _record("b"))
+    assert bronze_stage(spark, layers, again, RUNS[0], TIMES[0], compact_after=1).rows == 2
+    state = {r.id_api: json.loads(r.payload)["brewery_type"] for r in BronzeStore(spark, layers.bronze).state().collect()}
+    assert state == {"a": "nano", "b": "micro"}
+    assert silver_stage(spark, layers, RUNS[0], TIMES[0]).rows == 2
+
+
+def test_an_older_run_is_refused(spark, layers):
+    bronze_stage(spark, layers, _fetched(spark, _record("a")), RUNS[1], TIMES[1])
+    with pytest.raises(StageFailed, match="committed already"):
+        bronze_stage(spark, layers, _fetched(spark, _record("b")), RUNS[0], TIMES[0])
+
+
+def test_an_older_gold_run_repeated(spark, layers):
+    refresh(spark, layers, _fetched(spark, _record("a")), RUNS[0], TIMES[0])
+    refresh(spark, layers, _fetched(spark, _record("a", "nano"), _record("b", "nano")), RUNS[1], TIMES[1])
+    for scope in ("latest_run", "current"):
+        gold_stage(spark, layers, RUNS[0], TIMES[0], scope=scope)
+        first = lake.read_run(spark, layers.gold, GOLD, lake.run_name(RUNS[0]))
+        assert [(r.brewery_type, r.total_breweries) for r in first.collect()] == [("Micro", 1)]
+
+
+def test_rows_committed_late_reach_silver(spark, layers):
+    bronze_stage(spark, layers, _fetched(spark, _record("a")), RUNS[0], TIMES[0])
+    silver_stage(spark, layers, RUNS[2], TIMES[2])
+    bronze_stage(spark, layers, _fetched(spark, _record("a"), _record("b")), RUNS[1], TIMES[1])
+    assert silver_stage(spark, layers, RUNS[3], TIMES[3]).rows == 1
+    assert silver_stage(spark, layers, "20240105_0900", datetime(2024, 1, 5, 9)).status == "skip"
+    assert sorted(r.id for r in lake.read_runs(spark, layers.silver, SILVER).collect()) == ["a", "b"]
+
+
+def test_a_lost_bronze_row_stops_silver(spark, layers):
+    bronze_stage(spark, layers, _fetched(spark, _record("a"), _record("b")), RUNS[0], TIMES[0])
+    store = BronzeStore(spark, layers.bronze)
+    kept = store.state().where("id_api = 'a'").withColumn("op", F.lit("insert")).collect()
+    lake.write_run(spark.createDataFrame(kept, BRONZE_CHANGES), store.changes_path, RUNS[0])
+    with pytest.raises(StageFailed, match="1 of the rows"):
+        silver_stage(spark, layers, RUNS[0], TIMES[0])
+
+
+def test_appended_once_however_often_repeated(spark, layers, tmp_path):
+    copies = str(tmp_path / "copies")
+    sink = append_sink(
+        "ingested_at",
+        lambda: spark.read.schema(SILVER).parquet(copies) if os.path.exists(copies) else None,
+        lambda df: df.write.mode("append").parquet(copies),
+    )
+
+    def broken(run, run_id):
+        raise OSError("sink is down")
+
+    fetched = _fetched(spark, _record("a"), _record("b"))
+    with pytest.raises(OSError):
+        refresh(spark, layers, fetched, RUNS[0], TIMES[0], [sink], [broken])
+    refresh(spark, layers, fetched, RUNS[0], TIMES[0], [sink])
+    assert sorted(r.id for r in spark.read.parquet(copies).collect()) == ["a", "b"]
+
+
+def test_a_fetch_without_its_columns_is_refused(spark, layers):
+    with pytest.raises(StageFailed, match="lacks pos"):
+        bronze_stage(spark, layers, _fetched(spark, _record("a")).drop("pos"), RUNS[0], TIMES[0])
+
+
+def test_a_merge_moves_only_the_batch(spark, layers):
+    """Past the first load the store is bucketed: one exchange, the batch's, whatever its size."""
+    bronze_stage(spark, layers, _fetched(spark, _record("a"), _record("b")), RUNS[0], TIMES[0])
+    store = BronzeStore(spark, layers.bronze)
+    assert store.outgrown(RUNS[1]) and not store.outgrown(RUNS[0])
+    bronze_stage(spark, layers, _fetched(spark, _record("a"), _record("c")), RUNS[1], TIMES[1], broadcast_bytes=0)
+    assert len(lake.list_runs(spark, store.snapshot_path)) == 1
+    batch = store.changed_by([lake.run_name(RUNS[1])]).select("id_api", "payload", "updated_at").repartition(3)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = stages.keyed.upsert_changes(store.layers(RUNS[1]), batch)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    delta = store.changed_by([lake.run_name(RUNS[1])])
+    assert "snapshot" not in "".join(delta.inputFiles())
 
 
 def test_no_records_at_all(spark, layers):

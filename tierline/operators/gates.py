@@ -85,22 +85,24 @@ def reconcile(df: DataFrame, ts: str, expected: int | Column) -> DataFrame:
     )
 
 
-def preflight(inputs: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Per input: required columns it lacks, row count, and whether it can be used.
+def preflight(inputs: dict[str, tuple[DataFrame, list[str]]], rows: bool = True) -> DataFrame:
+    """Per input: required columns it lacks, whether it has rows, and whether it can be used.
 
-    Row counts come from file footers where the format keeps them.
+    One row is enough to know that an input is not empty: nothing is counted. Without
+    ``rows`` the data is not read at all and ``has_rows`` is null.
     """
     checks = None
     for name, (df, required) in inputs.items():
         missing = [c for c in required if c not in df.columns]
-        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        if rows:
+            found = df.select(F.lit(1)).limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows"))
+        else:
+            found = df.sparkSession.sql("select cast(null as boolean) as has_rows")
+        row = found.select(
             F.lit(name).alias("input"),
             F.lit(",".join(missing)).alias("missing_columns"),
-            "n_rows",
-            F.when(F.lit(bool(missing)), "missing columns")
-            .when(F.col("n_rows") == 0, "empty")
-            .otherwise("ok")
-            .alias("status"),
+            "has_rows",
+            F.when(F.lit(bool(missing)), "missing columns").when(~F.col("has_rows"), "empty").otherwise("ok").alias("status"),
         )
         checks = row if checks is None else checks.unionByName(row)
     return checks

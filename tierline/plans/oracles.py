@@ -207,10 +207,10 @@ select count(*) as total, count(*) filter (where ts > timestamp '2024-01-16') as
         [_reconciled("match", _NEWEST_ORDERS), _reconciled("mismatch", "select count(*) from orders")]
     ),
     "preflight": """
-select 'customer' as input, '' as missing_columns, count(*) as n_rows,
+select 'customer' as input, '' as missing_columns, count(*) > 0 as has_rows,
        case when count(*) = 0 then 'empty' else 'ok' end as status from customer
-union all select 'orders', 'o_updated_at', count(*), 'missing columns' from orders
-union all select 'events', '', count(*), case when count(*) = 0 then 'empty' else 'ok' end from events""",
+union all select 'orders', 'o_updated_at', count(*) > 0, 'missing columns' from orders
+union all select 'events', '', count(*) > 0, case when count(*) = 0 then 'empty' else 'ok' end from events""",
     "lake_partitioned": _stored(_CUSTOMERS),
     "lake_scan": _runs(
         "id, name, country, state_province, brewery_type, latitude", _stored(_CUSTOMERS), _stored(_SUPPLIERS)
@@ -241,6 +241,18 @@ from ({_runs(_SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA))})""",
         "country, state_province, brewery_type, total_breweries", _gold(_CUSTOMERS), _gold(_SECOND_DELTA)
     ),
     "stream_silver": _runs(
-        _SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA), ("batch_000000000000", "batch_000000000001")
+        _SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA), (_RUN_1, _RUN_2)
     ),
+    "page_files": f"select page, pos, {_PAYLOAD} as payload from ({_CUSTOMERS})",
+    "page_source": f"select page, pos, id, name, city, phone from ({_CUSTOMERS})",
+    "silver_late": _runs(
+        _SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA), ("20240103_0900", "20240104_0900")
+    ),
+    "gold_repeat": _runs(
+        "country, state_province, brewery_type, total_breweries", _gold(_CUSTOMERS), _gold(_SECOND_DELTA)
+    ),
+    "medallion_repeat": f"""
+select {_SILVER_COLUMNS} from ({_stored(_CUSTOMERS)}) union all select {_SILVER_COLUMNS} from ({_stored(_SECOND_DELTA)})""",
+    "stream_repeat": _runs(_SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SUPPLIERS), (_RUN_1, "20231231_0900")),
 }
+ORACLES["bronze_stage_shuffled"] = ORACLES["bronze_repeat"] = ORACLES["bronze_stage"]

@@ -1,5 +1,6 @@
 """The registered queries: every operator over whole test tables."""
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -11,10 +12,11 @@ from tierline.functions.stamps import run_id_of, stamp
 from tierline.operators import clean, counts, gates, keyed, records
 from tierline.plans import feeds
 from tierline.plans.stages import Layers, bronze_stage, gold_stage, refresh, silver_stage
-from tierline.schemas import BRONZE_CHANGES, GOLD, LOCATION_COLUMNS, SILVER
+from tierline.schemas import BRONZE_CHANGES, GOLD, LOCATION_COLUMNS, PAGE_SIZE, SILVER
 from tierline.session import new_folder, prepare, stage
 from tierline.sources import lake, pages
 from tierline.sources.bronze import BronzeStore
+from tierline.sources.jdbc import append_sink
 from tierline.streaming.handover import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,7 @@ FIRST = datetime(2024, 1, 1, 9)
 REPEAT = datetime(2024, 1, 2, 9)
 SECOND = datetime(2024, 1, 3, 9)
 FIRST_RUN, REPEAT_RUN, SECOND_RUN = "20240101_0900", "20240102_0900", "20240103_0900"
+LATER, LATER_RUN, LATE_RUN = datetime(2024, 1, 4, 9), "20240104_0900", "20231231_0900"
 SPLIT = datetime(2024, 1, 16)
 
 
@@ -131,6 +134,37 @@ def page_scan(spark, sf_dir):
     return pages.page_records(saved)
 
 
+@query
+def page_files(spark, sf_dir):
+    """Pages saved as text files, a folder each, and read back."""
+    folder = new_folder(spark, "page_files")
+    saved = feeds.pages(_feed(spark, sf_dir))
+    saved.write.mode("overwrite").partitionBy("page").text(folder)
+    return pages.read_page_files(spark, folder, number=r"/page=(\d+)/")
+
+
+@query
+def page_source(spark, sf_dir):
+    """The paged source over a fetcher that looks each page up in a table of pages."""
+    folder = new_folder(spark, "page_source")
+    feed = _feed(spark, sf_dir)
+    feed.repartition("page").write.mode("overwrite").parquet(folder)
+    last = spark.read.schema(feed.schema).parquet(folder).agg(F.max("page")).first()[0]
+
+    def fetch_page(number: int, per_page: int) -> list:
+        from pyarrow import dataset, fs
+
+        files, path = fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
+        found = dataset.dataset(path, filesystem=files, format="parquet").to_table(filter=dataset.field("page") == number)
+        return [json.loads(r["payload"]) for r in sorted(found.to_pylist(), key=lambda r: r["pos"])]
+
+    source = f"pages_{uuid.uuid4().hex}"
+    total = (last or 0) * PAGE_SIZE
+    spark.dataSource.register(pages.paged_source(lambda: str(total), fetch_page, source))
+    fetched = spark.read.format(source).option("pagesPerTask", 2).load()
+    return fetched.select("page", "pos", *(_json_field(f) for f in ("id", "name", "city", "phone")))
+
+
 # --- keyed rows and upserts
 
 
@@ -340,7 +374,7 @@ def run_id(spark, sf_dir):
 # --- stages
 
 
-def _loaded(spark, sf_dir, through: str) -> Layers:
+def _loaded(spark, sf_dir, through: str, **options) -> Layers:
     """A full first load, then the second fetch, through the given stage."""
     layers = Layers.under(new_folder(spark, through))
     fetches = [
@@ -348,7 +382,7 @@ def _loaded(spark, sf_dir, through: str) -> Layers:
         (feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND),
     ]
     for fetched, run, as_of in fetches:
-        bronze_stage(spark, layers, fetched, run, as_of)
+        bronze_stage(spark, layers, fetched, run, as_of, **options)
         if through != "bronze":
             silver_stage(spark, layers, run, as_of)
     return layers
@@ -358,15 +392,58 @@ def _json_field(name: str):
     return F.get_json_object("payload", f"$.{name}").alias(name)
 
 
-@query
-def bronze_stage_(spark, sf_dir):
-    layers = _loaded(spark, sf_dir, "bronze")
+def _bronze_state(spark, layers: Layers) -> DataFrame:
     state = BronzeStore(spark, layers.bronze).state()
     return state.select(
         "id_api", _json_field("name"), _json_field("address_2"), _seconds("ingested_at"), _seconds("updated_at")
     )
 
 
+@query
+def bronze_stage_(spark, sf_dir):
+    return _bronze_state(spark, _loaded(spark, sf_dir, "bronze"))
+
+
+@query
+def bronze_stage_shuffled(spark, sf_dir):
+    """As a batch too large to broadcast is merged: against the bucketed snapshot."""
+    return _bronze_state(spark, _loaded(spark, sf_dir, "bronze", broadcast_bytes=0))
+
+
+@query
+def bronze_repeat(spark, sf_dir):
+    """The second run broke off after half of the feed, was compacted, and is repeated."""
+    layers = Layers.under(new_folder(spark, "bronze_repeat"))
+    half = feeds.with_payload(feeds.supplier_records(spark, sf_dir).withColumn("name", F.lit("first try")))
+    bronze_stage(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST)
+    bronze_stage(spark, layers, half, SECOND_RUN, SECOND)
+    BronzeStore(spark, layers.bronze).compact()
+    bronze_stage(spark, layers, feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND)
+    return _bronze_state(spark, layers)
+
+
+@query
+def silver_late(spark, sf_dir):
+    """A bronze run committed after silver ran, stamped before it: the next run reads it."""
+    layers = Layers.under(new_folder(spark, "silver_late"))
+    bronze_stage(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST)
+    silver_stage(spark, layers, SECOND_RUN, SECOND)
+    bronze_stage(spark, layers, feeds.second_fetch(spark, sf_dir), REPEAT_RUN, REPEAT)
+    silver_stage(spark, layers, LATER_RUN, LATER)
+    silver_stage(spark, layers, LATER_RUN, LATER)
+    return lake.read_runs(spark, layers.silver, SILVER).drop("ingested_at")
+
+
+@query
+def gold_repeat(spark, sf_dir):
+    """Both runs counted, then the first one repeated: it does not see the second."""
+    layers = _loaded(spark, sf_dir, "silver")
+    gold_stage(spark, layers, FIRST_RUN, FIRST)
+    gold_stage(spark, layers, SECOND_RUN, SECOND)
+    gold_stage(spark, layers, FIRST_RUN, FIRST)
+    return lake.read_runs(spark, layers.gold, GOLD).drop("processed_at")
+
+
 @query
 def silver_stage_(spark, sf_dir):
     layers = _loaded(spark, sf_dir, "silver")
@@ -398,15 +475,35 @@ def medallion(spark, sf_dir):
     return lake.read_runs(spark, layers.gold, GOLD).drop("processed_at")
 
 
+@query
+def medallion_repeat(spark, sf_dir):
+    """The first run breaks off after silver and is repeated; an append sink has each row once."""
+    layers = Layers.under(new_folder(spark, "medallion_repeat"))
+    copies = f"{layers.silver}_copies"
+
+    def stored():
+        return spark.read.schema(SILVER).parquet(copies) if lake.exists(spark, copies) else None
+
+    def broken(run: DataFrame, run_id: str) -> None:
+        raise OSError("the gold sink is down")
+
+    sink = append_sink("ingested_at", stored, lambda df: df.write.mode("append").parquet(copies))
+    try:
+        refresh(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST, [sink], [broken])
+    except OSError:
+        refresh(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST, [sink])
+    refresh(spark, layers, feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND, [sink])
+    return stored().drop("ingested_at")
+
+
 @query
 def stream_silver_(spark, sf_dir):
     """Bronze load, stream, stream again with nothing new, second load, stream."""
     layers = Layers.under(new_folder(spark, "stream"))
-    store = BronzeStore(spark, layers.bronze)
     checkpoint = new_folder(spark, "checkpoint")
 
     def catch_up():
-        stream_silver(spark, store.changes_path, layers.silver, checkpoint).awaitTermination()
+        stream_silver(spark, layers.bronze, layers.silver, checkpoint).awaitTermination()
 
     bronze_stage(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST)
     catch_up()
@@ -414,3 +511,27 @@ def stream_silver_(spark, sf_dir):
     bronze_stage(spark, layers, feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND)
     catch_up()
     return lake.read_runs(spark, layers.silver, SILVER).drop("ingested_at")
+
+
+@query
+def stream_repeat(spark, sf_dir):
+    """A run repeated, one that was never committed, a lost checkpoint, and a late run."""
+    layers = Layers.under(new_folder(spark, "stream_repeat"))
+    store = BronzeStore(spark, layers.bronze)
+
+    def catch_up(checkpoint: str) -> None:
+        stream_silver(spark, layers.bronze, layers.silver, checkpoint).awaitTermination()
+
+    checkpoint = new_folder(spark, "checkpoint")
+    for _ in range(2):
+        bronze_stage(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST)
+        catch_up(checkpoint)
+    lake.write_run(store.changed_by(store.runs()).withColumn("op", F.lit("insert")), store.changes_path, SECOND_RUN)
+    lake.drop_note(spark, f"{lake.run_path(store.changes_path, SECOND_RUN)}/_SUCCESS")
+    checkpoint = new_folder(spark, "checkpoint")
+    catch_up(checkpoint)
+    late = records.accepted(records.examined(feeds.with_payload(feeds.supplier_records(spark, sf_dir))))
+    stamps = {"ingested_at": stamp(FIRST), "updated_at": stamp(FIRST), "op": F.lit("insert")}
+    store.append(late.withColumns(stamps), LATE_RUN)
+    catch_up(checkpoint)
+    return lake.read_runs(spark, layers.silver, SILVER).drop("ingested_at")

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from tierline.functions.stamps import EPOCH, stamp, utc
 from tierline.operators import clean, counts, gates, keyed, records
-from tierline.schemas import GOLD, LOCATION_COLUMNS, REQUIRED_KEYS, SILVER
+from tierline.schemas import FETCHED, GOLD, LOCATION_COLUMNS, REQUIRED_KEYS, SILVER
 from tierline.sources import lake
 from tierline.sources.bronze import BronzeStore
 
-Sink = Callable[[DataFrame], None]
+# Takes a run's written rows and its id; a repeated run comes with the same id again.
+Sink = Callable[[DataFrame, str], None]
 
 
 class StageFailed(RuntimeError):
@@ -95,6 +96,7 @@ def bronze_stage(
     on_duplicate: str = "last",
     compact_after: int | None = None,
     land: bool = True,
+    broadcast_bytes: int = keyed.BROADCAST_BYTES,
 ) -> Outcome:
     """Merge fetched records ``(page, pos, payload)`` into the bronze store.
 
@@ -103,10 +105,22 @@ def bronze_stage(
     ``land=False`` saves that copy for records that already lie in files which do not
     change. Records without the mandatory keys or an id are left out (landing keeps them;
     see :func:`tierline.operators.records.refused`). For a repeated id the last page and
-    position wins, or the run fails with ``on_duplicate="error"``. With ``compact_after``
-    the store is compacted whenever that many change runs wait.
+    position wins, or the run fails with ``on_duplicate="error"``.
+
+    First the runs before this one are compacted if they have outgrown the snapshot (see
+    :meth:`BronzeStore.outgrown`), or if ``compact_after`` of them wait (0: never). So the
+    merge finds the store bucketed by key and moves only the batch, and this run can be
+    repeated. A run older than a committed one is refused.
     """
+    checked = gates.preflight({"fetched": (fetched, list(FETCHED))}, rows=False).first()
+    if checked["status"] == "missing columns":
+        raise StageFailed(f"bronze: the fetch lacks {checked['missing_columns']}")
     store = BronzeStore(spark, layers.bronze)
+    newer = store.newer_runs(run_id)
+    if newer:
+        raise StageFailed(f"bronze: {newer[0]} is committed already, {run_id} is older")
+    if store.outgrown(run_id) if compact_after is None else 0 < compact_after <= store.pending(run_id):
+        store.compact(before=run_id)
     mark = gates.high_water_mark(store.stamps(run_id, inclusive=False), "updated_at")
     cursor = _after(_moment(mark.select(F.unix_micros("high_water_mark")).first()[0]), as_of)
 
@@ -120,13 +134,11 @@ def bronze_stage(
         raise StageFailed("bronze: a record id occurs twice in the batch")
     batch = keyed.latest_per_key(rows, keyed.KEY, [F.desc("page"), F.desc("pos")])
 
-    small_keys = rows.select(keyed.KEY) if id_bytes <= keyed.BROADCAST_BYTES else None
+    small_keys = rows.select(keyed.KEY) if id_bytes <= broadcast_bytes else None
     store.append(keyed.upsert_changes(store.layers(run_id), batch, small_keys=small_keys), run_id)
     verdict = gates.bronze_gate(store.stats(run_id, cursor)).first()
     if verdict["status"] == "fail":
         raise StageFailed(f"bronze: {verdict['reason']}")
-    if compact_after and store.pending() >= compact_after:
-        store.compact()
     return Outcome("bronze", verdict["status"], verdict["reason"], verdict["changed"])
 
 
@@ -138,28 +150,56 @@ def silver_stage(
     sinks: Iterable[Sink] = (),
     blank_as_missing: bool = False,
 ) -> Outcome:
-    """Clean the bronze rows newer than silver's high-water mark into one lake run.
+    """Clean what the bronze runs changed that no silver run has read into one lake run.
 
-    The lake is written first; ``sinks`` get the written rows, so every copy carries the
-    same stamps and bronze is read once.
+    Which bronze runs a silver run read is noted beside the layer, so a run committed late
+    is read whatever its stamp. The rows read must be as many as bronze committed, the
+    rows written as many as their ids. The lake is written first; ``sinks`` get the
+    written rows, so every copy carries the same stamps and bronze is read once.
     """
     store = BronzeStore(spark, layers.bronze)
+    bronze_runs = store.runs(run_id)
+    if not bronze_runs:
+        raise StageFailed("silver: upstream is empty")
+    seen = consumed_runs(spark, layers.silver, lambda run: run < lake.run_name(run_id), bronze_runs)
+    new = [r for r in bronze_runs if r not in seen]
+    if not new:
+        return Outcome("silver", "skip", "no new data")
     done = _last_before(spark, layers.silver, SILVER, run_id)
-    gate = gates.delta_gate(store.stamps(run_id), "updated_at", done, "ingested_at")
-    skipped, cursor = _pass_gate("silver", gate)
-    if skipped:
-        return skipped
-    delta = store.changed_since(_after(cursor, as_of), upto=run_id)
-    written = lake.write_run(
-        clean.silver_rows(delta, as_of, blank_as_missing), layers.silver, run_id, LOCATION_COLUMNS
-    )
+    _after(_moment(gates.high_water_mark(done, "ingested_at").select(F.unix_micros("high_water_mark")).first()[0]), as_of)
+    written = write_silver(spark, store, new, layers.silver, run_id, as_of, blank_as_missing)
     run = lake.read_run(spark, layers.silver, SILVER, lake.run_name(run_id))
     _reconciled("silver", run, "ingested_at", written)
     for sink in sinks:
-        sink(run)
+        sink(run, run_id)
     return Outcome("silver", "proceed", rows=written)
 
 
+def _notes_of(silver: str) -> str:
+    return f"{silver.rstrip('/')}_consumed"
+
+
+def consumed_runs(spark: SparkSession, silver: str, counts_in: Callable[[str], bool], bronze_runs: Sequence[str]) -> set[str]:
+    """The bronze runs that committed silver runs have read. A silver run without a note
+    has read every bronze run up to its own name."""
+    committed = [run for run in lake.list_runs(spark, silver) if counts_in(run)]
+    notes = lake.read_notes(spark, _notes_of(silver)) if committed else {}
+    return {r for run in committed for r in notes.get(run, [r for r in bronze_runs if r <= run])}
+
+
+def write_silver(
+    spark: SparkSession, store: BronzeStore, runs: list[str], silver: str, run_id: str, as_of: datetime, blank_as_missing: bool = False
+) -> int:
+    """One silver run from some bronze runs, and the note of which they were; the note
+    counts once the run is committed."""
+    lost = store.missing_rows(runs)
+    if lost:
+        raise StageFailed(f"silver: {lost} of the rows bronze committed are not there")
+    delta = store.changed_by(runs)
+    lake.write_note(spark, f"{_notes_of(silver)}/{lake.run_name(run_id)}", "\n".join(runs))
+    return lake.write_run(clean.silver_rows(delta, as_of, blank_as_missing), silver, run_id, LOCATION_COLUMNS)
+
+
 def gold_stage(
     spark: SparkSession,
     layers: Layers,
@@ -170,10 +210,11 @@ def gold_stage(
 ) -> Outcome:
     """Count by location and type into one gold run.
 
-    ``latest_run`` counts only the last silver run, which holds that run's delta;
-    ``current`` counts the latest version of every id over all silver runs.
+    ``latest_run`` counts only the last silver run up to this run, which holds its delta;
+    ``current`` counts the latest version of every id over all of them. A repeated run
+    does not see silver runs that came after it.
     """
-    silver_runs = lake.list_runs(spark, layers.silver)
+    silver_runs = [r for r in lake.list_runs(spark, layers.silver) if r <= lake.run_name(run_id)]
     if not silver_runs:
         raise lake.NoRuns(f"no runs in {layers.silver}")
     latest = lake.read_run(spark, layers.silver, SILVER, silver_runs[-1])
@@ -191,7 +232,7 @@ def gold_stage(
     run = lake.read_run(spark, layers.gold, GOLD, lake.run_name(run_id))
     _reconciled("gold", run, "processed_at", written)
     for sink in sinks:
-        sink(run)
+        sink(run, run_id)
     return Outcome("gold", "proceed", rows=written)
 
 

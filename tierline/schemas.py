@@ -35,6 +35,9 @@ NOT_INFORMED = "Not Informed"
 PAGE_SIZE = 200
 # Pages a fetch task reads one after the other; a lost task reads them again.
 PAGES_PER_TASK = 4
+
+# Columns of fetched records.
+FETCHED = ("page", "pos", "payload")
 NO_CURSOR = "1900-01-01 00:00:00"
 
 PAYLOAD = T.StructType([T.StructField(f, T.StringType()) for f in PAYLOAD_FIELDS])

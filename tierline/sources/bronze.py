@@ -1,9 +1,11 @@
 """Keyed bronze store on plain Parquet: per-run changes over a bucketed snapshot.
 
 ``<base>/changes/run_id=<id>`` holds the rows a run inserted or changed, so a run
-writes what changed, not the table. ``<base>/snapshot/run_id=<id>.b<N>`` holds the full
-state up to that run, hash-bucketed by key into N files: joins on the key read it in
-place and shuffle only the other side. A run becomes visible as a whole.
+writes what changed, not the table. ``<base>/commits/run_id=<id>`` notes how many they
+are; it is written last, and the stream follows these notes. ``<base>/snapshot/
+run_id=<id>.b<N>`` holds the full state up to that run, hash-bucketed by key into N files:
+joins on the key read it in place and shuffle only the other side. A run becomes visible
+as a whole; a run that is repeated finds the state before its first try.
 """
 
 import hashlib
@@ -14,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierline.functions.stamps import stamp
 from tierline.operators import keyed
-from tierline.operators.gates import delta_filter
 from tierline.operators.keyed import KEY, latest_per_key
 from tierline.schemas import BRONZE, BRONZE_CHANGES
 from tierline.sources import lake
 
-# Bytes of Parquet per bucket that compaction aims at, and the allowed bucket numbers.
+# Bytes of Parquet per bucket that compaction aims at, and the least number of buckets.
 BUCKET_BYTES = 256 << 20
-BUCKETS = (8, 65_536)
+LEAST_BUCKETS = 8
+
+# Change runs, or part of the snapshot's size, from which they are folded into it.
+FOLD_RUNS = 8
+FOLD_SHARE = 0.25
 
 
 def _run_of(folder: str) -> str:
@@ -34,6 +39,7 @@ class BronzeStore:
         self.spark = spark
         self.changes_path = f"{base.rstrip('/')}/changes"
         self.snapshot_path = f"{base.rstrip('/')}/snapshot"
+        self.commits_path = f"{base.rstrip('/')}/commits"
 
     def _visible(self, path: str, run_id: str | None, inclusive: bool) -> list[str]:
         """Run folders up to ``run_id``, oldest first."""
@@ -77,22 +83,41 @@ class BronzeStore:
         base, newer = layers
         return base.join(newer.select(KEY), KEY, "left_anti").unionByName(newer)
 
-    def changed_since(self, cursor: datetime | None, upto: str | None = None) -> DataFrame:
-        """Newest version of each key stamped after ``cursor``, as of run ``upto``.
-
-        Stamps grow from run to run, so the filter goes below the versioning, down to
-        the scan: files of older runs are skipped on their statistics.
-        """
-        snapshot, changes = self._parts(upto, inclusive=True)
+    def runs(self, upto: str | None = None) -> list[str]:
+        """Change runs up to ``upto``, oldest first; the newest snapshot stands for the
+        runs it holds if their folders are gone."""
+        snapshot, _ = self._parts(upto, inclusive=True)
+        changes = self._visible(self.changes_path, upto, inclusive=True)
+        if snapshot and not any(c <= _run_of(snapshot) for c in changes):
+            changes.insert(0, _run_of(snapshot))
+        return changes
+
+    def newer_runs(self, run_id: str) -> list[str]:
+        return [r for r in lake.list_runs(self.spark, self.changes_path) if r > lake.run_name(run_id)]
+
+    def changed_by(self, runs: list[str]) -> DataFrame:
+        """Newest version of each key among the rows of some :meth:`runs`, read from
+        their change folders only."""
+        rows = self._rows_of(runs)
+        if len(runs) > 1:
+            rows = latest_per_key(rows, KEY, [F.desc("run_id")])
+        return rows.select(*BRONZE.fieldNames())
+
+    def missing_rows(self, runs: list[str]) -> int:
+        """Rows that were committed by the runs and are not there; from file footers."""
+        here = {r for r in lake.list_runs(self.spark, self.changes_path) if r in runs}
+        notes = {name: int(lines[0]) for name, lines in lake.read_notes(self.spark, self.commits_path).items() if name in here}
+        found = self._rows_of(list(notes)).count() if notes else 0
+        return sum(notes.values()) - found
+
+    def _rows_of(self, runs: list[str]) -> DataFrame:
+        folders = set(lake.list_runs(self.spark, self.changes_path))
         columns = (*BRONZE.fieldNames(), "run_id")
-        versions = self._log(changes).select(*columns)
-        if snapshot:
-            base = self._snapshot(snapshot).withColumn("run_id", F.lit(""))
-            versions = base.select(*columns).unionByName(versions) if changes else base
-        newer = delta_filter(versions, "updated_at", cursor)
-        if len(changes) + bool(snapshot) > 1:
-            newer = latest_per_key(newer, KEY, [F.desc("run_id")])
-        return newer.select(*BRONZE.fieldNames())
+        rows = self._log([r for r in runs if r in folders]).select(*columns)
+        if any(r not in folders for r in runs):
+            snapshot = next(s for s in lake.list_runs(self.spark, self.snapshot_path) if _run_of(s) in runs)
+            rows = self._snapshot(snapshot).withColumn("run_id", F.lit("")).select(*columns).unionByName(rows)
+        return rows
 
     def stamps(self, run_id: str | None = None, inclusive: bool = True) -> DataFrame:
         """The stamps of the last run, whose latest one is the high-water mark: stamps
@@ -127,25 +152,50 @@ class BronzeStore:
         of a larger batch, so their files are sized anew.
         """
         later = any(self._parts(run_id))
+        self._forget_snapshots(run_id)
+        note = f"{self.commits_path}/{lake.run_name(run_id)}"
+        lake.drop_note(self.spark, note)
         rows = changes.select(*BRONZE_CHANGES.fieldNames())
         written = lake.write_run(rows, self.changes_path, run_id, rebalance=later)
         if written == 0:
             lake.drop_run(self.spark, self.changes_path, run_id)
+        else:
+            lake.write_note(self.spark, note, str(written))
         return written
 
-    def pending(self) -> int:
+    def _forget_snapshots(self, run_id: str) -> None:
+        """Drop snapshots that hold the run already: it is about to be written again."""
+        folders = set(lake.list_runs(self.spark, self.changes_path))
+        for name in lake.list_runs(self.spark, self.snapshot_path):
+            if _run_of(name) >= lake.run_name(run_id):
+                if _run_of(name) not in folders:
+                    raise RuntimeError(f"{name} is all that is left of its runs: {run_id} cannot be repeated")
+                path = f"{self.snapshot_path}/{name}"
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
+                lake.drop_run(self.spark, self.snapshot_path, name.removeprefix("run_id="))
+
+    def pending(self, before: str | None = None) -> int:
         """Change runs not yet folded into a snapshot."""
-        return len(self._parts()[1])
-
-    def compact(self, buckets: int | None = None) -> str | None:
-        """Fold all changes into a new bucketed snapshot named after the last run.
+        return len(self._parts(before)[1])
 
-        Run it after the first load, then now and then. While the bucket number stays,
-        the old snapshot is merged bucket by bucket in place and only the changes are
-        shuffled. Older folders are left for the caller's retention rules; readers move to
-        the new snapshot by themselves.
+    def outgrown(self, before: str | None = None) -> bool:
+        """Whether the changes should be folded: a first load always, later ones when
+        they are many, or large beside the snapshot."""
+        snapshot, changes = self._parts(before)
+        if not snapshot or not changes:
+            return bool(changes)
+        size = sum(lake.folder_bytes(self.spark, f"{self.changes_path}/{c}") for c in changes)
+        return len(changes) >= FOLD_RUNS or size > FOLD_SHARE * lake.folder_bytes(self.spark, f"{self.snapshot_path}/{snapshot}")
+
+    def compact(self, buckets: int | None = None, before: str | None = None) -> str | None:
+        """Fold all changes, or those of runs before ``before``, into a new bucketed
+        snapshot named after the last of them.
+
+        While the bucket number stays, the old snapshot is merged bucket by bucket in
+        place and only the changes are shuffled. Older folders are left for the caller's
+        retention rules; readers move to the new snapshot by themselves.
         """
-        snapshot, changes = self._parts()
+        snapshot, changes = self._parts(before)
         if not changes:
             return snapshot
         current = int(snapshot.rpartition(".b")[2]) if snapshot else 0
@@ -154,10 +204,10 @@ class BronzeStore:
             # Buckets may double in size before the table is spread anew.
             buckets = wanted if wanted > 2 * current else current
         if buckets == current:
-            state = keyed.overlay(*self.layers())
+            state = keyed.overlay(*self.layers(before))
         else:
             # One task per bucket file: the shuffle uses the hash the bucket layout uses.
-            state = self.state().repartition(buckets, KEY)
+            state = self.state(before).repartition(buckets, KEY)
         name = f"{changes[-1]}.b{buckets}"
         path = f"{self.snapshot_path}/{name}"
         table = self._table_name(path)
@@ -171,7 +221,7 @@ class BronzeStore:
         if snapshot:
             folders.append(f"{self.snapshot_path}/{snapshot}")
         size = sum(lake.folder_bytes(self.spark, f) for f in folders)
-        return min(max(-(-size // BUCKET_BYTES), BUCKETS[0]), BUCKETS[1])
+        return max(-(-size // BUCKET_BYTES), LEAST_BUCKETS)
 
     def _log(self, runs: list[str]) -> DataFrame:
         return lake.read_runs(self.spark, self.changes_path, BRONZE_CHANGES, runs)

@@ -36,7 +36,10 @@ def jdbc_delta_scan(
     fetch_rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """Rows newer than the cursor. The typed filter is pushed into the database's query;
-    ``split`` (see :func:`range_options`) or ``predicates``, one per task, spread it."""
+    ``split`` (see :func:`range_options`) or ``predicates``, one per task, spread it: one
+    of them is required, since without any a single task would read the whole table."""
+    if not split and not predicates:
+        raise ValueError("split or predicates: one task would read the whole table")
     options = {"url": url, "fetchsize": str(fetch_rows), **(connection or {})}
     if predicates:
         properties = {k: v for k, v in options.items() if k != "url"}
@@ -87,8 +90,20 @@ def append_once(
     return True
 
 
+def append_sink(
+    ts: str, stored: Callable[[], DataFrame | None], append: Callable[[DataFrame], None]
+) -> Callable[[DataFrame, str], None]:
+    """A stage sink that appends each run once, however often the run is repeated."""
+    return lambda df, run_id: append_once(df, ts, stored(), append) and None
+
+
 def jdbc_sink(
-    write: Callable[..., None], url: str, table: str, connection: Mapping[str, str] | None = None
-) -> Callable[[DataFrame], None]:
-    """A stage sink: ``jdbc_sink(jdbc_append, url, "silver.records")``."""
-    return lambda df: write(df, url, table, connection)
+    spark: SparkSession, url: str, table: str, ts: str, connection: Mapping[str, str] | None = None
+) -> Callable[[DataFrame, str], None]:
+    """A stage sink: ``jdbc_sink(spark, url, "silver.records", "ingested_at")``. The table
+    exists; a repeated run finds its rows there and adds none."""
+
+    def stored() -> DataFrame:
+        return spark.read.format("jdbc").options(url=url, dbtable=table, **(connection or {})).load()
+
+    return append_sink(ts, stored, lambda df: jdbc_append(df, url, table, connection))

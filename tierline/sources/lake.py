@@ -57,6 +57,43 @@ def drop_run(spark: SparkSession, base: str, run_id: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place as a whole: readers see all of it or none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent().toString()}/_{target.getName()}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    fs.rename(hidden, target)
+
+
+def read_notes(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Lines of all notes in a folder by file name, read as one small table."""
+    if not exists(spark, folder):
+        return {}
+    notes: dict[str, list[str]] = {}
+    for name, line in spark.read.text(folder).select("_metadata.file_name", "value").collect():
+        notes.setdefault(name, []).append(line)
+    return notes
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def drop_note(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)
+
+
 def write_run(
     df: DataFrame, base: str, run_id: str, partition_by: Sequence[str] = (), rebalance: bool = True
 ) -> int:

@@ -46,9 +46,9 @@ def page_records(pages: DataFrame, body: str = "body") -> DataFrame:
 
 def read_page_files(spark: SparkSession, path: str, number: str = r"(\d+)\D*$") -> DataFrame:
     """Records of saved pages, one file per page. ``number`` finds the page number in the
-    file name without its ending: by default the last number there."""
+    file's path without its ending: by default it is the last number there."""
     files = spark.read.text(path, wholetext=True)
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"(\.[A-Za-z][A-Za-z0-9]*)+$", "")
+    name = F.regexp_replace(F.url_decode("_metadata.file_path"), r"(\.[A-Za-z][A-Za-z0-9]*)+$", "")
     page = F.regexp_extract(name, number, 1).cast("long")
     return page_records(files.select(page.alias("page"), F.col("value").alias("body")))
 

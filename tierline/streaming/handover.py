@@ -1,62 +1,64 @@
-"""New bronze files in, one silver run out: the event-driven hand-over.
+"""New bronze runs in, one silver run out: the event-driven hand-over.
 
-The stream's checkpoint tracks files, not timestamps, so a row that is committed late is
-still picked up once. Nothing new means no batch, which is the gate's "skip".
+The stream follows the commit notes of the bronze store, not its files: a note is written
+when a run is complete, and a repeated run has the same note. Which bronze runs were read
+is kept with the silver layer, as the batch stage does, so a run is read once even if the
+checkpoint is lost, and one committed late is still read. Nothing new means no batch,
+which is the gate's "skip".
 """
 
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.operators.clean import silver_rows
-from tierline.operators.keyed import KEY, latest_per_key
-from tierline.schemas import BRONZE_CHANGES, LOCATION_COLUMNS
+from tierline.plans.stages import consumed_runs, write_silver
 from tierline.sources import lake
+from tierline.sources.bronze import BronzeStore
 
 
-def _now(_batch_id: int) -> datetime:
+def _now(_run_id: str) -> datetime:
     return datetime.now(timezone.utc)
 
 
-def stream_run_id(batch_id: int) -> str:
-    """Run name of a micro-batch; sorts in batch order."""
-    return f"batch_{batch_id:012d}"
-
-
 def stream_silver(
     spark: SparkSession,
-    changes_path: str,
+    bronze_base: str,
     silver_base: str,
     checkpoint: str,
-    max_files: int | None = None,
-    clock: Callable[[int], datetime] = _now,
+    max_runs: int | None = None,
+    clock: Callable[[str], datetime] = _now,
     then: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
-    """Clean all bronze changes that arrived since the last call, then stop.
+    """Clean what all bronze runs committed since the last call changed, then stop.
 
-    Each micro-batch overwrites its own run folder, so a retried batch leaves one copy.
-    ``max_files`` bounds a micro-batch when a long backlog is read; ``then`` is told the
-    run id of each written run (to start the gold stage, say).
+    A micro-batch's run has the name of the last bronze run in it, so a retried batch
+    replaces its own run and no other. ``max_runs`` bounds a micro-batch when a long
+    backlog is read; ``clock`` gives a run's stamp; ``then`` is told the id of each written
+    run (to start the gold stage, say).
     """
-    schema = T.StructType(BRONZE_CHANGES.fields + [T.StructField("run_id", T.StringType())])
-    reader = spark.readStream.schema(schema).option("basePath", changes_path)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    changes = reader.parquet(changes_path)
+    store = BronzeStore(spark, bronze_base)
+    reader = spark.readStream.schema("value string")
+    if max_runs:
+        reader = reader.option("maxFilesPerTrigger", str(max_runs))
+    # A first call may come before the first commit.
+    lake.make_folder(spark, store.commits_path)
+    commits = reader.text(store.commits_path).select(F.col("_metadata.file_name").alias("run"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        told = {r["run"] for r in batch.distinct().collect()}
+        runs = [r for r in store.runs() if r in told]
+        new = [r for r in runs if r not in consumed_runs(spark, silver_base, lambda run: True, [])]
+        if not new:
             return
-        run_id = stream_run_id(batch_id)
-        newest = latest_per_key(batch, KEY, [F.desc("run_id")])
-        lake.write_run(silver_rows(newest, clock(batch_id)), silver_base, run_id, LOCATION_COLUMNS)
+        run_id = new[-1].removeprefix("run_id=")
+        write_silver(spark, store, new, silver_base, run_id, clock(run_id))
         if then is not None:
             then(run_id)
 
     return (
-        changes.writeStream.foreachBatch(write)
+        commits.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
