@@ -41,6 +41,9 @@ CELLS, CELL_PARTS = 1 << 20, 64
 #: A frequency below this is not told from chance.
 LEAST_FREQUENT = 32
 
+#: Bits of a shingle's place among a set's first ones, beside the set's size.
+PLACE_BITS = 24
+
 #: Documents of a tree, and children of a node.
 BLOCK, FAN = 512, 8
 
@@ -135,8 +138,8 @@ def _first_ones(shingles: np.ndarray, classes: np.ndarray, percent: int) -> tupl
 
 
 def _width(n: int) -> int:
-    """Bits of the signature of a set of n: a power of two, four to eight a shingle."""
-    return 1 << max(6, (4 * n - 1).bit_length())
+    """Bits of the signature of a set of n: a power of two, two to four a shingle."""
+    return 1 << max(6, (2 * n - 1).bit_length())
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
@@ -324,29 +327,50 @@ def _join_blocks(percent: int, complete: bool, dense: int) -> Callable[[Iterator
     return join
 
 
+def _may_pair(n: np.ndarray, rest: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of a group have another one that it may be similar to, if the shared
+    shingle is the first that both have: ``n`` shingles, ``rest`` of them from it on. They
+    share no more than the smaller rest."""
+    one, other = n[:, None], n[None, :]
+    shared = np.minimum(rest[:, None], rest[None, :])
+    fits = ((100 + percent) * shared >= percent * (one + other)) & (100 * one >= percent * other) & (100 * other >= percent * one)
+    np.fill_diagonal(fits, False)
+    return fits.any(axis=1)
+
+
 def _shared_groups(percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """From rows (``token, id, n``) sorted by token: the ids of the sets that share a token
-    and are of like size (``n``), once if several tokens have the same. A token's rows are
+    """From rows (``token, id, at``) sorted by token: the ids of the sets that share a token
+    and may be similar, once if several tokens have the same ids. ``at`` is the set's size
+    and, in the lower PLACE_BITS, the token's place in the set's order. A token's rows are
     few here."""
 
-    def groups(token: np.ndarray, ids: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-        order = np.lexsort((ids, n, token))
-        token, ids, n = token[order], ids[order], n[order]
+    def groups(token: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+        order = np.lexsort((ids, at, token))
+        token, ids, at = token[order], ids[order], at[order]
         new = np.r_[True, (token[1:] != token[:-1]) | (ids[1:] != ids[:-1])][: len(token)]
-        token, ids, n = token[new], ids[new], n[new]
+        token, ids, n = token[new], ids[new], at[new] >> PLACE_BITS
+        rest = n - (at[new] & ((1 << PLACE_BITS) - 1))
         # A group ends where the next larger set is too large for all before it.
         starts = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (percent * n[1:] > 100 * n[:-1])][: len(token)])
         ends = np.append(starts[1:], len(token))
-        several = ends - starts > 1
+        pairs = starts[ends - starts == 2]
+        fits = (100 + percent) * np.minimum(rest[pairs], rest[pairs + 1]) >= percent * (n[pairs] + n[pairs + 1])
         found: dict[bytes, np.ndarray] = {}
+        for a in pairs[fits]:
+            found.setdefault(ids[a : a + 2].tobytes(), ids[a : a + 2])
+        several = ends - starts > 2
         for a, b in zip(starts[several], ends[several]):
-            found.setdefault(ids[a:b].tobytes(), ids[a:b])
+            members = ids[a:b]
+            if b - a <= BLOCK:
+                members = members[_may_pair(n[a:b], rest[a:b], percent)]
+            if len(members):
+                found.setdefault(members.tobytes(), members)
         return pd.DataFrame({"ids": _lists(found.values())})
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = [np.empty(0, dtype=np.int64)] * 3
         for batch in batches:
-            rows = [np.concatenate([r, batch[c].to_numpy()]) for r, c in zip(rest, ("token", "id", "n"))]
+            rows = [np.concatenate([r, batch[c].to_numpy()]) for r, c in zip(rest, ("token", "id", "at"))]
             # The last token may go on in the next batch.
             cut = np.searchsorted(rows[0], rows[0][-1]) if len(rows[0]) else 0
             yield groups(*(r[:cut] for r in rows))
@@ -377,7 +401,8 @@ class _Join:
 
     def groups(self) -> DataFrame:
         """``group, id, many``: documents that share one of their first shingles."""
-        rare = self.profiles.select(F.explode("rare").alias("token"), F.col("text_id").alias("id"), "n")
+        rare = self.profiles.select(F.posexplode("rare").alias("place", "token"), F.col("text_id").alias("id"), "n")
+        rare = rare.select("token", "id", F.shiftleft("n", PLACE_BITS).bitwiseOR(F.col("place").cast("long")).alias("at"))
         shared = rare.repartition("token").sortWithinPartitions("token").mapInPandas(_shared_groups(self.percent), "ids array<bigint>")
         small = shared.groupBy(F.xxhash64("ids").alias("group")).agg(F.first("ids").alias("ids"))
         small = small.select("group", F.explode("ids").alias("id"), F.size("ids").cast("long").alias("many"))
