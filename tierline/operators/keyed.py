@@ -161,6 +161,7 @@ def merge_changed(batch: DataFrame, table: str, key: str = KEY, distinct: Distin
     """The same upsert as MERGE INTO, for catalog tables whose format supports it.
 
     Plain Parquet tables do not; :class:`tierline.sources.bronze.BronzeStore` is for those.
+    Not run here: there is no such format in this environment.
     """
     target = table.rpartition(".")[2]
     stored, new = F.col(f"{target}.payload"), F.col("b.payload")
