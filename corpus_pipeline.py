@@ -15,8 +15,8 @@ from tierline.llm import decontaminate, jaccard_join, language_id, mixing
 from tierline.llm.common import small_side, table
 from tierline.session import stage
 
-#: Below this score a text is in no one language. Clean texts score near 1.
-LEAST_SCORE = 0.5
+#: Below this score a text shows no language: four languages without evidence score 0.25.
+LEAST_SCORE = 0.3
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

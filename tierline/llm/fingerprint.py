@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tierline.llm.common import small_batches, text_or_empty
+from tierline.llm.common import python_tasks, text_or_empty
 from tierline.llm.hashing import MIXES, mixed
 from tierline.llm.hashing import words as hashed_words
 
@@ -118,7 +118,7 @@ def near(one: str, other: str) -> float:
 def fingerprints(df: DataFrame, *texts: str) -> DataFrame:
     """The rows of ``df`` with ``<text>_fingerprint`` for each column of ``texts``; a null
     text has the fingerprint of an empty one, which is all zeros."""
-    small_batches(df.sparkSession)
+    python_tasks(df.sparkSession)
     names = [f"{t}_fingerprint" for t in texts]
 
     @F.pandas_udf(", ".join(f"c{i} string" for i in range(len(texts))))

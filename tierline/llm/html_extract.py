@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import small_batches, text_or_empty
+from tierline.llm.common import python_tasks, text_or_empty
 from tierline.llm.url_filter import host_of, path_of
 
 # HTML's elements by what they mean for a page's text.
@@ -217,7 +217,7 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     most about MOST_RANGES, and sent to the workers. Pages are parsed before the shuffle.
     """
     spark = df.sparkSession
-    small_batches(spark, rows=200)
+    python_tasks(spark, rows=200)
     place = F.concat_ws("\u0001", host_of(text_or_empty(df[url])), path_of(text_or_empty(df[url])), F.coalesce(df[key].cast("string"), F.lit("")))
     placed = df.select(df[key].alias("key"), df[url].cast("string").alias("url"), df[page].cast("string").alias("html"), place.alias("place"))
     every = NEAR_ROWS * (placed.count() // (NEAR_ROWS * MOST_RANGES) + 1)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import small_batches, small_side
+from tierline.llm.common import python_tasks, small_side
 from tierline.llm.components import components
 from tierline.llm.hashing import FACTOR, MIXES, mixed
 from tierline.llm.hashing import words as hashed_words
@@ -526,7 +526,7 @@ def _grouped(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFram
     """A row ``doc, version`` (a hash of the text)``, n, text_id`` per input row, and
     ``text_id, root`` of the texts that have shingles."""
     spark = df.sparkSession
-    small_batches(spark)
+    python_tasks(spark)
     docs = df.select(df[key].alias("doc"), df[text].cast("string").alias("text"))
     classes = spark.sparkContext.broadcast(frequency_classes(frequency_sketch(docs)))
     kind = df.schema[key].dataType.simpleString()

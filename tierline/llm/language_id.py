@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import small_batches
+from tierline.llm.common import python_tasks
 
 UNKNOWN = "und"
 MAX_GRAM = 5
@@ -172,7 +172,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", names: tuple[str,
     nothing was learned. Equal scores go to the first language in order. Columns of these
     two names in the input are replaced; all other columns and repeated rows are kept.
     """
-    small_batches(df.sparkSession)
+    python_tasks(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in df.columns if c not in names]
     inner = df.select(*(df[c].alias(f"c{i}") for i, c in enumerate(kept)), df[text].cast("string").alias("judged"))

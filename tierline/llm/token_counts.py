@@ -19,7 +19,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from tierline.llm.common import small_batches
+from tierline.llm.common import python_tasks
 
 #: Fixed value: the split that byte-level vocabularies of this family are made for.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -274,7 +274,7 @@ def prefix_counts(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     (0 tokens). Repeated rows stay repeated rows, other columns are left out, an empty
     table gives an empty one. Texts of any length are counted whole.
     """
-    small_batches(df.sparkSession)
+    python_tasks(df.sparkSession)
     with open(vocabulary, "rb") as f:
         shipped = df.sparkSession.sparkContext.broadcast(f.read())
 
