@@ -139,17 +139,18 @@ def likeness(one: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series([near(a, b) for a, b in zip(one, other)], dtype="float64")
 
 
-#: Documents that a range of keys holds on average, and the most ranges there are.
-RANGE_ROWS, MOST_RANGES = 2048, 1 << 16
+#: Documents that a range of keys holds on average, the most ranges there are, and the
+#: keys drawn for each bound, so that ranges differ little in size.
+RANGE_ROWS, MOST_RANGES, DRAWN = 256, 1 << 16, 4
 
 
 def _ranges(df: DataFrame) -> list[int]:
-    """Keys, evenly spread over the rows, that cut the table into ranges: those of the
-    smallest hashes. They are at most MOST_RANGES, so the driver can hold them."""
+    """Keys that cut the table into ranges of about RANGE_ROWS rows: every DRAWN-th of
+    those of the smallest hashes. They are at most MOST_RANGES, so the driver can hold them."""
     keys = df.select("key").where("key is not null")
-    many = min(max(keys.count() // RANGE_ROWS, 1), MOST_RANGES)
+    many = min(max(keys.count() // RANGE_ROWS, 1), MOST_RANGES) * DRAWN
     chosen = keys.orderBy(F.xxhash64("key"), "key").limit(many)
-    return sorted({r["key"] for r in chosen.collect()})
+    return sorted({r["key"] for r in chosen.collect()})[::DRAWN]
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
