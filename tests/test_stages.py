@@ -314,6 +314,23 @@ def test_a_merge_moves_only_the_batch(spark, layers):
     assert "snapshot" not in "".join(delta.inputFiles())
 
 
+def test_retention_keeps_what_later_runs_need(spark, layers):
+    for n, (run, as_of) in enumerate(zip(RUNS, TIMES)):
+        batch = _fetched(spark, _record("a", f"kind {n}"), _record(f"new {n}"))
+        refresh(spark, layers, batch, run, as_of, compact_after=1)
+    store = BronzeStore(spark, layers.bronze)
+    assert len(lake.list_runs(spark, store.snapshot_path)) == 3
+    assert stages.retain(spark, layers) == [lake.run_name(r) for r in RUNS[:2]]
+    assert stages.retain(spark, layers) == []
+    assert lake.list_runs(spark, layers.landing) == [lake.run_name(r) for r in RUNS[2:]]
+    assert len(lake.list_runs(spark, store.snapshot_path)) == 2
+    # The last run can be repeated, and one more follows.
+    again = _fetched(spark, _record("a", "kind 3"), _record("new 3"), _record("newer"))
+    assert refresh(spark, layers, again, RUNS[3], TIMES[3], compact_after=1)[0].rows == 3
+    assert refresh(spark, layers, again, "20240105_0900", datetime(2024, 1, 5, 9), compact_after=1)[0].status == "skip"
+    assert {r.id_api for r in store.state().collect()} == {"a", "newer", *(f"new {n}" for n in range(4))}
+
+
 def test_no_records_at_all(spark, layers):
     nothing = spark.createDataFrame([], "page long, pos int, payload string")
     with pytest.raises(StageFailed, match="table is empty"):

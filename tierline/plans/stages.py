@@ -262,3 +262,14 @@ def refresh(
         silver_stage(spark, layers, run_id, as_of, silver_sinks),
         gold_stage(spark, layers, run_id, as_of, gold_sinks),
     ]
+
+
+def retain(spark: SparkSession, layers: Layers) -> list[str]:
+    """Remove landing copies, change runs and snapshots that no later run needs: see
+    :meth:`BronzeStore.retain`. Silver and gold keep their history."""
+    store = BronzeStore(spark, layers.bronze)
+    read = consumed_runs(spark, layers.silver, lambda run: True, store.runs())
+    removed = store.retain(read)
+    for run in removed:
+        lake.drop_run(spark, layers.landing, run.removeprefix("run_id="))
+    return removed

@@ -170,9 +170,7 @@ class BronzeStore:
             if _run_of(name) >= lake.run_name(run_id):
                 if _run_of(name) not in folders:
                     raise RuntimeError(f"{name} is all that is left of its runs: {run_id} cannot be repeated")
-                path = f"{self.snapshot_path}/{name}"
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
-                lake.drop_run(self.spark, self.snapshot_path, name.removeprefix("run_id="))
+                self._drop_snapshot(name)
 
     def pending(self, before: str | None = None) -> int:
         """Change runs not yet folded into a snapshot."""
@@ -216,6 +214,22 @@ class BronzeStore:
         writer.option("path", path).format("parquet").saveAsTable(table)
         return name
 
+    def retain(self, read: set[str]) -> list[str]:
+        """Remove what no reader needs any more: all snapshots but the last two, and the
+        change runs that the older of these holds and that downstream has read (``read``).
+        The last runs can still be repeated. Returns the names of the removed runs."""
+        *old, kept = lake.list_runs(self.spark, self.snapshot_path)[:-1] or [None]
+        for name in old:
+            self._drop_snapshot(name)
+        covered = [r for r in lake.list_runs(self.spark, self.changes_path) if kept and r <= _run_of(kept) and r in read]
+        for run in covered:
+            lake.drop_run(self.spark, self.changes_path, run.removeprefix("run_id="))
+        return covered
+
+    def _drop_snapshot(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(f'{self.snapshot_path}/{name}')}")
+        lake.drop_run(self.spark, self.snapshot_path, name.removeprefix("run_id="))
+
     def _wanted_buckets(self, snapshot: str | None, changes: list[str]) -> int:
         folders = [f"{self.changes_path}/{c}" for c in changes]
         if snapshot:

@@ -6,6 +6,7 @@ partition column when several runs are read as one table. A run counts once its
 """
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -142,11 +143,13 @@ def publish(
     schema: T.StructType,
     partition_by: Sequence[str] = (),
     database_path: str | None = None,
+    runs: Sequence[str] | None = None,
 ) -> DataFrame:
     """Make a layer queryable as ``database.table``, idempotently.
 
-    Creates what does not exist yet and registers the runs written since the last call;
-    data stays where it is.
+    Creates what does not exist yet and registers what was written since the last call;
+    data stays where it is. Looking for that lists every directory of every run; with
+    ``runs`` (ids) only those are listed and registered, anew if they were repeated.
     """
     database = table.rpartition(".")[0]
     if database:
@@ -160,6 +163,28 @@ def publish(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{base}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    if runs is None:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    for run_id in runs or ():
+        _publish_run(spark, table, base, run_id, len(partition_by))
     spark.catalog.refreshTable(table)
     return spark.table(table)
+
+
+def _publish_run(spark: SparkSession, table: str, base: str, run_id: str, depth: int) -> None:
+    """Replace one run's partitions in the catalog by the directories it has now."""
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_id = {_sql(run_id)})")
+    root = run_path(base, run_id)
+    path = spark._jvm.org.apache.hadoop.fs.Path("/".join([root, *["*=*"] * depth]))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    folders = [f.getPath().toString().rstrip("/").rsplit("/", depth + 1)[1:] for f in found if f.isDirectory()]
+    for at in range(0, len(folders), 200):
+        specs = (", ".join(f"{k} = {_sql(unquote(v))}" for k, _, v in (p.partition("=") for p in f)) for f in folders[at : at + 200])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({spec})" for spec in specs))
+
+
+def _sql(value: str) -> str:
+    """A partition value as a SQL literal."""
+    if value == "__HIVE_DEFAULT_PARTITION__":
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
