@@ -20,7 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import python_tasks
+from tierline.llm.common import python_tasks, small_side
+from tierline.session import stage
 
 UNKNOWN = "und"
 MAX_GRAM = 5
@@ -33,7 +34,7 @@ BACKOFF = 0.8
 EVIDENCE_WORDS = 30
 
 #: Unseen words whose score a worker remembers.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -57,7 +58,7 @@ def _log_frequencies(counts: dict[str, dict[str, int]], totals: dict[str, float]
     return out
 
 
-def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = 1000, words_kept: int = 30_000, grams_kept: int = 8_000) -> Model:
+def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = 1000, words_kept: int = 20_000, grams_kept: int = 5_000) -> Model:
     """Fit on a bounded sample of the rows with a language and a text.
 
     Repeated rows count as often as they are there; a language needs one word at least.
@@ -69,7 +70,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     drawn = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), order.alias("order"))
     limits = drawn.groupBy("lang").agg((4 * train_rows / F.count(F.lit(1))).alias("limit"))
     first = Window.partitionBy("lang").orderBy("order", "key")
-    ranked = drawn.join(limits, "lang").where(F.col("order") < F.col("limit"))
+    ranked = drawn.join(small_side(stage(limits, "limits")), "lang").where(F.col("order") < F.col("limit"))
     chosen = ranked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= train_rows)
     # At most train_rows a language are chosen: that is the bound of this broadcast.
     sample = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), usable[text].cast("string").alias("text")).join(
