@@ -20,6 +20,12 @@ def stamp(moment: datetime) -> Column:
     return F.timestamp_micros(F.lit((utc(moment) - EPOCH) // timedelta(microseconds=1)))
 
 
+def moment(micros: int | None) -> datetime | None:
+    """Microseconds since the epoch as an aware datetime: a stamp that leaves Spark this
+    way does not depend on session or machine time zone."""
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
+
+
 def stamp_like(df: DataFrame, column: str, moment: datetime | Column) -> Column:
     """``moment`` in the type of ``df[column]``, so the comparison needs no cast of
     the column and is pushed to the scan."""

@@ -14,7 +14,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierline.functions.stamps import stamp
+from tierline.functions.stamps import moment, stamp
 from tierline.operators import keyed
 from tierline.operators.keyed import KEY, latest_per_key
 from tierline.schemas import BRONZE, BRONZE_CHANGES
@@ -119,15 +119,15 @@ class BronzeStore:
             rows = self._snapshot(snapshot).withColumn("run_id", F.lit("")).select(*columns).unionByName(rows)
         return rows
 
-    def stamps(self, run_id: str | None = None, inclusive: bool = True) -> DataFrame:
-        """The stamps of the last run, whose latest one is the high-water mark: stamps
+    def last_stamp(self, run_id: str | None = None, inclusive: bool = True) -> datetime | None:
+        """The high-water mark: the stamp of the last run, which all its rows share. Stamps
         grow from run to run and a run without changes is not kept. The snapshot is asked
         only if the run's own folder is gone."""
         snapshot, later = self._parts(run_id, inclusive)
         runs = self._visible(self.changes_path, run_id, inclusive)[-1:]
         if snapshot and not later and runs != [_run_of(snapshot)]:
-            return self._snapshot(snapshot).select("updated_at")
-        return self._log(runs).select("updated_at")
+            return moment(self._snapshot(snapshot).agg(F.unix_micros(F.max("updated_at"))).first()[0])
+        return lake.run_stamp(self._log(runs), "updated_at")
 
     def stats(self, run_id: str, cursor: datetime | None) -> DataFrame:
         """Stored keys, and rows of ``run_id`` newer than the cursor, as the bronze gate

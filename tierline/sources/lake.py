@@ -6,10 +6,13 @@ partition column when several runs are read as one table. A run counts once its
 """
 
 from collections.abc import Sequence
+from datetime import datetime
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tierline.functions.stamps import moment
+
 RUN_PREFIX = "run_"
 
 
@@ -136,6 +139,12 @@ def read_run(spark: SparkSession, base: str, schema: T.StructType, run: str | No
     return read_runs(spark, base, schema, [run]).select(*schema.fieldNames())
 
 
+def run_stamp(run: DataFrame, ts: str) -> datetime | None:
+    """The one stamp that all rows of a run carry; None without rows. Reads one row."""
+    row = run.select(F.unix_micros(ts)).first()
+    return moment(row[0]) if row else None
+
+
 def publish(
     spark: SparkSession,
     table: str,
