@@ -1,6 +1,6 @@
 """Connected components of a graph given by its edges, by alternating stars."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierline.session import stage
@@ -28,13 +28,15 @@ def components(edges: DataFrame) -> DataFrame:
     ``b``, both long) but the roots.
 
     Every pass is two grouped minima; its edges are written to the shared folder, which
-    cuts the lineage. The number of passes grows with the logarithm of the graph's size.
+    cuts the lineage, and summed up as they are written, which shows when nothing moves. The number of passes grows with the logarithm of the graph's size.
     """
     current = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
     mark = None
     while True:
-        current = stage(_star(_star(current, True), False), "edges")
-        now = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
-        if now == mark:
+        seen = Observation()
+        mixed = F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))
+        starred = _star(_star(current, True), False).observe(seen, F.count(F.lit(1)).alias("n"), mixed.alias("mixed"))
+        current = stage(starred, "edges")
+        if seen.get == mark:
             return current.select(F.col("high").alias("node"), F.col("low").alias("root"))
-        mark = now
+        mark = seen.get
