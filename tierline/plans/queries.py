@@ -14,7 +14,7 @@ from tierline.operators import clean, counts, gates, keyed, records
 from tierline.plans import feeds
 from tierline.plans.stages import Layers, bronze_stage, gold_stage, refresh, silver_stage
 from tierline.schemas import BRONZE_CHANGES, GOLD, LOCATION_COLUMNS, PAGE_SIZE, SILVER
-from tierline.session import new_folder, prepare, stage
+from tierline.session import new_folder, prepare, ship_package, stage
 from tierline.sources import lake, pages
 from tierline.sources.bronze import BronzeStore
 from tierline.sources.jdbc import append_sink
@@ -159,6 +159,7 @@ def page_source(spark, sf_dir):
         found = dataset.dataset(path, filesystem=files, format="parquet").to_table(filter=dataset.field("page") == number)
         return [json.loads(r["payload"]) for r in sorted(found.to_pylist(), key=lambda r: r["pos"])]
 
+    ship_package(spark)
     source = f"pages_{uuid.uuid4().hex}"
     total = (last or 0) * PAGE_SIZE
     spark.dataSource.register(pages.paged_source(lambda: str(total), fetch_page, source))

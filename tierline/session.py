@@ -1,11 +1,15 @@
 """Session settings and the shared folder intermediate tables go to."""
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,7 +35,6 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
     if sc.applicationId not in _local_dirs:
         _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="tierline-")
-        sc.setCheckpointDir(_local_dirs[sc.applicationId])
     return _local_dirs[sc.applicationId]
 
 
@@ -45,6 +48,26 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package as a zip file in the shared folder, once a session:
+    their Python workers need not have it installed or on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.writestr(str(source.relative_to(root.parent)), source.read_bytes())
+    path = f"{new_folder(spark, 'package')}/{root.name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
