@@ -1,14 +1,9 @@
 """What the operators of this subpackage share."""
 
-import io
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tierline
-from tierline.session import new_folder
+from tierline.session import ship_package
 
 #: Words as the contracts define them: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -18,33 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_shipped: set[str] = set()
-
-
-def _ship_package(spark: SparkSession) -> None:
-    """Give the executors this package as a zip file in the shared folder, once a session:
-    their Python workers need not have it installed or on their path."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(tierline.__file__).parent
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-        for source in sorted(root.rglob("*.py")):
-            z.writestr(str(source.relative_to(root.parent)), source.read_bytes())
-    path = f"{new_folder(spark, 'package')}/tierline.zip"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    out.write(bytearray(packed.getvalue()))
-    out.close()
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
 def python_tasks(spark: SparkSession, rows: int = 500, megabytes: int = 16) -> None:
     """What Python on the executors needs: this package, and a bound on what one Arrow
     batch holds (texts may be long, a worker's memory is not)."""
-    _ship_package(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
