@@ -209,7 +209,7 @@ def upsert_changed(spark, sf_dir):
 @query
 def upsert_broadcast(spark, sf_dir):
     target, batch = _event_versions(spark, sf_dir)
-    return keyed.upsert_broadcast(target, stage(batch, "batch"))
+    return keyed.upsert_broadcast(stage(target, "target"), stage(batch, "batch"))
 
 
 @query
