@@ -90,14 +90,14 @@ def upsert_broadcast(
 
     The batch is measured first; over ``limit_bytes`` the shuffled merge is used. The
     stored keys met by the batch are at most as many as the batch has, so they are
-    bounded by the same limit. Both inputs are read several times: pass stored tables.
+    bounded by the same limit (the target is unique per key: see :func:`key_check`).
+    Both inputs are read several times: pass stored tables.
     """
     if batch.agg(row_bytes(key, "payload")).first()[0] > limit_bytes:
         return upsert_changed(target, batch, key, distinct)
     t, b = _sides(target, batch, key)
     kept = _merged(t.join(F.broadcast(b), key, "left"), key, distinct)
-    # One row a key, so that the batch bounds it even if the target repeats keys.
-    met = target.select(key).join(F.broadcast(batch.select(key)), key, "left_semi").distinct()
+    met = target.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
     new = batch.join(F.broadcast(met), key, "left_anti").select(
         key, "payload", F.col("updated_at").alias("ingested_at"), "updated_at"
     )
