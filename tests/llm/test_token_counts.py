@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tierline.llm.queries import TOKEN_LIMIT, op8_token_counts
 from tierline.llm.token_counts import PrefixCounter, fitting_prefix, prefix_counts, unpack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,3 +52,31 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark):
     assert [r["n_tokens"] for r in out if r["doc_id"] == 3] == [want]
     empty = prefix_counts(spark.createDataFrame([], "doc_id long, text string"), PATH)
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_bytes", "n_tokens", "prefix_tokens"]
+
+
+def test_query_stores_every_prefix_and_the_cut_at_the_limit(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    out = op8_token_counts(spark, sf_dir).collect()
+    assert len(out) == len(texts)
+
+    def tokens(text):
+        return len(library.encode(text, add_special_tokens=False).ids)
+
+    for r in out:
+        text, counts = texts[r["doc_id"]] or "", unpack(r["prefix_tokens"])
+        assert len(counts) == len(text) + 1 and counts[-1] == r["n_tokens"] == tokens(text)
+        assert r["over_limit"] == (r["n_tokens"] > TOKEN_LIMIT) == (r["fitting_chars"] < len(text))
+        assert tokens(text[: r["fitting_chars"]]) <= TOKEN_LIMIT
+        if r["over_limit"]:
+            assert tokens(text[: r["fitting_chars"] + 1]) > TOKEN_LIMIT
+
+
+def test_units_in_context_equal_the_library(library):
+    random.seed(6)
+    counter = PrefixCounter(open(PATH, "rb").read())
+    bits = [" ", "  ", "\n", "\r\n", "\t", "\x1c", "\u3000", "'", "''", "'ll", "'re", "'d", "ve", "!", "x", "the", "9", "é", "漢字", "\u0301", "<|endoftext|>"]
+    texts = ["".join(random.choices(bits, k=random.randint(0, 10))) for _ in range(400)]
+    for text, steps in zip(texts, counter.all_steps(texts), strict=True):
+        want = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
+        assert [0, *steps.cumsum().tolist()] == want, repr(text)

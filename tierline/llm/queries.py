@@ -111,9 +111,10 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every whole document."""
+    """Tokens of every prefix of every document, and from them those of the whole document
+    and where it is cut to keep to the limit."""
     documents = table(spark, sf_dir, "documents")
-    counted = token_counts.prefix_counts(documents, public_tokenizers.path(VOCABULARY), store=False)
+    counted = token_counts.prefix_counts(documents, public_tokenizers.path(VOCABULARY), budget=TOKEN_LIMIT)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 

@@ -11,8 +11,10 @@ Nothing is encoded again to answer "how many tokens has the first k characters"
 
 import hashlib
 import json
-from collections.abc import Iterator
-from itertools import accumulate
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, batched
+from operator import sub
 
 import numpy as np
 import pandas as pd
@@ -24,9 +26,16 @@ from tierline.llm.common import python_tasks
 #: Fixed value: the split that byte-level vocabularies of this family are made for.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: The same split with white space and the piece after it in one unit: the counts of a
+#: unit's prefixes do not depend on what is around it.
+UNITS = r"\s+(?:(?<! )(?:'s|'t|'re|'ve|'m|'ll|'d)|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)?|'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
+
 #: Pieces whose counts a worker remembers before it starts afresh.
 MEMO_PIECES = 1_000_000
 
+#: Units longer than this are counted each time they come.
+MEMO_LENGTH = 64
+
 #: Texts longer than this are split piece by piece instead of into one list.
 LONG_TEXT = 2_000_000
 
@@ -41,6 +50,60 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+_BLANK = regex.compile(r"\s*")
+
+
+def _blanks(text: str) -> int:
+    """White space that a text starts with, as the split knows it (str.isspace knows more)."""
+    return _BLANK.match(text).end()
+
+
+def _one_piece(unit: str) -> bool:
+    """Whether the prefixes of a unit are each one piece, as the unit itself is."""
+    blank = _blanks(unit)
+    return blank == len(unit) or not (unit[0] == "'" and len(unit) == 3) and (blank == 0 or blank == 1 and unit[0] == " ")
+
+
+def _narrow(counts: list[int]) -> bytes:
+    """Counts as steps of one byte; an OverflowError if a step does not fit."""
+    return array("b", map(sub, counts, [0, *counts])).tobytes()
+
+
+class _UnitSteps(dict):
+    """Steps of the prefix counts of units, one byte a code point."""
+
+    def __init__(self, counter: "PrefixCounter"):
+        super().__init__()
+        self.counter = counter
+
+    def learn(self, units: set[str]) -> None:
+        """Count new units; those that are one piece in sorted order, so that each starts
+        from the prefix it shares with the one before."""
+        new = [u for u in units if len(u) <= MEMO_LENGTH and u not in self]
+        if len(self) + len(new) > MEMO_PIECES:
+            self.clear()
+            new = [u for u in units if len(u) <= MEMO_LENGTH]
+        counts, last, before = [0], [-1], b""
+        for raw, unit in sorted((u.encode(), u) for u in new if _one_piece(u)):
+            shared = next((k for k, (x, y) in enumerate(zip(raw, before)) if x != y), min(len(raw), len(before)))
+            del counts[shared + 1 :], last[shared + 1 :]
+            self.counter._extend(raw, counts, last)
+            at = counts[1:] if len(raw) == len(unit) else [counts[k] for k in accumulate(len(c.encode()) for c in unit)]
+            try:
+                self[unit] = _narrow(at)
+            except OverflowError:
+                pass
+            before = raw
+
+    def __missing__(self, unit: str) -> bytes:
+        steps = _narrow(self.counter._unit_counts(unit))
+        if len(unit) <= MEMO_LENGTH:
+            if len(self) >= MEMO_PIECES:
+                self.clear()
+            self[unit] = steps
+        return steps
+
+
 class PrefixCounter(dict):
     """Counts of a vocabulary; as a dict, it maps pieces to the tokens of the whole piece."""
 
@@ -72,6 +135,8 @@ class PrefixCounter(dict):
         added = [t["content"] for t in spec.get("added_tokens", [])]
         self.added = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.split = regex.compile(SPLIT)
+        self.unit = regex.compile(UNITS)
+        self.units = _UnitSteps(self)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens at one edge (0 left, 1 right) while ``token`` is built, with the rank
@@ -199,40 +264,62 @@ class PrefixCounter(dict):
             counts[1] = self[piece[0]] + self[piece[1]]
         return counts
 
-    def prefixes(self, text: str) -> np.ndarray:
-        """Item k is the token count of the first k code points, encoded on their own."""
-        out = [0]
-        before = ""
+    def _unit_counts(self, unit: str) -> list[int]:
+        """Token counts of a unit's prefixes by code points, without the empty one."""
+        out: list[int] = []
+        done, run = 0, ""
+        for piece in self.split.findall(unit):
+            blank = _blanks(piece)
+            if blank:
+                # White space at the end of a prefix is one piece, however it is split later.
+                was, run = len(run), run + piece[:blank]
+                by_byte = self.byte_counts(run.encode())
+                ends = list(accumulate(len(c.encode()) for c in run))
+                out += [by_byte[k] for k in ends[was:]]
+            if blank < len(piece):
+                out += [done + n for n in self._piece_counts(piece)[blank:]]
+            done += self[piece]
+        return out
+
+    def _joined(self, units: Iterable[str]) -> np.ndarray:
+        units = list(units)
+        try:
+            return np.frombuffer(b"".join(map(self.units.__getitem__, units)), dtype=np.int8)
+        except OverflowError:
+            return np.concatenate([np.diff(self._unit_counts(u), prepend=0) for u in units]).astype(np.int32)
+
+    def _part_steps(self, part: str) -> np.ndarray:
+        if len(part) <= LONG_TEXT:
+            return self._joined(self.unit.findall(part))
+        return np.concatenate([self._joined(some) for some in batched((m.group() for m in self.unit.finditer(part)), 1 << 16)])
+
+    def prefix_steps(self, text: str) -> np.ndarray:
+        """Item k is by how much the token count grows from the first k code points to
+        the first k + 1, each prefix encoded on its own."""
+        out = []
+        total, before = 0, ""
         for part, added in self._parts(text):
-            base = out[-1]
             if added:
                 # Cut short, the string of an added token is text like any other.
                 pieces = self.split.findall(before)
                 tail = "".join(pieces[-2:])
-                start = base - sum(map(self.__getitem__, pieces[-2:]))
-                out += [start + sum(map(self.__getitem__, self.split.findall(tail + part[:k]))) for k in range(1, len(part))]
-                out.append(base + 1)
-                before = ""
-                continue
-            before = part
-            done = base
-            run, run_base = "", 0
-            for found in self.split.finditer(part):
-                piece = found.group()
-                blank = len(piece) - len(piece.lstrip()) if piece.isspace() or piece[0] == " " else 0
-                if blank:
-                    # White space at the end of a prefix is one piece, however it is split later.
-                    if not run:
-                        run_base = done
-                    was, run = len(run), run + piece[:blank]
-                    by_byte = self.byte_counts(run.encode())
-                    ends = list(accumulate(len(c.encode()) for c in run))
-                    out += [run_base + by_byte[k] for k in ends[was:]]
-                if blank < len(piece):
-                    out += [done + n for n in self._piece_counts(piece)[blank:]]
-                    run = ""
-                done += self[piece]
-        return np.array(out, dtype=np.int64)
+                start = total - sum(map(self.__getitem__, pieces[-2:]))
+                counts = [total, *(start + sum(map(self.__getitem__, self.split.findall(tail + part[:k]))) for k in range(1, len(part))), total + 1]
+                out.append(np.diff(counts).astype(np.int32))
+                total, before = total + 1, ""
+            elif part:
+                out.append(self._part_steps(part))
+                total, before = total + int(out[-1].sum(dtype=np.int64)), part
+        return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, dtype=np.int8), *out])
+
+    def all_steps(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """:meth:`prefix_steps` of each text; the units of the texts are learned together first."""
+        self.units.learn({u for text in texts if len(text) <= LONG_TEXT for part, added in self._parts(text) if not added for u in self.unit.findall(part)})
+        return map(self.prefix_steps, texts)
+
+    def prefixes(self, text: str) -> np.ndarray:
+        """Item k is the token count of the first k code points, encoded on their own."""
+        return np.concatenate([[0], np.cumsum(self.prefix_steps(text), dtype=np.int64)])
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -246,34 +333,54 @@ def counter(vocabulary: bytes) -> PrefixCounter:
     return _counters[key]
 
 
-def pack(counts: np.ndarray) -> bytes:
+def pack(steps: np.ndarray) -> bytes:
     """Prefix counts as steps from prefix to prefix, in the narrowest width that fits."""
-    steps = np.diff(counts)
-    most = int(np.abs(steps).max(initial=0))
+    most = max(int(steps.max(initial=0)), -int(steps.min(initial=0)))
     width = 1 if most < 128 else 2 if most < 32768 else 4
-    return bytes([width]) + steps.astype(f"<i{width}").tobytes()
+    return bytes([width]) + steps.astype(f"<i{width}", copy=False).tobytes()
+
+
+def _steps_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, dtype=f"<i{packed[0]}", offset=1)
 
 
 def unpack(packed: bytes) -> np.ndarray:
     """Prefix counts from :func:`pack`; item k is for the first k code points."""
-    steps = np.frombuffer(packed, dtype=f"<i{packed[0]}", offset=1).astype(np.int64)
-    return np.concatenate([[0], np.cumsum(steps)])
+    return np.concatenate([[0], np.cumsum(_steps_of(packed), dtype=np.int64)])
 
 
-def fitting_prefix(packed: bytes, budget: int) -> int:
-    """Length in code points of the longest prefix with at most ``budget`` tokens."""
-    return int(np.flatnonzero(unpack(packed) <= budget)[-1])
+def token_total(packed: bytes) -> int:
+    """Tokens of the whole text."""
+    return int(_steps_of(packed).sum(dtype=np.int64))
 
 
-def prefix_counts(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", store: bool = True) -> DataFrame:
+def fitting_prefix(packed: bytes, budget: int) -> int:
+    """Length in code points of the longest prefix with at most ``budget`` tokens."""
+    if budget < 0:
+        raise ValueError("no prefix has fewer than no tokens")
+    steps, longest, base = _steps_of(packed), 0, 0
+    # Some at a time: a text may be long.
+    for at in range(0, len(steps), 1 << 20):
+        counts = base + np.cumsum(steps[at : at + (1 << 20)], dtype=np.int64)
+        fits = np.flatnonzero(counts <= budget)
+        longest = at + int(fits[-1]) + 1 if len(fits) else longest
+        base = int(counts[-1])
+    return longest
+
+
+def prefix_counts(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", store: bool = True, budget: int | None = None) -> DataFrame:
     """One row per input row: the key, ``n_bytes`` and ``n_tokens`` of the whole text, and
-    with ``store`` the packed counts of every prefix as ``prefix_tokens``.
+    with ``store`` the packed counts of every prefix as ``prefix_tokens``. With a
+    ``budget`` also ``fitting_chars``, the code points of the longest prefix with at most
+    so many tokens; it needs the stored counts.
 
     ``vocabulary`` is the path of a byte-level BPE file of the tokenizers library; the
     driver reads it (a few MB) and sends it to the workers. A null text counts as empty
     (0 tokens). Repeated rows stay repeated rows, other columns are left out, an empty
     table gives an empty one. Texts of any length are counted whole.
     """
+    if budget is not None and (budget < 0 or not store):
+        raise ValueError("a budget is a number of tokens, answered from the stored counts")
     python_tasks(df.sparkSession)
     with open(vocabulary, "rb") as f:
         shipped = df.sparkSession.sparkContext.broadcast(f.read())
@@ -282,12 +389,17 @@ def prefix_counts(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str
         counts = counter(shipped.value)
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            made = {"key": batch["key"], "n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts.totals(texts)}
+            made = {"key": batch["key"], "n_bytes": [len(t.encode()) for t in texts]}
             if store:
-                made["prefix_tokens"] = [pack(counts.prefixes(t)) for t in texts]
+                packed = [pack(s) for s in counts.all_steps(texts)]
+                made |= {"n_tokens": list(map(token_total, packed)), "prefix_tokens": packed}
+                if budget is not None:
+                    made["fitting_chars"] = [fitting_prefix(p, budget) for p in packed]
+            else:
+                made["n_tokens"] = counts.totals(texts)
             yield pd.DataFrame(made)
 
     kind = df.schema[key].dataType.simpleString()
-    schema = f"key {kind}, n_bytes long, n_tokens long" + ", prefix_tokens binary" * store
+    schema = f"key {kind}, n_bytes long, n_tokens long" + ", prefix_tokens binary" * store + ", fitting_chars long" * (budget is not None)
     picked = df.select(df[key].alias("key"), df[text].cast("string").alias("text"))
     return picked.mapInPandas(count, schema).withColumnRenamed("key", key)
