@@ -60,6 +60,28 @@ def test_long_page_and_small_neighbourhoods(spark, monkeypatch):
     assert all(got[i] == f"t{i}" for i in range(40)) and got[99] == got[98] == " ".join(f"word {i}" for i in range(60_000))
 
 
+FURNITURE = "<div>" + "All the things of the house, every day. " * 20 + "</div>"
+
+
+def test_short_articles_in_a_heavy_template(spark):
+    rows = [(i, f"http://x.org/a/{i}", f"{FURNITURE}<p>Short story {i} of the day.</p>{FURNITURE}") for i in range(5)]
+    rows += [(10 + i, f"http://y.org/a/{i}", f"{FURNITURE}<p>Short story {i // 3} of the day.</p>") for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] == f"Short story {i} of the day." for i in range(5))
+    assert all(got[10 + i] == f"Short story {i // 3} of the day." for i in range(6))
+
+
+def test_copies_lose_the_furniture_that_a_page_beyond_them_has(spark):
+    def page(story, i):
+        return f"<div>Things of the house</div><p>{story * 30}</p><p>Read {i} times</p><div>All rights of things</div>"
+
+    rows = [(i, f"http://x.org/a/{i}", page("The one story. ", i if i < 4 else 4)) for i in range(8)]
+    rows.append((8, "http://x.org/a/8", page("Something else. ", 8)))
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows + rows[5:6], SCHEMA)).collect()}
+    assert [got[i] for i in range(8)] == [("The one story. " * 30).strip() + f" Read {min(i, 4)} times" for i in range(8)]
+    assert got[8] == ("Something else. " * 30).strip() + " Read 8 times"
+
+
 def test_query_gives_the_article(spark):
     sf_dir = "/root/testdata/sf0.01"
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}

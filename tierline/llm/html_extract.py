@@ -14,12 +14,13 @@ import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import python_tasks, text_or_empty
@@ -52,7 +53,8 @@ NEUTRAL_WORDS = frozenset(
 #: Pages that a neighbourhood of URLs holds on average, and the most neighbourhoods there are.
 NEAR_ROWS, MOST_RANGES = 1024, 1 << 16
 
-#: Pages that share more than this part of their text are copies, not pages of one template.
+#: Adjacent pages without article markup that share more than this part of the longer
+#: one's text may be copies: a neighbour is looked for beyond them first.
 COPY_SHARE = 0.9
 
 _WORDS = regex.compile(r"[^a-z0-9]+")
@@ -192,10 +194,9 @@ def main_text(page: list[tuple[str, str, bool]], shared: set[int]) -> str:
     if any(zone == "a" for _, zone, _ in page):
         kept = [text for i, (text, zone, links) in enumerate(page) if zone == "a" and not (links and i in shared)]
     else:
-        size = sum(len(text) for text, zone, _ in page if zone == "b")
-        same = sum(len(text) for i, (text, zone, _) in enumerate(page) if zone == "b" and i in shared)
-        copies = same > COPY_SHARE * size
-        kept = [text for i, (text, zone, links) in enumerate(page) if zone == "b" and (i not in shared or copies and not links)]
+        own = any(zone == "b" and not links and i not in shared for i, (_, zone, links) in enumerate(page))
+        # A page that has nothing of its own is a copy: all but its links stays.
+        kept = [text for i, (text, zone, links) in enumerate(page) if zone == "b" and (i not in shared or not own and not links)]
     return " ".join(kept)
 
 
@@ -203,13 +204,75 @@ def _common_prefix(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
+class _Page(NamedTuple):
+    """What a page shows its neighbours: ``sizes`` are of unmarked blocks, 0 for others."""
+
+    place: str
+    lines: np.ndarray
+    sizes: np.ndarray
+    article: bool
+
+    @property
+    def host(self) -> str:
+        return self.place.split("\u0001", 1)[0]
+
+
+def _relation(one: _Page, other: _Page) -> str:
+    """``host`` for pages of different hosts (or none), ``equal`` for the same unmarked
+    lines, ``copy`` for nearly the same, else ``differ``."""
+    if not one.host or one.host != other.host:
+        return "host"
+    if np.array_equal(one.lines[one.sizes > 0], other.lines[other.sizes > 0]):
+        return "equal"
+    if one.article or other.article:
+        return "differ"
+    same = sum(int(one.sizes[i]) for i in shared_lines(one.lines.tolist(), other.lines.tolist()))
+    return "copy" if same > COPY_SHARE * max(one.sizes.sum(), other.sizes.sum()) else "differ"
+
+
+class _Side:
+    """Pages met on one side while pages are read in order: the last one, the last that is
+    not equal to those after it, and the last beyond a run of copies."""
+
+    def __init__(self):
+        self.last: _Page | None = None
+        self.unequal: _Page | None = None
+        self.far: _Page | None = None
+
+    def step(self, page: _Page) -> str | None:
+        """Move on to ``page``; returns how it relates to the one before."""
+        relation = _relation(self.last, page) if self.last else None
+        if relation == "host":
+            self.unequal = self.far = None
+        elif relation in ("copy", "differ"):
+            self.unequal = self.last
+            if relation == "differ":
+                self.far = self.last
+        before, self.last = self.last, page
+        self.before = None if relation == "host" else before
+        return relation
+
+    def nearest(self) -> tuple[int, _Page] | None:
+        """The neighbour of the page stepped to, and how good it is: one beyond all copies
+        is best, then one that is not equal. Markup decides for articles, so theirs is the
+        adjacent page."""
+        if not self.last.article:
+            if self.far:
+                return 2, self.far
+            if self.unequal:
+                return 1, self.unequal
+        return (0, self.before) if self.before else None
+
+
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """One row per input row: ``key``, ``url``, ``text`` (empty if there is none),
     ``n_chars`` (its code points) and ``n_shared``, the blocks shared with the nearest page.
 
     A null page is empty; a page without a host has no neighbour. Repeated rows stay, and
     are each other's neighbours. Pages are extracted whole, whatever their length. Other
-    columns are left out; an empty table gives an empty one.
+    columns are left out; an empty table gives an empty one. Where markup does not name
+    the article, the nearest page is one beyond a run of copies; if a host has no such
+    page, one that is not equal.
 
     The order of (host, path, key) is cut into neighbourhoods at keys whose hash is a
     multiple of a number, about every NEAR_ROWS pages, so that a host with a third of all
@@ -225,7 +288,8 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     bounds = spark.sparkContext.broadcast(sorted(r["place"] for r in chosen))
 
     kind = df.schema[key].dataType.simpleString()
-    parsed_type = f"key {kind}, url string, place string, area int, texts array<string>, zones string, links string, lines array<bigint>"
+    page_type = "place string, lines array<bigint>, sizes array<int>, article boolean"
+    parsed_type = f"key {kind}, url string, area int, texts array<string>, zones string, links string, {page_type}"
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -234,40 +298,56 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
                 {
                     "key": batch["key"],
                     "url": batch["url"],
-                    "place": batch["place"],
                     "area": [bisect.bisect_right(bounds.value, p) for p in batch["place"]],
                     # The texts of blocks that cannot be the article stay behind.
                     "texts": [[t if z != "c" else "" for t, z, _ in b] for b in found],
                     "zones": ["".join(z for _, z, _ in b) for b in found],
                     "links": ["".join("x" if x else "-" for _, _, x in b) for b in found],
                     "lines": [np.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t, _, _ in b], dtype=np.int64) for b in found],
+                    "place": batch["place"],
+                    "sizes": [np.array([len(t) if z == "b" else 0 for t, z, _ in b], dtype=np.int32) for b in found],
+                    "article": [any(z == "a" for _, z, _ in b) for b in found],
                 }
             )
 
-    order = Window.partitionBy("area").orderBy("place", F.xxhash64("lines"))
-    around = placed.mapInPandas(parse, parsed_type).withColumns(
-        {
-            "before": F.lag(F.struct("place", "lines")).over(order),
-            "after": F.lead(F.struct("place", "lines")).over(order),
-        }
-    )
+    def sided(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list]]:
+        """Each batch with the neighbour of each row on the side that was read before."""
+        side, area = _Side(), None
+        for batch in batches:
+            near = []
+            for row in batch.itertuples(index=False):
+                if row.area != area:
+                    side, area = _Side(), row.area
+                side.step(_Page(row.place, row.lines, row.sizes, row.article))
+                near.append(side.nearest())
+            yield batch, near
+
+    near_type = "near_rank int, near_place string, near_lines array<bigint>"
+
+    def look_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch, near in sided(batches):
+            yield batch.assign(
+                near_rank=[n[0] if n else -1 for n in near], near_place=[n[1].place if n else None for n in near], near_lines=[n[1].lines if n else None for n in near]
+            )
 
     def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch, after in sided(batches):
             texts, counts = [], []
-            for row in batch.itertuples(index=False):
-                host, path, _ = row.place.split("\u0001", 2)
-                near = []
-                for other in (row.before, row.after):
-                    if other is not None and host and other["place"].split("\u0001", 1)[0] == host:
-                        near.append((_common_prefix(path, other["place"].split("\u0001", 2)[1]), other["lines"]))
-                # Of two equally near pages the one before is taken.
-                lines = max(near, key=lambda n: n[0])[1] if near else []
+            for row, behind in zip(batch.itertuples(index=False), after, strict=True):
+                path = row.place.split("\u0001", 2)[1]
+                near = [(row.near_rank, row.near_place, row.near_lines)] if row.near_rank >= 0 else []
+                near += [(behind[0], behind[1].place, behind[1].lines)] if behind else []
+                # Of two equally good and near pages the one before is taken.
+                lines = max(near, key=lambda n: (n[0], _common_prefix(path, n[1].split("\u0001", 2)[1])))[2] if near else []
                 shared = shared_lines(list(row.lines), list(lines)) if len(lines) else set()
                 page = list(zip(row.texts, row.zones, (x == "x" for x in row.links)))
                 texts.append(main_text(page, shared))
                 counts.append(len(shared))
             yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_shared": counts})
 
+    # Every area is read in order and then in reverse, where it lies: texts are shuffled once.
+    order = [F.col("area"), F.col("place"), F.xxhash64("lines")]
+    parsed = placed.mapInPandas(parse, parsed_type).repartition("area")
+    around = parsed.sortWithinPartitions(*order).mapInPandas(look_back, f"{parsed_type}, {near_type}").sortWithinPartitions(*(c.desc() for c in order))
     made = around.mapInPandas(difference, f"key {kind}, url string, text string, n_chars long, n_shared long")
     return made.select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars", "n_shared")
