@@ -82,6 +82,38 @@ def test_copies_lose_the_furniture_that_a_page_beyond_them_has(spark):
     assert got[8] == ("Something else. " * 30).strip() + " Read 8 times"
 
 
+def test_neighbourhoods_change_no_result(spark, monkeypatch):
+    random.seed(7)
+
+    def page(host):
+        if random.random() < 0.15:
+            return f"<div>Top {host}</div><article><p>Named {random.random()}</p></article>"
+        top = FURNITURE if host == "h" else f"<div>Top {host}</div>"
+        story = random.choice(["The one story. " * 30, "Another tale of old. " * 30, f"Short {random.randint(0, 3)}"])
+        return f"{top}<p>{story}</p><p>Read {random.choice([1, 1, 2, 3])} times</p><div>Rights {host}</div>"
+
+    rows = []
+    for host in "ghijk":
+        for run in range(8):
+            html = page(host)
+            rows += [(0, f"http://{host}.org/{run}/{i}", html if random.random() < 0.6 else page(host)) for i in range(random.randint(1, 5))]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)] + [(9999, None, "<p>x</p>"), (9998, "http://z.org/a", "<p>alone</p>")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, extract(df).collect()))
+    assert len(want) == len(rows)
+    for near_rows in (1, 3):
+        monkeypatch.setattr(html_extract, "NEAR_ROWS", near_rows)
+        assert sorted(map(tuple, extract(df).collect())) == want
+
+
+def test_bounds_hide_no_template(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "NEAR_ROWS", 1)
+    first = (1 << 53) + 1
+    rows = [(first + i, f"http://x.org/a/{i}", f"<div>Home of things</div><p>Story {i} begins.</p>") for i in range(6)] + [(None, None, None)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {first + i: f"Story {i} begins." for i in range(6)} | {None: ""}
+
+
 def test_query_gives_the_article(spark):
     sf_dir = "/root/testdata/sf0.01"
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}

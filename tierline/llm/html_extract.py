@@ -14,6 +14,7 @@ import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import python_tasks, text_or_empty
 from tierline.llm.url_filter import host_of, path_of
+from tierline.session import stage
 
 # HTML's elements by what they mean for a page's text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -222,6 +224,8 @@ def _relation(one: _Page, other: _Page) -> str:
     lines, ``copy`` for nearly the same, else ``differ``."""
     if not one.host or one.host != other.host:
         return "host"
+    # The same answer from either side.
+    one, other = sorted((one, other), key=lambda p: p.place)
     if np.array_equal(one.lines[one.sizes > 0], other.lines[other.sizes > 0]):
         return "equal"
     if one.article or other.article:
@@ -264,6 +268,39 @@ class _Side:
         return (0, self.before) if self.before else None
 
 
+#: Rows that say what lies around an area: pages before it, the last one nearest, and after it.
+_AROUND = {"far": 3, "unequal": 2, "last": 1}
+#: Pages of an area that tell what its adjoining areas see.
+_FIRST, _LAST, _BEFORE, _AFTER = 0, 1, {"unequal": 2, "far": 3}, {"unequal": 4, "far": 5}
+
+
+def _ends(pages: Iterator[_Page]) -> dict[int, _Page | None]:
+    """The pages of an area, in order, as what a reader from either side knows at its end;
+    a page that is None says that a new host came last, no page that nothing came."""
+    side, found = _Side(), {}
+    for page in pages:
+        found.setdefault(_FIRST, page)
+        relation = side.step(page)
+        for level, by in (("unequal", ("copy", "differ", "host")), ("far", ("differ", "host"))):
+            if relation in by:
+                found[_BEFORE[level]] = getattr(side, level)
+                found.setdefault(_AFTER[level], None if relation == "host" else page)
+    return found | {_LAST: side.last}
+
+
+def _passed_on(areas: Iterator[tuple[int, dict[int, _Page | None]]], forward: bool) -> Iterator[tuple[int, int, _Page]]:
+    """What each area is sent of those that were read before it: (area, rank, page)."""
+    side, sign = _Side(), -1 if forward else 1
+    entry, end, levels = (_FIRST, _LAST, _BEFORE) if forward else (_LAST, _FIRST, _AFTER)
+    for area, pages in areas:
+        yield from ((area, sign * rank, page) for name, rank in _AROUND.items() if (page := getattr(side, name)))
+        side.step(pages[entry])
+        for level, role in levels.items():
+            if role in pages:
+                setattr(side, level, pages[role])
+        side.last = pages[end]
+
+
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """One row per input row: ``key``, ``url``, ``text`` (empty if there is none),
     ``n_chars`` (its code points) and ``n_shared``, the blocks shared with the nearest page.
@@ -276,20 +313,23 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
 
     The order of (host, path, key) is cut into neighbourhoods at keys whose hash is a
     multiple of a number, about every NEAR_ROWS pages, so that a host with a third of all
-    pages is many of them; the nearest page is looked for within one. Their bounds are at
-    most about MOST_RANGES, and sent to the workers. Pages are parsed before the shuffle.
+    pages is many of them. Each is sent the pages that its first and last pages see beyond
+    its bounds, so the bounds change no result. They are at most about MOST_RANGES, and
+    sent to the workers. Pages are parsed before the shuffle.
     """
     spark = df.sparkSession
     python_tasks(spark, rows=200)
     place = F.concat_ws("\u0001", host_of(text_or_empty(df[url])), path_of(text_or_empty(df[url])), F.coalesce(df[key].cast("string"), F.lit("")))
-    placed = df.select(df[key].alias("key"), df[url].cast("string").alias("url"), df[page].cast("string").alias("html"), place.alias("place"))
+    kind = df.schema[key].dataType.simpleString()
+    # Whole numbers beside nulls would become floating-point numbers in pandas.
+    carried = "string" if kind in ("tinyint", "smallint", "int", "bigint") else kind
+    placed = df.select(df[key].cast(carried).alias("key"), df[url].cast("string").alias("url"), df[page].cast("string").alias("html"), place.alias("place"))
     every = NEAR_ROWS * (placed.count() // (NEAR_ROWS * MOST_RANGES) + 1)
     chosen = placed.select("place").where(F.pmod(F.xxhash64("place"), F.lit(every)) == 0).distinct().collect()
     bounds = spark.sparkContext.broadcast(sorted(r["place"] for r in chosen))
 
-    kind = df.schema[key].dataType.simpleString()
     page_type = "place string, lines array<bigint>, sizes array<int>, article boolean"
-    parsed_type = f"key {kind}, url string, area int, texts array<string>, zones string, links string, {page_type}"
+    parsed_type = f"key {carried}, url string, area int, texts array<string>, zones string, links string, {page_type}"
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -311,16 +351,25 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
             )
 
     def sided(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list]]:
-        """Each batch with the neighbour of each row on the side that was read before."""
-        side, area = _Side(), None
+        """Each batch with the neighbour of each row on the side that was read before. What
+        that side's areas sent is used up, what the other's sent goes through."""
+        side, area, sign = _Side(), None, 0
         for batch in batches:
-            near = []
+            near, kept = [], []
             for row in batch.itertuples(index=False):
                 if row.area != area:
-                    side, area = _Side(), row.area
-                side.step(_Page(row.place, row.lines, row.sizes, row.article))
-                near.append(side.nearest())
-            yield batch, near
+                    side, area, sign = _Side(), row.area, 0
+                page = _Page(row.place, row.lines, row.sizes, row.article)
+                if row.rank == 0:
+                    sign = 1
+                    side.step(page)
+                sent = row.rank != 0 and sign == 0
+                if sent:
+                    setattr(side, next(name for name, rank in _AROUND.items() if rank == abs(row.rank)), page)
+                else:
+                    near.append(side.nearest() if row.rank == 0 else None)
+                kept.append(not sent)
+            yield batch[kept], near
 
     near_type = "near_rank int, near_place string, near_lines array<bigint>"
 
@@ -345,9 +394,37 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
                 counts.append(len(shared))
             yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_shared": counts})
 
+    def pages_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, int, _Page | None]]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                yield row.area, row.rank, None if row.place is None else _Page(row.place, row.lines, row.sizes, row.article)
+
+    def shown(pages: Iterator[tuple[int, int, _Page | None]]) -> Iterator[pd.DataFrame]:
+        for area, rank, page in pages:
+            yield pd.DataFrame([(area, rank, *(page or (None,) * 4))], columns=["area", "rank", *_Page._fields])
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for area, pages in groupby(pages_of(batches), key=lambda p: p[0]):
+            yield from shown((area, role, page) for role, page in _ends(page for _, _, page in pages).items())
+
+    def pass_on(forward: bool) -> DataFrame:
+        def passed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            areas = groupby(pages_of(batches), key=lambda p: p[0])
+            yield from shown(_passed_on(((area, {role: page for _, role, page in pages}) for area, pages in areas), forward))
+
+        # At most six rows an area, of at most MOST_RANGES: one task reads them in order.
+        in_order = edges.coalesce(1).sortWithinPartitions(F.col("area") if forward else F.col("area").desc(), "rank")
+        return in_order.mapInPandas(passed, f"area int, rank int, {page_type}")
+
+    order = [F.col("area"), F.col("rank"), F.col("place"), F.xxhash64("lines")]
+    parsed = placed.mapInPandas(parse, parsed_type).withColumn("rank", F.lit(0))
+    parsed_type += ", rank int"
+    if bounds.value:
+        # Pages are parsed once more, for the ends of the areas: only lines are shuffled for that.
+        lines = parsed.select("area", "rank", *_Page._fields).repartition("area").sortWithinPartitions(*order)
+        edges = stage(lines.mapInPandas(ends, f"area int, rank int, {page_type}"), "page-edges")
+        parsed = parsed.unionByName(pass_on(True).unionByName(pass_on(False)), allowMissingColumns=True)
     # Every area is read in order and then in reverse, where it lies: texts are shuffled once.
-    order = [F.col("area"), F.col("place"), F.xxhash64("lines")]
-    parsed = placed.mapInPandas(parse, parsed_type).repartition("area")
-    around = parsed.sortWithinPartitions(*order).mapInPandas(look_back, f"{parsed_type}, {near_type}").sortWithinPartitions(*(c.desc() for c in order))
-    made = around.mapInPandas(difference, f"key {kind}, url string, text string, n_chars long, n_shared long")
-    return made.select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars", "n_shared")
+    around = parsed.repartition("area").sortWithinPartitions(*order).mapInPandas(look_back, f"{parsed_type}, {near_type}").sortWithinPartitions(*(c.desc() for c in order))
+    made = around.mapInPandas(difference, f"key {carried}, url string, text string, n_chars long, n_shared long")
+    return made.select(F.col("key").cast(kind).alias(key), F.col("url").alias(url), "text", "n_chars", "n_shared")
