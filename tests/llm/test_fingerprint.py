@@ -29,6 +29,18 @@ def test_sums_of_paragraph_vectors():
         assert got == total
 
 
+def test_likeness_of_a_line_repeated_very_often(spark):
+    whole, half = (fp.fingerprint("again\n" * n) for n in (40_000, 20_000))
+    assert fp.near(whole, half) == pytest.approx(1) and fp.combine(half, half) == whole and fp.combine(whole, half, -1) == half
+    rows = [(1, "again\n" * 40_000), (2, "again\n" * 39_000 + "something else altogether"), (3, "x y z")]
+    documents = fp.with_next(spark.createDataFrame(rows, "doc_id long, text string"))
+    edited = documents.withColumn("edited", fp.edited(fp.F.col("text"), fp.F.col("next_text")))
+    summed = fp.fingerprints(edited, "text", "edited", "next_text")
+    near = summed.select("doc_id", fp.likeness("text_fingerprint", "edited_fingerprint").alias("e"), fp.likeness("text_fingerprint", "next_text_fingerprint").alias("n"))
+    got = {r["doc_id"]: r for r in near.collect()}
+    assert got[1]["e"] > 0.99 and got[1]["n"] > 0.99 and got[2]["e"] > 0.99
+
+
 def _brute(rows):
     rows = sorted(((k, t or "") for k, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()))
     for i, (k, t) in enumerate(rows):

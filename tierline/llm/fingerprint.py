@@ -7,7 +7,8 @@ paragraph is inserted or deleted by adding or subtracting its vector.
 
 A vector has two parts. The identity lanes are a cryptographic hash of the paragraph,
 modulo 2**32: they decide equality. The likeness lanes are a projection of the
-paragraph's word trigrams to random signs, modulo 2**16: their cosine estimates how much
+paragraph's word trigrams to random signs, modulo 2**32, which no text has words enough
+to exceed: their cosine estimates how much
 two documents have in common, also where paragraphs were edited.
 """
 
@@ -83,7 +84,7 @@ def fingerprint_all(texts: list[str | None]) -> list[str]:
         line_starts = np.cumsum([0] + [len(x) + 1 for x in lines[:-1]])
         grams, line = _grams(words, np.searchsorted(line_starts, starts, side="right") - 1)
         _add_signs(likeness, grams, np.array(line_of)[line])
-    return [_hex(a, b) for a, b in zip(identity, likeness.astype("<u2"))]
+    return [_hex(a, b) for a, b in zip(identity, likeness.astype("<u4"))]
 
 
 def fingerprint(text: str | None) -> str:
@@ -91,12 +92,12 @@ def fingerprint(text: str | None) -> str:
 
 
 def _hex(identity: np.ndarray, likeness: np.ndarray) -> str:
-    return identity.astype("<u4").tobytes().hex() + likeness.astype("<u2").tobytes().hex()
+    return identity.astype("<u4").tobytes().hex() + likeness.astype("<u4").tobytes().hex()
 
 
 def _lanes(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(fingerprint)
-    return np.frombuffer(raw[:_IDENTITY_BYTES], dtype="<u4"), np.frombuffer(raw[_IDENTITY_BYTES:], dtype="<u2")
+    return np.frombuffer(raw[:_IDENTITY_BYTES], dtype="<u4"), np.frombuffer(raw[_IDENTITY_BYTES:], dtype="<u4")
 
 
 def combine(fingerprint: str, other: str, sign: int = 1) -> str:
@@ -110,7 +111,7 @@ def near(one: str, other: str) -> float:
     lanes, 0 if it is negative or one has no words."""
     if one == other:
         return 1.0
-    a, b = (_lanes(x)[1].astype("<i2").astype(np.float64) for x in (one, other))
+    a, b = (_lanes(x)[1].astype("<i4").astype(np.float64) for x in (one, other))
     size = np.sqrt((a @ a) * (b @ b))
     return float(min(max((a @ b) / size, 0.0), 1.0)) if size else 0.0
 
