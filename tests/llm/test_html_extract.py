@@ -38,6 +38,21 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert all(a[i] in rest for i in shared)
 
 
+def test_lines_that_stand_very_often(monkeypatch):
+    furniture = [x for i in range(70) for x in (100 + i, 0)]
+    own, other = [1, *[0] * 70, 2, *furniture, 3], [4, *furniture, 5]
+    assert sorted(shared_lines(own, other)) == [*range(72, 72 + 140)]
+    random.seed(3)
+    for table_bytes in (64 << 20, 20, 0):
+        monkeypatch.setattr(html_extract, "TABLE_BYTES", table_bytes)
+        for _ in range(12):
+            a, b = (random.choices(range(5), [9, 3, 1, 1, 1], k=random.randint(100, 200)) for _ in range(2))
+            shared = sorted(shared_lines(a, b))
+            assert len(shared) == _longest(a, b)
+            rest = iter(b)
+            assert all(a[i] in rest for i in shared)
+
+
 def test_template_lines_go_where_markup_is_silent(spark):
     def page(i):
         return f"<div>Home of things</div><p>Story {i} begins.</p><p>It ends {i}.</p><div>All rights of things</div>"

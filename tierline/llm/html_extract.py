@@ -13,6 +13,7 @@ shared line goes only if it is all links. Elsewhere differencing decides.
 import bisect
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from itertools import groupby
 from typing import NamedTuple
@@ -55,6 +56,10 @@ NEUTRAL_WORDS = frozenset(
 #: Pages that a neighbourhood of URLs holds on average, and the most neighbourhoods there are.
 NEAR_ROWS, MOST_RANGES = 1024, 1 << 16
 
+#: Lines that stand more often than this on the other page are not paired one by one, and
+#: the bytes that the table of such pages may have before it is cut in half.
+MOST_PAIRS, TABLE_BYTES = 64, 64 << 20
+
 #: Adjacent pages without article markup that share more than this part of the longer
 #: one's text may be copies: a neighbour is looked for beyond them first.
 COPY_SHARE = 0.9
@@ -151,11 +156,64 @@ def blocks(page: str | None) -> list[tuple[str, str, bool]]:
     return reader.blocks
 
 
+def _table(own: list[int], other: list[int]) -> Iterator[int]:
+    """Row by row of ``own`` the table of common subsequence lengths, as bits: a zero at
+    place j says that one more line of ``other``, the j-th, makes it longer."""
+    places: dict[int, list[int]] = defaultdict(list)
+    for j, line in enumerate(other):
+        places[line].append(j)
+
+    @lru_cache(maxsize=max(TABLE_BYTES // (len(other) // 8 + 1), 1))
+    def mask(line: int) -> int:
+        bits = np.zeros(len(other), dtype=np.uint8)
+        bits[places.get(line, [])] = 1
+        return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+    row = full = (1 << len(other)) - 1
+    yield row
+    for line in own:
+        paired = row & mask(line)
+        row = ((row + paired) | (row - paired)) & full
+        yield row
+
+
+def _lengths(own: list[int], other: list[int]) -> np.ndarray:
+    """Item j is the common subsequence's length of ``own`` and the first j of ``other``."""
+    row = 0
+    for row in _table(own, other):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(other) // 8 + 1, "little"), dtype=np.uint8), count=len(other), bitorder="little")
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _dense(own: list[int], other: list[int]) -> Iterator[int]:
+    """Places in ``own`` of a longest common subsequence, whatever the number of equal
+    lines: by the table of lengths, or by halves if that is too large (Hirschberg)."""
+    if not own or not other:
+        return
+    if len(own) * len(other) > 8 * TABLE_BYTES and len(own) > 1:
+        half = len(own) // 2
+        at = int((_lengths(own[:half], other) + _lengths(own[half:][::-1], other[::-1])[::-1]).argmax())
+        yield from _dense(own[:half], other[:at])
+        yield from (half + i for i in _dense(own[half:], other[at:]))
+        return
+    rows = list(_table(own, other))
+    i, j = len(own), len(other)
+    while i and j:
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+            yield i
+
+
 def shared_lines(own: list[int], other: list[int]) -> set[int]:
     """Places in ``own`` of a longest common subsequence of both lists.
 
-    Each pair of equal lines extends the longest chain of pairs before it. A line that
-    stands very often on both pages is only paired place by place.
+    Each pair of equal lines extends the longest chain of pairs before it. If a line
+    stands very often on the other page, the table of all lengths is made instead.
     """
     start, end = 0, min(len(own), len(other))
     while start < end and own[start] == other[start]:
@@ -167,16 +225,12 @@ def shared_lines(own: list[int], other: list[int]) -> set[int]:
     places = defaultdict(list)
     for j in range(start, len(other) - tail):
         places[other[j]].append(j)
-    seen: dict[int, int] = defaultdict(int)
+    if any(len(places.get(line, ())) > MOST_PAIRS for line in own[start : len(own) - tail]):
+        return shared | {start + i for i in _dense(own[start : len(own) - tail], other[start : len(other) - tail])}
     ends: list[int] = []
     last: list[tuple] = []
     for i in range(start, len(own) - tail):
-        found = places.get(own[i], ())
-        if len(found) > 64:
-            nth = seen[own[i]]
-            seen[own[i]] += 1
-            found = found[nth : nth + 1]
-        for j in reversed(found):
+        for j in reversed(places.get(own[i], ())):
             length = bisect.bisect_left(ends, j)
             chain = (i, last[length - 1] if length else None)
             if length == len(ends):
