@@ -15,8 +15,10 @@ from tierline.llm import decontaminate, jaccard_join, language_id, mixing
 from tierline.llm.common import small_side, table
 from tierline.session import stage
 
-#: Below this score a text shows no language: four languages without evidence score 0.25.
-LEAST_SCORE = 0.3
+#: A text's language is clear if its score is this part of the way from that of no
+#: evidence, 1 / languages, to 1. It also needs a word with a known n-gram: of one
+#: language every score is 1.
+LEAST_MARGIN = 1 / 15
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,9 +27,12 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no recognisable language: null texts, texts without a letter and
     texts whose language is not clear. The labels of all documents are learned from."""
     columns = docs.columns
-    names = ("predicted_language_", "language_score_")
-    judged = language_id.identify(docs, language_id.train(docs), names=names)
-    return judged.where((F.col(names[0]) != language_id.UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)).select(*columns)
+    names = ("predicted_language_", "language_score_", "known_words_")
+    model = language_id.train(docs)
+    chance = 1 / max(len(model.languages), 1)
+    judged = language_id.identify(docs, model, names=names)
+    clear = (F.col(names[2]) > 0) & (F.col(names[1]) >= chance + LEAST_MARGIN * (1 - chance))
+    return judged.where((F.col(names[0]) != language_id.UNKNOWN) & clear).select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,12 @@ def test_repeated_rows_of_one_key(spark):
     rows = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "y"), (1, "other words than those before it", "x"), (2, "A b c d e f g", "x"), (None, "", "x"), (None, "", "x")]
     out = first_of_groups(spark.createDataFrame(rows, "doc_id long, text string, version string")).collect()
     assert sorted((r["doc_id"] or 0, r["text"][:3]) for r in out) == [(0, ""), (0, ""), (1, "a b"), (1, "oth")]
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 4])
+def test_no_evidence_is_no_language_however_many_are_learned(spark, count):
+    known = {"en": "the house and the garden of the king", "de": "das Haus und der Garten des Königs", "es": "la casa y el jardín del rey", "fr": "la maison et le jardin du roi"}
+    rows = [(i * 10 + j, text, lang) for i, (lang, text) in enumerate(list(known.items())[:count]) for j in range(3)]
+    rows += [(900, "漢字 かな 漢字", None), (901, "12 34", None), (902, None, None)]
+    kept = corpus_pipeline.languages(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [r[0] for r in rows if r[0] < 900]

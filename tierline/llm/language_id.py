@@ -122,6 +122,7 @@ class _Words(dict):
         super().__init__()
         self.model = model
         self.rows = np.zeros((len(model.words) + MEMO_WORDS, len(model.languages)), dtype=np.float32)
+        self.known = np.ones(len(self.rows), dtype=bool)
         self.restart()
 
     def restart(self) -> None:
@@ -141,17 +142,18 @@ class _Words(dict):
                 break
         self[word] = at = len(self)
         self.rows[at] = 0 if score is None else score
+        self.known[at] = score is not None
         return at
 
 
-def _judge(text: str | None, words: _Words) -> tuple[str, float]:
+def _judge(text: str | None, words: _Words) -> tuple[str, float, float]:
     languages = words.model.languages
     found = _LETTERS.findall(text.lower()) if text else []
     if not found or not languages:
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, 0.0
     if len(words) + len(found) > len(words.rows):
         words.restart()
-    total = np.zeros(len(languages))
+    total, known = np.zeros(len(languages)), 0
     # Pieces as large as the memo has room for, so that texts of any length are whole.
     for at in range(0, len(found), MEMO_WORDS):
         if at:
@@ -159,33 +161,35 @@ def _judge(text: str | None, words: _Words) -> tuple[str, float]:
         part = found[at : at + MEMO_WORDS]
         rows = np.fromiter(map(words.__getitem__, part), dtype=np.int64, count=len(part))
         total += words.rows[rows].sum(axis=0, dtype=np.float64)
+        known += int(words.known[rows].sum())
     total *= min(1.0, EVIDENCE_WORDS / len(found))
     odds = np.exp(total - total.max())
     best = int(odds.argmax())
-    return languages[best], float(odds[best] / odds.sum())
+    return languages[best], float(odds[best] / odds.sum()), known / len(found)
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(df: DataFrame, model: Model, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """The input rows with the language (``lang_pred``) and ``score`` (0 to 1) of their whole
-    text, in columns of these ``names``.
+    text, in columns of these ``names``. A third name gets the share of the text's words
+    that are known or have a known n-gram: without one, the score says nothing.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if
     nothing was learned. Equal scores go to the first language in order. Columns of these
-    two names in the input are replaced; all other columns and repeated rows are kept.
+    names in the input are replaced; all other columns and repeated rows are kept.
     """
     python_tasks(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in df.columns if c not in names]
     inner = df.select(*(df[c].alias(f"c{i}") for i, c in enumerate(kept)), df[text].cast("string").alias("judged"))
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, known double")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = _Words(shipped.value)
         for texts in batches:
-            yield pd.DataFrame([_judge(t, words) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([_judge(t, words) for t in texts], columns=["lang_pred", "score", "known"])
 
     out = inner.withColumn("verdict", judged("judged"))
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("verdict.lang_pred").alias(names[0]), F.col("verdict.score").alias(names[1]))
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), *(F.col(f"verdict.{c}").alias(n) for c, n in zip(("lang_pred", "score", "known"), names)))
 
 
 def held_out(key: Column) -> Column:
