@@ -1,0 +1,184 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from tierline.llm.packing import Packer, encoder, pack, ranks_suffice, sequences
+from tierline.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string"
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(FILE, "rb") as f:
+        return f.read()
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(FILE)
+
+
+@pytest.fixture(scope="module")
+def fast(vocabulary):
+    return encoder(vocabulary, True)
+
+
+def _sum_of_squares(counts):
+    return sum(n * n for n in counts.values())
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_levels_minimise_the_sum_of_squares(seed):
+    """Each placement is as good as the best of all levels, tried one by one."""
+    rng = random.Random(seed)
+    window = rng.choice([8, 12, 30])
+    packer, counts = Packer(window, 10_000), {}
+    for n in range(400):
+        size = rng.randint(1, window - 1) if seed else rng.choice([3, 5])
+        level = packer.level(size)
+
+        def after(h):
+            new = dict(counts)
+            if h:
+                new[h] -= 1
+            if h + size < window:
+                new[h + size] = new.get(h + size, 0) + 1
+            return _sum_of_squares(new)
+
+        choices = [0] + [h for h in range(1, window - size + 1) if counts.get(h)]
+        best = min(map(after, choices))
+        assert after(level) == best
+        assert level == max(h for h in choices if after(h) == best)
+        if level:
+            counts[level] -= 1
+        full = packer.put((n, 0, np.zeros(size, dtype="<u4")))
+        assert bool(full) == (level + size == window)
+        if not full:
+            counts[level + size] = counts.get(level + size, 0) + 1
+        assert {h: c for h, c in counts.items() if c} == {h: int(c) for h, c in enumerate(packer.count) if c}
+
+
+@pytest.mark.parametrize(("window", "most_open", "sizes"), [(16, 5, None), (16, 1000, None), (1024, 50, [700]), (1024, 4096, [513, 511]), (10, 1, [9]), (2, 3, [1])])
+def test_every_id_is_in_one_piece(window, most_open, sizes):
+    rng = random.Random(window)
+    packer, windows, put = Packer(window, most_open), [], {}
+    for n in range(300):
+        ids = np.arange(rng.choice(sizes) if sizes else rng.randint(1, window - 1), dtype="<u4")
+        put[n] = len(ids)
+        windows += packer.put((n, 7, ids))
+        assert packer.held < max(most_open, 2)
+    windows += packer.close()
+    seen = {}
+    for w in windows:
+        for document, start, ids in w:
+            assert len(ids) and int(ids[0]) == start - 7
+            seen.setdefault(document, []).extend(ids.tolist())
+    assert {d: sorted(x) for d, x in seen.items()} == {d: list(range(n)) for d, n in put.items()}
+    fills = [sum(len(ids) for _, _, ids in w) for w in windows]
+    assert max(fills) <= window and all(f == window or f & (f - 1) == 0 for f in fills)
+    assert sum(f < window for f in fills) <= window.bit_length()
+
+
+def _checked(rows, docs, library, window=1024):
+    """The pieces hold each document's ids once, in sequences without gaps."""
+    ids = {key: [*library.encode(text or "", add_special_tokens=False).ids, 0] for key, text in docs}
+    got, spans = {}, {}
+    for r in rows:
+        piece = np.frombuffer(bytes(r["ids"]), dtype="<u4").tolist()
+        assert r["length"] == len(piece) > 0 and r["doc_tokens"] == len(ids[r["doc_id"]])
+        got.setdefault(r["doc_id"], []).append((r["start"], piece))
+        spans.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for key, pieces in got.items():
+        assert [i for start, piece in sorted(pieces) for i in piece] == ids[key]
+        assert all(piece == ids[key][start : start + len(piece)] for start, piece in pieces)
+    assert set(got) == set(ids)
+    fills = []
+    for span in spans.values():
+        at = 0
+        for offset, length in sorted(span):
+            assert offset == at
+            at += length
+        fills.append(at)
+    assert all(f == window or f < window and f & (f - 1) == 0 for f in fills)
+    return fills
+
+
+def test_documents_are_packed_whole(spark, library):
+    rng = random.Random(5)
+    docs = [(i, "word other é😀 " * rng.choice([0, 1, 3, 50, 400]) + "x" * rng.randint(0, 9)) for i in range(400)]
+    docs += [(1000, None), (1001, ""), (1002, "<|endoftext|>a<|endoftext|>"), (1003, "a b" * 300_000), (None, "null key")]
+    pieces = pack(spark.createDataFrame(docs, SCHEMA).repartition(5), FILE)
+    rows = pieces.collect()
+    fills = _checked(rows, docs, library)
+    assert sum(f < 1024 for f in fills) <= 5 * 10
+    # Rests that fit into one window are mostly left whole.
+    short = {r["doc_id"] for r in rows if r["doc_tokens"] < 1024}
+    cut = {r["doc_id"] for r in rows if r["doc_tokens"] < 1024 and r["length"] < r["doc_tokens"]}
+    assert len(cut) < len(short) / 4
+    whole = sequences(pieces).collect()
+    assert sorted(r["n_ids"] for r in whole) == sorted(fills)
+    assert all(len(r["ids"]) == 4 * r["n_ids"] for r in whole)
+
+
+def test_open_windows_are_bounded(spark, library):
+    docs = [(i, "a" + " b" * 700) for i in range(300)]
+    rows = pack(spark.createDataFrame(docs, SCHEMA).coalesce(1), FILE, most_open=20).collect()
+    fills = _checked(rows, docs, library)
+    assert sum(f < 1024 for f in fills) <= 10
+
+
+def test_repeats_empty_tables_and_clashing_columns(spark):
+    rows = [(1, "same", "x", 5), (1, "same", "y", 6), (2, None, None, None)]
+    out = pack(spark.createDataFrame(rows, SCHEMA + ", ids string, offset int").coalesce(1), FILE).collect()
+    assert sorted((r["doc_id"], r["length"], r["doc_tokens"]) for r in out) == [(1, 2, 2), (1, 2, 2), (2, 1, 1)]
+    assert pack(spark.createDataFrame([], SCHEMA), FILE).count() == 0
+    with pytest.raises(ValueError, match="two ids"):
+        pack(spark.createDataFrame([], SCHEMA), FILE, window=1)
+
+
+def test_query(spark, library, tmp_path):
+    docs = [(i, "some text of a document " * (i % 90)) for i in range(100)] + [(500, None)]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op13_packing"](spark, str(tmp_path)).collect()
+    assert sorted(got[0].asDict()) == sorted("doc_id start length ids_crc32 doc_tokens sequence_id offset".split())
+    for key, text in docs:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        mine = sorted((r for r in got if r["doc_id"] == key), key=lambda r: r["start"])
+        assert sum(r["length"] for r in mine) == len(ids)
+        for r in mine:
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+
+
+def test_ids_are_those_of_the_library(vocabulary, library, fast):
+    assert ranks_suffice(vocabulary)
+    # Every code point, between letters, digits and blanks.
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20_000):
+        text = "".join(f"a{c}b {c}1 {c}" for c in points[at : at + 20_000])
+        assert fast(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    for text in (" " * 100_000 + "x", "a" * 50_000, "\n" * 50_000, "it's we'RE 'll", "<|endoftext|> <|endoftext", ""):
+        assert fast(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(text=st.text())
+def test_ids_of_random_texts(fast, library, text):
+    assert fast(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_other_vocabularies_go_through_the_library(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, "rb") as f:
+        content = f.read()
+    assert not ranks_suffice(content)
+    docs = [(1, "Some  Text"), (2, "")]
+    library = Tokenizer.from_file(path)
+    rows = pack(spark.createDataFrame(docs, SCHEMA), path).collect()
+    _checked(rows, docs, library)

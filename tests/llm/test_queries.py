@@ -10,7 +10,7 @@ from tierline.llm.oracles import ORACLES
 from tierline.llm.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def _plain(value):

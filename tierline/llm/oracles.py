@@ -124,10 +124,54 @@ select q.doc_id, q.source, q.size, q.words as source_size, round(q.target, 6) as
 from queued q left join takes t on q.doc_id = t.doc_id and q.up_to = t.up_to and q.source is not distinct from t.source
 """
 
+
+
+def _op11(k: int = 16, rounds: int = 3) -> str:
+    """Every round as a nearest centroid by full comparison and a floor of sums."""
+    steps = [
+        f"""
+kept as materialized (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v, row_number() over () as r from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), parts as materialized (
+  select r, unnest(range(64)) as i, unnest(v) as x from kept
+), centre0 as materialized (
+  select c, unnest(range(64)) as i, unnest(v) as y
+  from (select v, row_number() over (order by sha256('1:' || coalesce(vec_id::varchar, '')), v) - 1 as c from kept) where c < {k}
+)"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""near{n} as materialized (
+  select r, min((d, c)) as best from (
+    select r, c, sum((x - y) * (x - y))::bigint as d from parts join centre{n} using (i) group by r, c) group by r
+)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""centre{n + 1} as materialized (
+  select c, i, coalesce((s - ((s % n) + n) % n) // n, y)::bigint as y from centre{n} left join (
+    select best[2] as c, i, sum(x)::bigint as s, count(*) as n from parts join near{n} using (r) group by all) using (c, i)
+)"""
+            )
+    return (
+        "with "
+        + ", ".join(steps)
+        + f""", named as (
+  select c, sha256(string_agg(y::varchar, ',' order by i)) as centroid_sha256 from centre{rounds} group by c
+)
+select vec_id, best[2]::integer as cluster, best[1] as distance, sum(best[1]) over (partition by best[2])::bigint as cluster_inertia,
+       sum(best[1]) over ()::bigint as inertia, centroid_sha256
+from kept join near{rounds} using (r) join named on c = best[2]
+"""
+    )
+
+
 ORACLES = {
     "op1_url_filter": _OP1,
     "op3_chat_format": _OP3,
     "op4_decontaminate": _OP4,
     "op5_license_scan": _OP5,
     "op6_mixing": _OP6,
+    "op11_clustering": _op11(),
 }

@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import chat_format, decontaminate, fingerprint, html_extract, jaccard_join, language_id, license_scan, mixing, token_counts, url_filter
+from tierline.llm import chat_format, clustering, decontaminate, fingerprint, html_extract, jaccard_join, language_id, license_scan, mixing, packing, periodic_runs, token_counts, url_filter
 from tierline.llm.common import table
 
 #: Turns of the conversation that every run formats besides the table's.
@@ -131,6 +131,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(apart.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable vectors with the nearest of 16 centroids after three rounds."""
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every whole document, a tenth of them with a planted tail."""
+    documents = table(spark, sf_dir, "documents")
+    planted = documents.select("doc_id", periodic_runs.with_planted(F.col("text"), F.col("doc_id")).alias("text"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return periodic_runs.collapse(planted).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.*",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, packed into sequences of 1024 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprint": op2_fingerprint,
@@ -142,5 +168,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_clustering": op11_clustering,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_packing": op13_packing,
     "pipeline": corpus_pipeline.run,
 }
