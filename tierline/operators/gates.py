@@ -4,11 +4,13 @@ A gate is one row: ``status`` (proceed, skip or fail) with its ``reason`` and fi
 Other tables enter as scalar subqueries, never as cross joins.
 """
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierline.functions.stamps import stamp_like
+from tierline.operators.keyed import key_check
 from tierline.schemas import NO_CURSOR
 
 
@@ -106,3 +108,29 @@ def preflight(inputs: dict[str, tuple[DataFrame, list[str]]], rows: bool = True)
         )
         checks = row if checks is None else checks.unionByName(row)
     return checks
+
+
+class AuditFailed(RuntimeError):
+    """A run's rows were refused before they were published."""
+
+
+def unique(key: str) -> Callable[[DataFrame], None]:
+    """An audit for a stage: every row has a key of its own."""
+
+    def check(rows: DataFrame) -> None:
+        found = key_check(rows, key).limit(1).collect()
+        if found:
+            raise AuditFailed(f"{key} {found[0][key]}: {found[0]['problem']}")
+
+    return check
+
+
+def share_at_most(condition: Column, share: float) -> Callable[[DataFrame], None]:
+    """An audit for a stage: the condition holds for at most this share of the rows."""
+
+    def check(rows: DataFrame) -> None:
+        n, hits = rows.agg(F.count(F.lit(1)), F.count_if(condition)).first()
+        if hits > share * n:
+            raise AuditFailed(f"{hits} of {n} rows, more than {share:.1%} of them")
+
+    return check

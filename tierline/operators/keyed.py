@@ -110,8 +110,10 @@ def upsert_changes(
     key: str = KEY,
     distinct: Distinct = json_distinct,
     small_keys: DataFrame | None = None,
+    replaced: bool = False,
 ) -> DataFrame:
-    """Only the rows an upsert would write, with ``op`` = insert or update.
+    """Only the rows an upsert would write, with ``op`` = insert or update, and with
+    ``replaced`` the payload that an update takes the place of.
 
     ``layers`` hold the stored state, oldest first, each unique per key: a key's newest
     layer wins. A layer bucketed by the key is joined where it lies. ``small_keys``, the
@@ -142,6 +144,7 @@ def upsert_changes(
         F.when(stored, old_ingested).otherwise(F.col("updated_at")).alias("ingested_at"),
         "updated_at",
         F.when(stored, F.lit("update")).otherwise(F.lit("insert")).alias("op"),
+        *([F.when(stored, old_payload).cast("string").alias("replaced")] if replaced else []),
     )
 
 

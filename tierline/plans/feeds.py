@@ -109,6 +109,19 @@ def second_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_payload(seen).unionByName(with_payload(supplier_records(spark, sf_dir)))
 
 
+def third_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first feed again, in which every fourth customer has moved to another group."""
+    seen = customer_records(spark, sf_dir)
+    moved = F.col("c_custkey") % 4 == 0
+    seen = seen.withColumns(
+        {
+            "brewery_type": F.when(moved, F.lit(" relocated ")).otherwise(F.col("brewery_type")),
+            "state_province": F.when(~moved, F.col("state_province")),
+        }
+    )
+    return with_payload(seen)
+
+
 def pages(records: DataFrame) -> DataFrame:
     """Records packed into JSON array pages; a page holds at most the page size."""
     items = F.transform(F.array_sort(F.collect_list(F.struct("pos", "payload"))), lambda r: r["payload"])

@@ -74,6 +74,10 @@ from ({_stored(recipe)}) group by 1, 2, 3"""
 
 
 _CURRENT = f"select * from ({_CUSTOMERS}) where id not in (select id from ({_SECOND})) union all {_SECOND}"
+_THIRD = f"""
+select * replace (case when id[2:]::bigint % 4 = 0 then ' relocated ' else brewery_type end as brewery_type,
+                  case when id[2:]::bigint % 4 <> 0 then state_province end as state_province)
+from ({_CUSTOMERS})"""
 _MISSING = """concat_ws(',', case when city is null then 'city' end, case when country is null then 'country' end)"""
 
 _PAYLOAD = "to_json(struct_pack(" + ", ".join(f"{f} := {f}" for f in PAYLOAD_FIELDS) + "))::varchar"
@@ -255,4 +259,13 @@ from ({_runs(_SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SECOND_DELTA))})""",
 select {_SILVER_COLUMNS} from ({_stored(_CUSTOMERS)}) union all select {_SILVER_COLUMNS} from ({_stored(_SECOND_DELTA)})""",
     "stream_repeat": _runs(_SILVER_COLUMNS, _stored(_CUSTOMERS), _stored(_SUPPLIERS), (_RUN_1, "20231231_0900")),
 }
+ORACLES |= {
+    "silver_broken_repeat": ORACLES["silver_late"],
+    "silver_audit": f"select {_SILVER_COLUMNS}, '{_RUN_1}' as run_id from ({_stored(_CUSTOMERS)})",
+    "gold_incremental": _gold(f"select * from ({_THIRD}) union all {_SUPPLIERS}"),
+    "stream_after_batch": " union all ".join(
+        f"select '{layer}' as layer, * from ({_runs('id, address_2, full_address', _stored(_CUSTOMERS), _stored(_SECOND_DELTA), names)})"
+        for layer, names in (("shared", (_RUN_2, f"{_RUN_2}_2")), ("unnoted", (_RUN_1, _RUN_2)))
+    ),
+}
 ORACLES["bronze_stage_shuffled"] = ORACLES["bronze_repeat"] = ORACLES["bronze_stage"]

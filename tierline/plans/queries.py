@@ -12,7 +12,7 @@ from tierline.functions.json import record_id
 from tierline.functions.stamps import run_id_of, stamp
 from tierline.operators import clean, counts, gates, keyed, records
 from tierline.plans import feeds
-from tierline.plans.stages import Layers, bronze_stage, gold_stage, refresh, silver_stage
+from tierline.plans.stages import Layers, StageFailed, bronze_stage, gold_stage, refresh, silver_stage
 from tierline.schemas import BRONZE_CHANGES, GOLD, LOCATION_COLUMNS, PAGE_SIZE, SILVER
 from tierline.session import new_folder, prepare, ship_package, stage
 from tierline.sources import lake, pages
@@ -441,6 +441,79 @@ def silver_late(spark, sf_dir):
     return lake.read_runs(spark, layers.silver, SILVER).drop("ingested_at")
 
 
+@query
+def silver_broken_repeat(spark, sf_dir):
+    """A run committed late, then the silver run before it repeated and broken off: the
+    earlier try stays, and the next run reads what came late."""
+    layers = Layers.under(new_folder(spark, "silver_broken_repeat"))
+
+    def broken(run: DataFrame) -> None:
+        raise OSError("the disk is full")
+
+    bronze_stage(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST)
+    silver_stage(spark, layers, SECOND_RUN, SECOND)
+    bronze_stage(spark, layers, feeds.second_fetch(spark, sf_dir), REPEAT_RUN, REPEAT)
+    try:
+        silver_stage(spark, layers, SECOND_RUN, SECOND, audits=[broken])
+    except OSError:
+        silver_stage(spark, layers, LATER_RUN, LATER)
+    return lake.read_runs(spark, layers.silver, SILVER).drop("ingested_at")
+
+
+@query
+def silver_audit(spark, sf_dir):
+    """A second run refused by an audit, then by its counts: readers see the first one."""
+    layers = Layers.under(new_folder(spark, "silver_audit"))
+    store = BronzeStore(spark, layers.bronze)
+    bronze_stage(spark, layers, _feed(spark, sf_dir), FIRST_RUN, FIRST)
+    silver_stage(spark, layers, FIRST_RUN, FIRST, audits=[gates.unique("id")])
+    bronze_stage(spark, layers, feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND)
+    try:
+        silver_stage(spark, layers, SECOND_RUN, SECOND, audits=[gates.share_at_most(F.col("id").startswith("s"), 0.01)])
+    except gates.AuditFailed:
+        fewer = stage(store.changed_by([lake.run_name(SECOND_RUN)]).withColumn("op", F.lit("insert")).where("id_api not like 's%'"))
+        lake.write_run(fewer, store.changes_path, SECOND_RUN)
+        try:
+            silver_stage(spark, layers, SECOND_RUN, SECOND)
+        except StageFailed:
+            pass
+    return lake.read_runs(spark, layers.silver, SILVER).drop("ingested_at")
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """Three loads, the counts of current versions kept up to date from each delta."""
+    layers = Layers.under(new_folder(spark, "gold_incremental"))
+    loads = [
+        (_feed(spark, sf_dir), FIRST_RUN, FIRST),
+        (feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND),
+        (feeds.third_fetch(spark, sf_dir), LATER_RUN, LATER),
+    ]
+    for fetched, run, as_of in loads:
+        refresh(spark, layers, fetched, run, as_of, scope="current")
+    return lake.read_run(spark, layers.gold, GOLD).drop("processed_at")
+
+
+@query
+def stream_after_batch(spark, sf_dir):
+    """Batch and stream over one silver layer: a batch run of the name the stream would
+    use, and a layer whose only run something else wrote."""
+    shared = Layers.under(new_folder(spark, "stream_after_batch"))
+    bronze_stage(spark, shared, _feed(spark, sf_dir), FIRST_RUN, FIRST)
+    silver_stage(spark, shared, SECOND_RUN, FIRST)
+    bronze_stage(spark, shared, feeds.second_fetch(spark, sf_dir), SECOND_RUN, SECOND)
+    unnoted = Layers(shared.landing, shared.bronze, f"{shared.silver}_unnoted", shared.gold)
+    whole = BronzeStore(spark, shared.bronze).changed_by([lake.run_name(FIRST_RUN)])
+    lake.write_run(clean.silver_rows(whole, FIRST), unnoted.silver, FIRST_RUN, LOCATION_COLUMNS)
+    rows = None
+    for name, layers in (("shared", shared), ("unnoted", unnoted)):
+        for _ in range(2):
+            stream_silver(spark, layers.bronze, layers.silver, new_folder(spark, "checkpoint")).awaitTermination()
+        found = lake.read_runs(spark, layers.silver, SILVER).select(F.lit(name).alias("layer"), "run_id", "id", "address_2", "full_address")
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
 @query
 def gold_repeat(spark, sf_dir):
     """Both runs counted, then the first one repeated: it does not see the second."""

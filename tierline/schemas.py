@@ -54,6 +54,9 @@ BRONZE = T.StructType(
 # Bronze rows as stored per run: "insert" for a new key, "update" for a new version.
 BRONZE_CHANGES = T.StructType(BRONZE.fields + [T.StructField("op", T.StringType())])
 
+# As written: with the payload an update took the place of, where the writer knew it.
+BRONZE_STORED = T.StructType(BRONZE_CHANGES.fields + [T.StructField("replaced", T.StringType())])
+
 SILVER = T.StructType(
     [
         T.StructField(f, T.DoubleType() if f in ("latitude", "longitude") else T.StringType())
@@ -65,6 +68,11 @@ SILVER = T.StructType(
     ]
 )
 
+# As written: with the group that the last version of the id before this run was in; null
+# for an id that no run before has. Readers of SILVER do not see it.
+GROUP = T.StructType([T.StructField(k, T.StringType()) for k in GOLD_KEYS])
+SILVER_STORED = T.StructType(SILVER.fields + [T.StructField("previous", GROUP)])
+
 GOLD = T.StructType(
     [T.StructField(k, T.StringType()) for k in GOLD_KEYS]
     + [

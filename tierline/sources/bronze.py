@@ -1,8 +1,9 @@
 """Keyed bronze store on plain Parquet: per-run changes over a bucketed snapshot.
 
 ``<base>/changes/run_id=<id>`` holds the rows a run inserted or changed, so a run
-writes what changed, not the table. ``<base>/commits/run_id=<id>`` notes how many they
-are; it is written last, and the stream follows these notes. ``<base>/snapshot/
+writes what changed, not the table; an update also has the payload it replaced.
+``<base>/commits/run_id=<id>`` notes how many they are; it is written last, and the stream
+follows these notes. ``<base>/snapshot/
 run_id=<id>.b<N>`` holds the full state up to that run, hash-bucketed by key into N files:
 joins on the key read it in place and shuffle only the other side. A run becomes visible
 as a whole; a run that is repeated finds the state before its first try.
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tierline.functions.stamps import moment, stamp
 from tierline.operators import keyed
 from tierline.operators.keyed import KEY, latest_per_key
-from tierline.schemas import BRONZE, BRONZE_CHANGES
+from tierline.schemas import BRONZE, BRONZE_STORED
 from tierline.sources import lake
 
 # Bytes of Parquet per bucket that compaction aims at, and the least number of buckets.
@@ -69,7 +70,7 @@ class BronzeStore:
             log = self._log(changes)
             # One run holds a key once; only several runs need versioning.
             if len(changes) > 1:
-                log = latest_per_key(log, KEY, [F.desc("run_id")])
+                log = latest_per_key(log.select(*BRONZE.fieldNames(), "run_id"), KEY, [F.desc("run_id")])
             layers.append(log.select(*BRONZE.fieldNames()))
         return layers
 
@@ -98,25 +99,39 @@ class BronzeStore:
     def changed_by(self, runs: list[str]) -> DataFrame:
         """Newest version of each key among the rows of some :meth:`runs`, read from
         their change folders only."""
+        return self.changes_of(runs).select(*BRONZE.fieldNames())
+
+    def changes_of(self, runs: list[str]) -> DataFrame:
+        """As :meth:`changed_by`, with the payload that was ``replaced`` by the oldest of
+        the rows of a key: what was stored before all of the runs."""
         rows = self._rows_of(runs)
+        columns = BRONZE.fieldNames()
         if len(runs) > 1:
-            rows = latest_per_key(rows, KEY, [F.desc("run_id")])
-        return rows.select(*BRONZE.fieldNames())
+            newest = F.max_by(F.struct(*columns), "run_id").alias("newest")
+            oldest = F.min_by(F.struct("replaced"), "run_id").alias("oldest")
+            rows = rows.groupBy(KEY).agg(newest, oldest).select("newest.*", "oldest.replaced")
+        return rows.select(*columns, "replaced")
+
+    def notes(self, runs: list[str]) -> dict[str, list[str]]:
+        """Commit notes of the runs: their number of rows, and whether these know what they
+        replaced."""
+        return {name: lines for name, lines in lake.read_notes(self.spark, self.commits_path).items() if name in runs}
 
-    def missing_rows(self, runs: list[str]) -> int:
+    def missing_rows(self, runs: list[str], notes: dict[str, list[str]] | None = None) -> int:
         """Rows that were committed by the runs and are not there; from file footers."""
         here = {r for r in lake.list_runs(self.spark, self.changes_path) if r in runs}
-        notes = {name: int(lines[0]) for name, lines in lake.read_notes(self.spark, self.commits_path).items() if name in here}
+        notes = {name: int(lines[0]) for name, lines in (notes or self.notes(runs)).items() if name in here}
         found = self._rows_of(list(notes)).count() if notes else 0
         return sum(notes.values()) - found
 
     def _rows_of(self, runs: list[str]) -> DataFrame:
         folders = set(lake.list_runs(self.spark, self.changes_path))
         columns = (*BRONZE.fieldNames(), "run_id")
-        rows = self._log([r for r in runs if r in folders]).select(*columns)
+        rows = self._log([r for r in runs if r in folders]).select(*columns, "replaced")
         if any(r not in folders for r in runs):
             snapshot = next(s for s in lake.list_runs(self.spark, self.snapshot_path) if _run_of(s) in runs)
-            rows = self._snapshot(snapshot).withColumn("run_id", F.lit("")).select(*columns).unionByName(rows)
+            whole = self._snapshot(snapshot).withColumn("run_id", F.lit("")).select(*columns, F.lit(None).cast("string").alias("replaced"))
+            rows = whole.unionByName(rows)
         return rows
 
     def last_stamp(self, run_id: str | None = None, inclusive: bool = True) -> datetime | None:
@@ -129,6 +144,10 @@ class BronzeStore:
             return moment(self._snapshot(snapshot).agg(F.unix_micros(F.max("updated_at"))).first()[0])
         return lake.run_stamp(self._log(runs), "updated_at")
 
+    def stamp_of(self, runs: list[str]) -> datetime:
+        """The newest stamp among the rows of some runs."""
+        return moment(self._rows_of(runs).agg(F.unix_micros(F.max("updated_at"))).first()[0])
+
     def stats(self, run_id: str, cursor: datetime | None) -> DataFrame:
         """Stored keys, and rows of ``run_id`` newer than the cursor, as the bronze gate
         takes them: snapshot rows plus later inserts. Payloads are not read."""
@@ -146,21 +165,23 @@ class BronzeStore:
         )
 
     def append(self, changes: DataFrame, run_id: str) -> int:
-        """Store one run's inserts and updates, if any; returns their number.
+        """Store one run's inserts and updates, if any; returns their number. Until all are
+        written, an earlier try of the run stays what readers see.
 
         A first load is written as its own shuffle spread it; later runs are what is left
         of a larger batch, so their files are sized anew.
         """
         later = any(self._parts(run_id))
         self._forget_snapshots(run_id)
-        note = f"{self.commits_path}/{lake.run_name(run_id)}"
-        lake.drop_note(self.spark, note)
-        rows = changes.select(*BRONZE_CHANGES.fieldNames())
+        knows = "replaced" in changes.columns
+        rows = (changes if knows else changes.withColumn("replaced", F.lit(None).cast("string"))).select(*BRONZE_STORED.fieldNames())
         written = lake.write_run(rows, self.changes_path, run_id, rebalance=later)
+        note = f"{self.commits_path}/{lake.run_name(run_id)}"
         if written == 0:
             lake.drop_run(self.spark, self.changes_path, run_id)
+            lake.drop_note(self.spark, note)
         else:
-            lake.write_note(self.spark, note, str(written))
+            lake.write_note(self.spark, note, f"{written}\nreplaced" if knows else str(written))
         return written
 
     def _forget_snapshots(self, run_id: str) -> None:
@@ -238,7 +259,7 @@ class BronzeStore:
         return max(-(-size // BUCKET_BYTES), LEAST_BUCKETS)
 
     def _log(self, runs: list[str]) -> DataFrame:
-        return lake.read_runs(self.spark, self.changes_path, BRONZE_CHANGES, runs)
+        return lake.read_runs(self.spark, self.changes_path, BRONZE_STORED, runs)
 
     def _snapshot(self, name: str) -> DataFrame:
         """The snapshot as a bucketed table; the session catalog learns it on first use."""

@@ -3,9 +3,16 @@
 Each run owns one folder, so a retried run overwrites only itself, and ``run_id`` is a
 partition column when several runs are read as one table. A run counts once its
 ``_SUCCESS`` marker is there: a half-written folder is never read.
+
+A run is written, audited, published: its rows go to a folder below ``_staging`` that no
+reader looks at, are read back and checked there, and appear by a rename. Until then, and
+if anything fails, readers see what was there before. Each writing has a token, the name of
+a marker in the folder; what was noted about it beside the layer is named after run and
+token, so a note counts only together with the rows it was written for.
 """
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -14,6 +21,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from tierline.functions.stamps import moment
 
 RUN_PREFIX = "run_"
+STAGING = "_staging"
+TOKEN_PREFIX = "_token."
+
+# Takes the rows of a run as read back before they are published, and their number;
+# raises to refuse them.
+Audit = Callable[[DataFrame, int], None]
 
 
 class NoRuns(RuntimeError):
@@ -30,11 +43,34 @@ def run_path(base: str, run_id: str) -> str:
 
 def list_runs(spark: SparkSession, base: str, committed: bool = True) -> list[str]:
     """Names of run folders, oldest first, on any file system Spark can reach."""
-    pattern = f"{base.rstrip('/')}/{RUN_PREFIX}*" + ("/_SUCCESS" if committed else "")
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    folders = [f.getPath().getParent() if committed else f.getPath() for f in found]
-    return sorted(folder.getName() for folder in folders)
+    found = _found(spark, f"{base.rstrip('/')}/{RUN_PREFIX}*" + ("/_SUCCESS" if committed else ""))
+    return sorted((path.getParent() if committed else path).getName() for path in found)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _found(spark: SparkSession, pattern: str) -> list:
+    path, fs = _path(spark, pattern)
+    return [f.getPath() for f in fs.globStatus(path) or []]
+
+
+def commits(spark: SparkSession, base: str) -> dict[str, str | None]:
+    """Committed runs, oldest first, each with the token of its writing: one listing. A run
+    that something else wrote has none."""
+    found = _found(spark, f"{base.rstrip('/')}/{RUN_PREFIX}*/_{{SUCCESS,{TOKEN_PREFIX[1:]}*}}")
+    tokens: dict[str, str | None] = {}
+    complete = set()
+    for path in found:
+        run, name = path.getParent().getName(), path.getName()
+        if name == "_SUCCESS":
+            complete.add(run)
+        else:
+            tokens[run] = name.removeprefix(TOKEN_PREFIX)
+    return {run: tokens.get(run) for run in sorted(complete)}
 
 
 def latest_run(spark: SparkSession, base: str) -> str:
@@ -51,26 +87,40 @@ def runs_before(spark: SparkSession, base: str, run_id: str) -> list[str]:
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    path, fs = _path(spark, folder)
+    return fs.getContentSummary(path).getLength()
 
 
 def drop_run(spark: SparkSession, base: str, run_id: str) -> None:
     """Remove a run's folder, so it does not count as a run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_path(base, run_id))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_folder(spark, run_path(base, run_id))
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _path(spark, folder)
+    fs.delete(path, True)
 
 
 def write_note(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small text file in place as a whole: readers see all of it or none."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Put a small text file in place as a whole: readers see all of it or none, and an
+    older one until then."""
+    target, fs = _path(spark, path)
     hidden = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent().toString()}/_{target.getName()}")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     out = fs.create(hidden, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(target, False)
-    fs.rename(hidden, target)
+    kind = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(hidden), fs.makeQualified(target), options)
+
+
+def drop_notes(spark: SparkSession, pattern: str, keep: str) -> None:
+    """Remove the notes a pattern finds, but one."""
+    for path in _found(spark, pattern):
+        if path.getName() != keep:
+            drop_note(spark, path.toString())
 
 
 def read_notes(spark: SparkSession, folder: str) -> dict[str, list[str]]:
@@ -84,38 +134,71 @@ def read_notes(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, fs = _path(spark, path)
+    return fs.exists(target)
 
 
 def make_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    path, fs = _path(spark, folder)
+    fs.mkdirs(path)
 
 
 def drop_note(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)
+    target, fs = _path(spark, path)
+    fs.delete(target, False)
 
 
 def write_run(
-    df: DataFrame, base: str, run_id: str, partition_by: Sequence[str] = (), rebalance: bool = True
+    df: DataFrame,
+    base: str,
+    run_id: str,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
+    audit: Audit | None = None,
+    note: Callable[[str], None] | None = None,
 ) -> int:
     """Write one run's folder and return its row count, without a second job.
 
+    The rows are staged; ``audit`` looks at them as read back, ``note`` is told the token of
+    this writing; then the folder takes its place, or that of the run's earlier try. If
+    anything raises, the staged rows are dropped and readers never saw them.
+
     REBALANCE sizes the files: rows of one directory go together, small partitions are
     merged, and a directory holding a third of the data is split over many tasks, which
     ``repartition`` on the columns would hand to one. Small results end up in one file.
     Rows that leave a shuffle evenly and all get written can do without.
     """
-    rows = Observation()
+    spark, token, rows = df.sparkSession, uuid.uuid4().hex, Observation()
+    staging = f"{base.rstrip('/')}/{STAGING}/{token}"
     # Counted behind the last shuffle, where a recomputed map task cannot count twice.
     placed = df.hint("rebalance", *partition_by) if rebalance else df
     writer = placed.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(run_path(base, run_id))
-    return rows.get["n"]
+    try:
+        writer.parquet(run_path(staging, run_id))
+        written = rows.get["n"]
+        if audit is not None:
+            audit(read_runs(spark, staging, df.schema, [run_name(run_id)]).select(*df.columns), written)
+        if note is not None:
+            note(token)
+        _publish_staged(spark, base, staging, run_id, token)
+    finally:
+        drop_folder(spark, staging)
+    return written
+
+
+def _publish_staged(spark: SparkSession, base: str, staging: str, run_id: str, token: str) -> None:
+    """Move a staged run to its place. One that is there is moved aside first: between the
+    two renames the run does not exist, and nothing says that it did."""
+    staged, fs = _path(spark, run_path(staging, run_id))
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(staged, f"{TOKEN_PREFIX}{token}"), True).close()
+    place, _ = _path(spark, run_path(base, run_id))
+    aside, _ = _path(spark, f"{staging}/replaced")
+    if fs.exists(place) and not fs.rename(place, aside):
+        raise OSError(f"cannot replace {place.toString()}")
+    if not fs.rename(staged, place):
+        raise OSError(f"cannot publish {place.toString()}")
 
 
 def read_runs(spark: SparkSession, base: str, schema: T.StructType, runs: Sequence[str] | None = None) -> DataFrame:

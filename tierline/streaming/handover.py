@@ -8,18 +8,22 @@ which is the gate's "skip".
 """
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.plans.stages import consumed_runs, write_silver
+from tierline.plans.stages import Audit, SilverPast, write_silver
+from tierline.schemas import SILVER
 from tierline.sources import lake
 from tierline.sources.bronze import BronzeStore
 
 
-def _now(_run_id: str) -> datetime:
-    return datetime.now(timezone.utc)
+def _free_name(run_id: str, taken: set[str]) -> str:
+    """The run id, or the first of ``id_2``, ``id_3``... that no run has: they sort after
+    the id and before later ones."""
+    names = [run_id, *(f"{run_id}_{n}" for n in range(2, len(taken) + 3))]
+    return next(name for name in names if lake.run_name(name) not in taken)
 
 
 def stream_silver(
@@ -28,15 +32,21 @@ def stream_silver(
     silver_base: str,
     checkpoint: str,
     max_runs: int | None = None,
-    clock: Callable[[str], datetime] = _now,
+    clock: Callable[[str], datetime] | None = None,
     then: Callable[[str], None] | None = None,
+    audits: tuple[Audit, ...] = (),
 ) -> StreamingQuery:
     """Clean what all bronze runs committed since the last call changed, then stop.
 
-    A micro-batch's run has the name of the last bronze run in it, so a retried batch
-    replaces its own run and no other. ``max_runs`` bounds a micro-batch when a long
-    backlog is read; ``clock`` gives a run's stamp; ``then`` is told the id of each written
-    run (to start the gold stage, say).
+    A micro-batch's run has the name of the last bronze run in it; if a silver run of that
+    name is there, of the batch stage say, a name after it (``<run>_2``). So the stream never
+    replaces a run, and batch and stream may share a layer: what either has read the other
+    does not read. A micro-batch that is tried again finds its rows read, or unpublished.
+
+    ``max_runs`` bounds a micro-batch when a long backlog is read. A run's stamp is that of
+    the last bronze run in it, or just after the layer's last, unless ``clock`` gives it.
+    ``then`` is told the id of each written run (to start the gold stage, say); ``audits``
+    see its rows before they are published, as in the batch stage.
     """
     store = BronzeStore(spark, bronze_base)
     reader = spark.readStream.schema("value string")
@@ -46,14 +56,25 @@ def stream_silver(
     lake.make_folder(spark, store.commits_path)
     commits = reader.text(store.commits_path).select(F.col("_metadata.file_name").alias("run"))
 
+    def stamp_of(runs: list[str], past: SilverPast) -> datetime:
+        read = store.stamp_of(runs)
+        last = lake.run_stamp(lake.read_runs(spark, silver_base, SILVER, list(past.notes)[-1:]), "ingested_at")
+        return read if last is None or last < read else last + timedelta(microseconds=1)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         told = {r["run"] for r in batch.distinct().collect()}
-        runs = [r for r in store.runs() if r in told]
-        new = [r for r in runs if r not in consumed_runs(spark, silver_base, lambda run: True, [])]
+        runs = store.runs()
+        # A run whose note was lost is read with the next one.
+        noted = set(store.notes(runs))
+        past = SilverPast.of(spark, silver_base)
+        read = past.read_by_others(runs)
+        new = [r for r in runs if r not in read and (r in told or r not in noted)]
         if not new:
             return
-        run_id = new[-1].removeprefix("run_id=")
-        write_silver(spark, store, new, silver_base, run_id, clock(run_id))
+        last = new[-1].removeprefix("run_id=")
+        run_id = _free_name(last, set(lake.list_runs(spark, silver_base, committed=False)))
+        as_of = clock(run_id) if clock is not None else stamp_of(new, past)
+        write_silver(spark, store, new, silver_base, run_id, as_of, past=past, audits=audits)
         if then is not None:
             then(run_id)
 
