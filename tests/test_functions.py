@@ -71,6 +71,16 @@ def test_joined(spark, parts, expected):
         ("{bad", None),
         ("[1]", None),
         (None, None),
+        ("", None),
+        ("null", None),
+        ('"id"', None),
+        (' {"id":{"city":1},"city":[{}]}\n', []),
+        ('{"id":1,"city":2} junk', None),
+        ('{"id":1,"city":2}] junk', None),
+        ('{"id":1,"city":2}],[{"id":"2"}', None),
+        ('{"id":1,"city":2},{"id":"2"}', None),
+        ('{"id":1,"city":2}}', None),
+        ('{"id":1},"city":{}', None),
     ],
 )
 def test_required_keys_are_about_presence(spark, payload, missing):
@@ -84,6 +94,14 @@ def test_required_keys_are_about_presence(spark, payload, missing):
 )
 def test_record_id(spark, payload, expected):
     assert _one(spark, payload, J.record_id) == expected
+    assert _one(spark, payload, lambda v: J.findings(v, ["id"])["id"]) == expected
+
+
+def test_a_record_is_parsed_once(spark):
+    from tierline.operators import records
+
+    found = records.examined(spark.createDataFrame([("{}",)], "payload string"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
 
 
 LONG = "x" * 200_000
@@ -112,7 +130,25 @@ BIG = "12345678901234567890123456789012345678901234567890"
         (f'{{"x":{BIG}1}}', f'{{"x":{BIG}2}}', True),
         ('{"a":"Suite 3E2","b":1}', '{"b":1,"a":"Suite 3E2"}', False),
         ('{"a":"\\"Infinity\\\\","b":"7E7"}', '{"b":"7E7","a":"\\"Infinity\\\\"}', False),
-        ('{"a":1e300,"b":"x"}', '{"b":"x","a":1e300}', True),
+        ('{"a":1e300,"b":"x"}', '{"b":"x","a":1e300}', False),
+        ('{"a":1e300}', '{"a":1.0000000000000000000000000000001e300}', True),
+        ('{"a":[1e2,-0,0.10]}', '{"a":[100, 0.0, 1e-1]}', False),
+        ('{"a":100}', '{"a":100.0}', False),
+        ('{"a":1E2}', '{"a":100.0}', False),
+        ('{"a":0.001e+5}', '{"a":1e2}', False),
+        ('{"a":-1e2}', '{"a":1e2}', True),
+        ('{"a":1e2}', '{"a":"1e2"}', True),
+        ('{"a":1e2,"b":"x1e2"}', '{"b":"x1e2","a":100}', False),
+        ('{"a":1e2,"b":"x1e2"}', '{"b":"x100","a":100}', True),
+        (f'{{"a":{"9" * 60}}}', f'{{"a":{"9" * 60}.0, "a":{"9" * 60}.00}}', False),
+        (f'{{"a":0.{"0" * 60}1}}', '{"a":1e-61}', False),
+        ('{"a":1e2} x', '{"a":100}', True),
+        ('{"a":01e2}', '{"a":1e2}', True),
+        ('{"a":1e}', '{"a":1}', True),
+        ('{"a":1e99999999999999999999999999999999999999999}', '{"a":1e99999999999999999999999999999999999999999, "a":1e99999999999999999999999999999999999999999}', False),
+        ('{"a":1}] x', '{"a":1}] y', True),
+        ('{"a":1}],[{"id":"2"}', '{"a":1}', True),
+        ('1e1', '10', False),
         ('{"a":1} x', '{"a":1}', True),
         ('{"a":1}{"b":2}', '{"a":1}', True),
     ],

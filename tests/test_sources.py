@@ -45,7 +45,7 @@ def test_page_files(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "body",
-    ['[{"id":1},', "xx", '{"id":', '[{"id":"a"}][{"id":"b"}]', '[{"id":"c"}],{"id":"d"}]', '[{"id":1}] x', "", "\n", None, "[1", '{"a":1}', '[{"a":1}],"x":[{"b":2}]', "[1],[2]"],
+    ['[{"id":1},', "xx", '{"id":', '[{"id":"a"}][{"id":"b"}]', '[{"id":"c"}],{"id":"d"}]', '[{"id":1}] x', "", "\n", None, "[1", '{"a":1}', '[{"a":1}],"x":[{"b":2}]', "[1],[2]", '[{"id":"a"}]],[[{"id":"b"}]', '[{"id":"a"}]] trailing', '[{"id":"a"}]]', '[1],["x"]]'],
 )
 def test_broken_page_fails(spark, body):
     with pytest.raises(Exception, match="MALFORMED"):
@@ -57,6 +57,11 @@ def test_empty_page(spark, body):
     assert pages.page_records(spark.createDataFrame([(1, body)], "page long, body string")).count() == 0
 
 
+def test_a_page_is_parsed_once(spark):
+    got = pages.page_records(spark.createDataFrame([(1, "[1]")], "page long, body string"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_paged_source(spark):
     # Plain functions: they travel to the Python workers.
     def total():

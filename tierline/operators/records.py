@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierline.functions.json import has_keys, missing_keys, record_id
+from tierline.functions.json import findings, has_keys, record_id
 from tierline.functions.stamps import stamp
 from tierline.schemas import REQUIRED_KEYS
 
@@ -23,10 +23,9 @@ def examined(
     What is known of a record once it was parsed: stored next to it, later steps need
     not parse it again.
     """
-    body = F.col(payload)
-    return records.withColumns(
-        {"id_api": record_id(body, id_key), "missing_keys": F.array_join(missing_keys(body, keys), ",")}
-    )
+    found = records.withColumn("_found", findings(F.col(payload), keys, id_key))
+    known = {"id_api": F.col("_found.id"), "missing_keys": F.array_join("_found.missing", ",")}
+    return found.withColumns(known).drop("_found")
 
 
 def accepted(examined: DataFrame) -> DataFrame:

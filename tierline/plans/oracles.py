@@ -262,6 +262,13 @@ select {_SILVER_COLUMNS} from ({_stored(_CUSTOMERS)}) union all select {_SILVER_
 ORACLES |= {
     "silver_broken_repeat": ORACLES["silver_late"],
     "silver_audit": f"select {_SILVER_COLUMNS}, '{_RUN_1}' as run_id from ({_stored(_CUSTOMERS)})",
+    "quarantine_malformed": f"""
+select page, pos, null::varchar as missing_keys, 'malformed' as reason from ({_CUSTOMERS}) where pos % 5 <> 0""",
+    # Totals in cents as exact whole numbers, the second spelling scaled by what it adds.
+    "json_numbers": """
+select o_orderkey, case o_orderkey % 6 when 3 then cents * 10 <> cents * 10 + 1 when 4 then true when 5 then cents <> -cents
+                   else false end as differ
+from (select o_orderkey, round(o_totalprice * 100)::bigint as cents from orders)""",
     "gold_incremental": _gold(f"select * from ({_THIRD}) union all {_SUPPLIERS}"),
     "stream_after_batch": " union all ".join(
         f"select '{layer}' as layer, * from ({_runs('id, address_2, full_address', _stored(_CUSTOMERS), _stored(_SECOND_DELTA), names)})"

@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierline.functions.json import record_id
+from tierline.functions.json import json_distinct, record_id
 from tierline.functions.stamps import run_id_of, stamp
 from tierline.operators import clean, counts, gates, keyed, records
 from tierline.plans import feeds
@@ -111,6 +111,35 @@ def quarantine(spark, sf_dir):
     return refused.select(F.col("id_api").alias("id"), "missing_keys", "reason")
 
 
+@query
+def quarantine_malformed(spark, sf_dir):
+    """Records with text behind their object, some of which would close a list from inside."""
+    behind = F.element_at(F.array(*map(F.lit, ("", "] junk", '],[{"id":"2"}', " junk", ',{"id":"2"}'))), F.col("pos") % 5 + 1)
+    records_ = _feed(spark, sf_dir).withColumn("payload", F.concat("payload", behind))
+    return records.quarantine(records_).select("page", "pos", "missing_keys", "reason")
+
+
+@query
+def json_numbers(spark, sf_dir):
+    """Order totals spelled in two ways, equal or different in a digit far behind."""
+    orders = feeds.table(spark, sf_dir, "orders")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    plain = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    digits = cents.cast("string")
+    spelled = [
+        F.concat(plain, F.lit("0")),
+        F.concat(digits, F.lit("e-2")),
+        F.concat(digits, F.lit("00E-4")),
+        F.concat(digits, F.lit(".1e-2")),
+        F.concat(plain, F.lit("0" * 60 + "1")),
+        F.concat(F.lit("-"), plain),
+    ]
+    other = F.element_at(F.array(*spelled), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    left = F.concat(F.lit('{"key":"1e2","total":'), plain, F.lit("}"))
+    right = F.concat(F.lit('{ "total": '), other, F.lit(', "key": "1e2" }'))
+    return orders.select("o_orderkey", json_distinct(left, right).alias("differ"))
+
+
 @query
 def bronze_rows(spark, sf_dir):
     return records.bronze_rows(_feed(spark, sf_dir), FIRST).withColumn("updated_at", _seconds("updated_at"))

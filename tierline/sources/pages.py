@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tierline.functions.json import MARK, bound, followed_by_mark
 from tierline.schemas import PAGE_SIZE, PAGES_PER_TASK
 
 RECORD_SCHEMA = "page long, pos int, payload string"
@@ -32,16 +33,18 @@ def page_records(pages: DataFrame, body: str = "body") -> DataFrame:
 
     Each payload stays raw JSON. ``[]``, ``{}`` and ``null`` are empty pages. Any other
     body that is not one whole JSON array fails the job: NULL, blank, cut off, or with
-    text after the array. The body is parsed as the one item of a list, since the parser
-    would stop at the end of the first value and overlook the rest.
+    text after the array.
     """
     text = F.coalesce(F.col(body), F.lit(""))
     array = F.when(F.trim(F.translate(text, "\t\r\n", "   ")) == "{}", "[]").otherwise(text)
-    parsed = F.from_json(F.concat(F.lit("["), array, F.lit("]")), "array<array<string>>", {"mode": "FAILFAST"})
-    whole = F.when(F.size(parsed) == 1, parsed[0]).otherwise(
-        F.raise_error(F.concat(F.lit("MALFORMED page "), F.col("page").cast("string"))).cast("array<string>")
-    )
-    return pages.select("page", F.posexplode(whole).alias("pos", "payload"))
+    parsed = F.from_json(followed_by_mark(array, f'["{MARK}"]'), "array<array<string>>", {"mode": "FAILFAST"})
+    malformed = F.raise_error(F.concat(F.lit("MALFORMED page "), F.col("page").cast("string"))).cast("array<string>")
+
+    def whole(items: Column) -> Column:
+        complete = (F.size(items) == 2) & F.get(items, F.lit(1)).eqNullSafe(F.array(F.lit(MARK)))
+        return F.when(complete, F.get(items, F.lit(0))).otherwise(malformed)
+
+    return pages.select("page", F.posexplode(bound(parsed, whole)).alias("pos", "payload"))
 
 
 def read_page_files(spark: SparkSession, path: str, number: str = r"(\d+)\D*$") -> DataFrame:
