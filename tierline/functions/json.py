@@ -18,7 +18,8 @@ MARK = uuid.uuid4().hex
 # digits), outside of strings, in which the same letters mean nothing.
 _INEXACT_NUMBER = r"[0-9][eE][+-]?[0-9]|[0-9.]{38}"
 _STRING = r'"(?:\\.|[^"\\])*+"'
-_NUMBER = r"-?([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?"
+# Only numbers JSON allows, as a whole: what looks like another stays as it is.
+_NUMBER = r"(?<![0-9.eE+-])-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?(?![0-9.eE+-])"
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -91,12 +92,20 @@ def _has_inexact(payload: Column) -> Column:
 def _scientific(number: Column) -> Column:
     """A number token as its digits without outer zeros, and a power of ten: the same text
     for the same number. A power beyond 38 digits keeps the token."""
-    part = [F.regexp_extract(number, f"^{_NUMBER}$", n) for n in (1, 2, 3)]
-    digits = F.regexp_replace(F.concat(part[0], part[1]), "^0+", "")
-    power = F.when(part[2] == "", F.lit("0")).otherwise(part[2]).try_cast("decimal(38,0)") - F.length(part[1])
-    short = F.regexp_replace(digits, "0+$", "")
-    text = F.concat(F.when(F.startswith(number, F.lit("-")), "-").otherwise(""), short, F.lit("e"), (power + F.length(digits) - F.length(short)).cast("string"))
-    return F.when(short == "", F.lit("0")).otherwise(F.coalesce(text, number))
+
+    def read(parts: Column) -> Column:
+        # The token cut at its exponent: the digits after the point lower the power.
+        fraction = F.length(F.substring_index(parts[0], ".", -1)) * F.contains(parts[0], F.lit(".")).cast("int")
+        power = F.coalesce(F.get(parts, F.lit(1)), F.lit("0")).try_cast("decimal(38,0)") - fraction
+        return F.struct(F.ltrim(F.translate(parts[0], "-.", ""), F.lit("0")).alias("digits"), power.alias("power"))
+
+    def written(of: Column) -> Column:
+        return bound(F.rtrim(of["digits"], F.lit("0")), lambda short: F.when(short == "", F.lit("0")).otherwise(F.coalesce(
+            F.concat(F.when(F.startswith(number, F.lit("-")), "-").otherwise(""), short, F.lit("e"), (of["power"] + F.length(of["digits"]) - F.length(short)).cast("string")),
+            number,
+        )))
+
+    return bound(bound(F.split(number, "[eE]"), read), written)
 
 
 def _numbers_as_text(payload: Column) -> Column:
@@ -115,15 +124,14 @@ def json_distinct(left: Column, right: Column) -> Column:
     where a number has an exponent or very many digits.
     """
 
-    def differ(sides: Column) -> Column:
-        exact = [F.when(sides[s].isNotNull(), canonical_json(_numbers_as_text(text))) for s, text in (("l", left), ("r", right))]
-        by_number = F.coalesce(_has_inexact(left), F.lit(False)) | F.coalesce(_has_inexact(right), F.lit(False))
-        return F.when(
-            sides["l"].isNull() | sides["r"].isNull(), F.lit(True)
-        ).when(by_number, ~exact[0].eqNullSafe(exact[1])).otherwise(sides["l"] != sides["r"])
+    by_number = F.coalesce(_has_inexact(left), F.lit(False)) | F.coalesce(_has_inexact(right), F.lit(False))
+
+    def differ(form: Callable[[Column], Column]) -> Column:
+        sides = F.struct(form(left).alias("l"), form(right).alias("r"))
+        return bound(sides, lambda s: F.coalesce(s["l"] != s["r"], F.lit(True)))
 
-    both = F.struct(canonical_json(left).alias("l"), canonical_json(right).alias("r"))
-    return F.when(left.eqNullSafe(right), F.lit(False)).otherwise(bound(both, differ))
+    exact = differ(lambda text: canonical_json(_numbers_as_text(text)))
+    return F.when(left.eqNullSafe(right), F.lit(False)).when(by_number, exact).otherwise(differ(canonical_json))
 
 
 def text_distinct(left: Column, right: Column) -> Column:
