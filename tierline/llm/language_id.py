@@ -4,15 +4,14 @@ A known word is scored by its log frequency in each language. An unseen word fal
 to the longest n-grams of it that are known in any language, from ``MAX_GRAM`` characters
 down to one; the word's end marks count as characters.
 
-Training counts words and n-grams with Spark on a bounded sample: ``train_rows`` rows of a
-language at most, those with the smallest hash of their key. The model keeps at most
-``words_kept`` words a language and ``grams_kept`` n-grams a language and length, so its
-size does not depend on the corpus, and it is sent to the workers.
+Training counts words and n-grams with Spark on a bounded sample: ``train_rows`` different
+rows of a language at most, those with the smallest hash of key and text. Of the sample
+every n-gram is kept, and every word that is there twice; so the model's size depends on the
+sampled rows alone. It is one matrix of scores with a row an item, sent to the workers.
 """
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -33,116 +32,118 @@ BACKOFF = 0.8
 #: long text in two languages does not jump to 1.
 EVIDENCE_WORDS = 30
 
-#: Unseen words whose score a worker remembers.
+#: Words whose score a worker remembers.
 MEMO_WORDS = 200_000
 
+#: Times the sample that is ranked to find it.
+DRAWN = 8
+
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log frequencies by language (in the order of ``languages``); n-grams by length."""
+    """Rows of ``scores`` by word and by n-gram: log frequencies in each language (in the
+    order of ``languages``), less their mean."""
 
     languages: tuple[str, ...]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[str, tuple[float, ...]]
+    words: dict[str, int]
+    grams: dict[str, int]
+    scores: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32), compare=False)
 
 
-def _log_frequencies(counts: dict[str, dict[str, int]], totals: dict[str, float], languages: tuple[str, ...]) -> dict[str, tuple[float, ...]]:
-    """Smoothed log frequency in each language, less the mean over the languages."""
-    out = {}
-    for item, by_language in counts.items():
-        logs = [math.log((by_language.get(x, 0) + 0.1) / (totals[x] + 1.0)) for x in languages]
-        mean = sum(logs) / len(logs)
-        out[item] = tuple(x - mean for x in logs)
-    return out
+def _sample(labelled: DataFrame, key: str, text: str, lang: str, train_rows: int) -> DataFrame:
+    """``lang`` and ``text`` of at most ``train_rows`` different rows a language."""
+    usable = labelled.where(labelled[lang].isNotNull() & labelled[text].isNotNull())
+    # A number from 0 to 1 for each different row. Those of a language below a limit that
+    # leaves some times the sample are ranked, so that no language's rows all meet in one
+    # task; a language with few different rows has a limit above 1.
+    whole = usable.select(usable[lang].cast("string").alias("lang"), usable[text].cast("string").alias("text"), usable[key].alias("key"))
+    whole = whole.select("lang", "text", F.shiftrightunsigned(F.xxhash64("key", "text"), 1).alias("drawn"))
+    part = F.col("drawn") / float(1 << 63)
+    limits = whole.groupBy("lang").agg((DRAWN * train_rows / F.approx_count_distinct("drawn")).alias("limit"))
+    near = whole.select("lang", "drawn").join(small_side(stage(limits, "limits")), "lang").where(part < F.col("limit"))
+    first = Window.partitionBy("lang").orderBy("drawn")
+    chosen = near.select("lang", "drawn").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= train_rows)
+    # At most train_rows a language are chosen: that is the bound of this broadcast.
+    return whole.join(F.broadcast(chosen.select("lang", "drawn")), ["lang", "drawn"], "left_semi").dropDuplicates(["lang", "drawn"]).select("lang", "text")
 
 
-def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = 1000, words_kept: int = 20_000, grams_kept: int = 5_000) -> Model:
+def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_rows: int = 1000) -> Model:
     """Fit on a bounded sample of the rows with a language and a text.
 
-    Repeated rows count as often as they are there; a language needs one word at least.
+    Rows of the same key and text are one row; a null key is a key. Every language that has
+    a row is in the sample; one whose sampled texts have no letter is not learned.
     """
-    usable = labelled.where(labelled[lang].isNotNull() & labelled[text].isNotNull())
-    # A number from 0 to 1 for each row; those of a language below a limit that leaves four
-    # times the sample are ranked, so that no language's rows all meet in one task.
-    order = F.pmod(F.xxhash64(usable[key]), F.lit(1 << 40)) / (1 << 40)
-    drawn = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), order.alias("order"))
-    limits = drawn.groupBy("lang").agg((4 * train_rows / F.count(F.lit(1))).alias("limit"))
-    first = Window.partitionBy("lang").orderBy("order", "key")
-    ranked = drawn.join(small_side(stage(limits, "limits")), "lang").where(F.col("order") < F.col("limit"))
-    chosen = ranked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= train_rows)
-    # At most train_rows a language are chosen: that is the bound of this broadcast.
-    sample = usable.select(usable[key].alias("key"), usable[lang].cast("string").alias("lang"), usable[text].cast("string").alias("text")).join(
-        F.broadcast(chosen.select("key", "lang").distinct()), ["key", "lang"], "left_semi"
-    )
+    sample = stage(_sample(labelled, key, text, lang, train_rows), "sample")
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}[\p{L}\p{M}]*"), F.lit(0))).alias("item"))
         .groupBy("lang", "item")
         .agg(F.count(F.lit(1)).alias("n"))
-        .persist()
     )
+    pieces = F.flatten(F.filter(F.array(*map(_pieces, range(1, MAX_GRAM + 1))), lambda p: p.isNotNull()))
+    grams = words.select("lang", F.explode(pieces).alias("item"), "n")
+    grams = grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    return _scored(_counted(words), _counted(grams))
+
+
+def _pieces(length: int) -> Column:
+    """The n-grams of this length of a marked word; null if it is shorter. An end mark alone
+    says nothing: the shortest n-grams are letters."""
     marked = F.concat(F.lit("<"), F.col("item"), F.lit(">"))
-    grams = []
-    for length in range(1, MAX_GRAM + 1):
-        # An end mark alone says nothing: the shortest n-grams are letters.
-        skip = 1 if length == 1 else 0
-        places = F.sequence(F.lit(1 + skip), F.length("item") + 3 - length - skip)
-        pieces = F.transform(places, lambda i, length=length: F.substring(marked, i, F.lit(length)))
-        grams.append(words.where(F.length("item") + 2 >= length).select("lang", F.lit(length).alias("length"), F.explode(pieces).alias("item"), "n"))
-    counted = grams[0]
-    for more in grams[1:]:
-        counted = counted.unionByName(more)
-    counted = counted.groupBy("lang", "length", "item").agg(F.sum("n").alias("n"))
-
-    every = words.select("lang", F.lit(0).alias("length"), "item", "n").unionByName(counted)
-    most = Window.partitionBy("lang", "length").orderBy(F.desc("n"), "item")
-    kept = (
-        every.withColumn("place", F.row_number().over(most))
-        .where(F.col("place") <= F.when(F.col("length") == 0, words_kept).otherwise(grams_kept))
+    skip = 1 if length == 1 else 0
+    places = F.sequence(F.lit(1 + skip), F.length("item") + 3 - length - skip)
+    return F.when(F.length("item") + 2 >= length, F.transform(places, lambda i: F.substring(marked, i, F.lit(length))))
+
+
+def _counted(items: DataFrame) -> pd.DataFrame:
+    """The counts of a sample's items, as Arrow columns: their number is bounded by the
+    sample's."""
+    return items.select("lang", "item", "n").toArrow().to_pandas()
+
+
+def _scored(words: pd.DataFrame, grams: pd.DataFrame) -> Model:
+    """Smoothed log frequencies among all words, and among the n-grams of the same length."""
+    languages = tuple(sorted(set(words["lang"])))
+    tables, indices, start = [np.zeros((0, len(languages)), dtype=np.float32)], ({}, {}), 0
+    groups = [(indices[0], words), *((indices[1], found) for _, found in grams.groupby(grams["item"].str.len()))]
+    for index, found in groups if languages else ():
+        items = sorted(set(found["item"]))
+        place = {item: i for i, item in enumerate(items)}
+        counts = np.zeros((len(items), len(languages)))
+        counts[found["item"].map(place), found["lang"].map(languages.index)] = found["n"]
+        logs = np.log((counts + 0.1) / (counts.sum(axis=0) + 1.0))
         # A word met only once is better judged by its n-grams.
-        .where((F.col("length") > 0) | (F.col("n") > 1))
-    )
-    sums = {(r["lang"], r["length"]): r["n"] for r in every.groupBy("lang", "length").agg(F.sum("n").alias("n")).collect()}
-    tables: list[dict[str, dict[str, int]]] = [{} for _ in range(MAX_GRAM + 1)]
-    for r in kept.select("lang", "length", "item", "n").collect():
-        tables[r["length"]].setdefault(r["item"], {})[r["lang"]] = r["n"]
-    words.unpersist()
-    languages = tuple(sorted({x for x, _ in sums}))
-    if not languages:
-        return Model((), {}, {})
-    scored = [_log_frequencies(t, {x: sums.get((x, n), 0) for x in languages}, languages) for n, t in enumerate(tables)]
-    return Model(languages, scored[0], {k: v for t in scored[1:] for k, v in t.items()})
+        kept = counts.sum(axis=1) > 1 if index is indices[0] else np.ones(len(items), dtype=bool)
+        index.update(zip([item for item, k in zip(items, kept.tolist()) if k], range(start, start + int(kept.sum()))))
+        tables.append((logs - logs.mean(axis=1, keepdims=True))[kept].astype(np.float32))
+        start += len(tables[-1])
+    return Model(languages, *indices, np.concatenate(tables))
 
 
 class _Words(dict):
-    """Row numbers of words in a matrix of scores; unseen words are added as they come."""
+    """Row numbers of the words met so far in a matrix of scores."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.rows = np.zeros((len(model.words) + MEMO_WORDS, len(model.languages)), dtype=np.float32)
-        self.known = np.ones(len(self.rows), dtype=bool)
-        self.restart()
-
-    def restart(self) -> None:
-        self.clear()
-        self.update(zip(self.model.words, range(len(self.model.words))))
-        if self.model.words:
-            self.rows[: len(self)] = list(self.model.words.values())
+        self.rows = np.zeros((MEMO_WORDS, len(model.languages)), dtype=np.float32)
+        self.known = np.ones(MEMO_WORDS, dtype=bool)
 
     def __missing__(self, word: str) -> int:
-        grams, marked = self.model.grams, f"<{word}>"
-        score = None
-        for length in range(min(MAX_GRAM, len(marked)), 0, -1):
-            known = [grams[g] for i in range(len(marked) + 1 - length) if (g := marked[i : i + length]) in grams]
-            if known:
-                weight = BACKOFF ** (MAX_GRAM - length) / len(known)
-                score = [weight * sum(x) for x in zip(*known)]
-                break
+        model = self.model
         self[word] = at = len(self)
-        self.rows[at] = 0 if score is None else score
-        self.known[at] = score is not None
+        row = model.words.get(word)
+        self.known[at] = row is not None
+        self.rows[at] = 0 if row is None else model.scores[row]
+        if row is None:
+            marked = f"<{word}>"
+            for length in range(min(MAX_GRAM, len(marked)), 0, -1):
+                known = [g for i in range(len(marked) + 1 - length) if (g := model.grams.get(marked[i : i + length])) is not None]
+                if known:
+                    self.rows[at] = BACKOFF ** (MAX_GRAM - length) * model.scores[known].mean(axis=0)
+                    self.known[at] = True
+                    break
         return at
 
 
@@ -152,12 +153,12 @@ def _judge(text: str | None, words: _Words) -> tuple[str, float, float]:
     if not found or not languages:
         return UNKNOWN, 0.0, 0.0
     if len(words) + len(found) > len(words.rows):
-        words.restart()
+        words.clear()
     total, known = np.zeros(len(languages)), 0
     # Pieces as large as the memo has room for, so that texts of any length are whole.
     for at in range(0, len(found), MEMO_WORDS):
         if at:
-            words.restart()
+            words.clear()
         part = found[at : at + MEMO_WORDS]
         rows = np.fromiter(map(words.__getitem__, part), dtype=np.int64, count=len(part))
         total += words.rows[rows].sum(axis=0, dtype=np.float64)
