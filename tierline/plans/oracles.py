@@ -269,6 +269,11 @@ select page, pos, null::varchar as missing_keys, 'malformed' as reason from ({_C
 select o_orderkey, case o_orderkey % 6 when 3 then cents * 10 <> cents * 10 + 1 when 4 then true when 5 then cents <> -cents
                    else false end as differ
 from (select o_orderkey, round(o_totalprice * 100)::bigint as cents from orders)""",
+    "stream_pages": f"select page, pos, id, name, city, phone from ({_CUSTOMERS})",
+    "stream_reconcile": """
+select batch, n_read, n_read as n_written, 'proceed' as status, n as n_stored
+from (select count(*) as n from customer), lateral (values (0, n // 2), (1, n - n // 2)) b(batch, n_read)""",
+    "sink_commit": f"select {_SILVER_COLUMNS}, '{_RUN_1}' as run_id from ({_stored(_CUSTOMERS)})",
     "gold_incremental": _gold(f"select * from ({_THIRD}) union all {_SUPPLIERS}"),
     "stream_after_batch": " union all ".join(
         f"select '{layer}' as layer, * from ({_runs('id, address_2, full_address', _stored(_CUSTOMERS), _stored(_SECOND_DELTA), names)})"

@@ -18,7 +18,8 @@ from tierline.session import new_folder, prepare, ship_package, stage
 from tierline.sources import lake, pages
 from tierline.sources.bronze import BronzeStore
 from tierline.sources.jdbc import append_sink
-from tierline.streaming.handover import stream_silver
+from tierline.sources.sink import LakeRunSink
+from tierline.streaming.handover import stream_bronze, stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,6 +197,85 @@ def page_source(spark, sf_dir):
     return fetched.select("page", "pos", *(_json_field(f) for f in ("id", "name", "city", "phone")))
 
 
+def _growing_feed(spark, sf_dir, name: str):
+    """A stream over the customers' pages, and a function that lets so many of them be
+    there; the totals and pages are read from the shared folder."""
+    folder, feed = new_folder(spark, name), _feed(spark, sf_dir)
+    feed.repartition("page").write.mode("overwrite").parquet(f"{folder}/pages")
+
+    def opened(path: str):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+
+    def fetch_total() -> str:
+        files, path = opened(f"{folder}/total")
+        return files.open_input_stream(path).read().decode()
+
+    def fetch_page(number: int, per_page: int) -> list:
+        from pyarrow import dataset
+
+        files, path = opened(f"{folder}/pages")
+        found = dataset.dataset(path, filesystem=files, format="parquet").to_table(filter=dataset.field("page") == number)
+        return [json.loads(r["payload"]) for r in sorted(found.to_pylist(), key=lambda r: r["pos"])]
+
+    ship_package(spark)
+    source = f"{name}_{uuid.uuid4().hex}"
+    spark.dataSource.register(pages.paged_source(fetch_total, fetch_page, source))
+    stream = spark.readStream.format(source).option("pagesPerTask", 2).load()
+    n_records = spark.read.schema(feed.schema).parquet(f"{folder}/pages").count()
+    return stream, n_records, lambda total: lake.write_note(spark, f"{folder}/total", str(total))
+
+
+@query
+def stream_pages(spark, sf_dir):
+    """Half of the records, the rest, nothing new: each a start of the stream from its
+    checkpoint; the page in the middle is read twice, its records once."""
+    stream, n_records, arrive = _growing_feed(spark, sf_dir, "stream_pages")
+    target, checkpoint = new_folder(spark, "streamed"), new_folder(spark, "checkpoint")
+    for total in (n_records // 2, n_records, n_records):
+        arrive(total)
+        writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    streamed = spark.read.schema(stream.schema).parquet(target)
+    return streamed.select("page", "pos", *(_json_field(f) for f in ("id", "name", "city", "phone")))
+
+
+@query
+def stream_reconcile(spark, sf_dir):
+    """Two arrivals streamed into bronze: rows read and landed, a row per micro-batch."""
+    stream, n_records, arrive = _growing_feed(spark, sf_dir, "stream_reconcile")
+    layers, checkpoint = Layers.under(new_folder(spark, "stream_bronze")), new_folder(spark, "checkpoint")
+    runs = [(FIRST_RUN, FIRST), (SECOND_RUN, SECOND)]
+    counts = []
+    for total in (n_records // 2, n_records):
+        arrive(total)
+        counts += stream_bronze(spark, layers, stream, checkpoint, lambda n: runs[n][0], lambda run: dict(runs)[run])
+    rows = spark.createDataFrame([(c.batch, c.read, c.written, c.status) for c in counts], "batch int, n_read long, n_written long, status string")
+    stored = BronzeStore(spark, layers.bronze).state().agg(F.count(F.lit(1))).scalar()
+    return rows.withColumn("n_stored", stored)
+
+
+@query
+def sink_commit(spark, sf_dir):
+    """Silver rows through the committing sink; a run that fails in a task leaves nothing."""
+    ship_package(spark)
+    spark.dataSource.register(LakeRunSink)
+    base = new_folder(spark, "sink_commit")
+    silver = _silver(spark, sf_dir)
+
+    def save(rows: DataFrame, run_id: str) -> None:
+        rows.write.format("lake_run").options(path=base, runId=run_id, partitionBy=",".join(LOCATION_COLUMNS)).mode("append").save()
+
+    save(silver, FIRST_RUN)
+    try:
+        save(silver.withColumn("name", F.when(F.col("id") != "c7", F.col("name")).otherwise(F.raise_error(F.lit("lost")))), SECOND_RUN)
+    except Exception as error:  # noqa: BLE001
+        if "lost" not in str(error):
+            raise
+    return lake.read_runs(spark, base, SILVER).drop("ingested_at")
+
+
 # --- keyed rows and upserts
 
 

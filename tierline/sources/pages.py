@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tierline.functions.json import MARK, bound, followed_by_mark
 from tierline.schemas import PAGE_SIZE, PAGES_PER_TASK
@@ -89,14 +89,71 @@ class PagedReader(DataSourceReader):
         # One Arrow batch per page: memory holds one page, whatever the range.
         for page in range(partition.first, partition.last + 1):
             items = self.fetch_page(page, self.per_page) or []
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([page] * len(items), pa.int64()),
-                    pa.array(range(len(items)), pa.int32()),
-                    pa.array([json.dumps(item) for item in items], pa.string()),
-                ],
-                names=["page", "pos", "payload"],
-            )
+            yield _page_batch(page, 0, items)
+
+
+def _page_batch(page: int, first: int, items: list) -> pa.RecordBatch:
+    """Some items of a page, from the position ``first`` on."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([page] * len(items), pa.int64()),
+            pa.array(range(first, first + len(items)), pa.int32()),
+            pa.array([json.dumps(item) for item in items], pa.string()),
+        ],
+        names=["page", "pos", "payload"],
+    )
+
+
+class RecordRange(InputPartition):
+    """Pages of a task, and the records of them that a micro-batch reads."""
+
+    def __init__(self, first: int, last: int, start: int, end: int):
+        self.first = first
+        self.last = last
+        self.start = start
+        self.end = end
+
+
+class PagedStreamReader(DataSourceStreamReader):
+    """A feed that grows at its end, as a stream: an offset is a number of records.
+
+    A micro-batch reads the records between two totals, so the last page, read when it was
+    half full, is read again for the rest of it only. A page that has fewer records than
+    the total promised fails the batch, and so does a total that has become smaller: the
+    offset would pass over what is not there.
+    """
+
+    def __init__(self, fetch_total, fetch_page, per_page: int, pages_per_task: int, max_fetches: int | None = None):
+        self.fetch_total = fetch_total
+        self.fetch_page = fetch_page
+        self.per_page = per_page
+        self.pages_per_task = pages_per_task
+        self.max_fetches = max_fetches
+
+    def initialOffset(self) -> dict:
+        return {"records": 0}
+
+    def latestOffset(self) -> dict:
+        return {"records": int(self.fetch_total())}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        lo, hi = start["records"], end["records"]
+        if hi < lo:
+            raise ValueError(f"the feed has {hi} records, {lo} were read")
+        before, last = lo // self.per_page, page_count(hi, self.per_page)
+        size = self.pages_per_task
+        if self.max_fetches:
+            size = max(size, page_count(last - before, self.max_fetches))
+        return [RecordRange(at + 1, min(at + size, last), lo, hi) for at in range(before, last, size) if lo < hi]
+
+    def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
+        for page in range(partition.first, partition.last + 1):
+            start = (page - 1) * self.per_page
+            lo, hi = max(partition.start - start, 0), min(partition.end - start, self.per_page)
+            items = self.fetch_page(page, self.per_page) or []
+            if len(items) < hi:
+                raise ValueError(f"page {page} has {len(items)} records of {hi}")
+            yield _page_batch(page, lo, items[lo:hi])
 
 
 def paged_source(
@@ -109,6 +166,9 @@ def paged_source(
     ``fetch_total()`` runs once per scan and returns the record total;
     ``fetch_page(page, per_page)`` runs in the tasks and returns a list of objects.
     Options: ``perPage``, ``pagesPerTask`` and ``maxFetches`` (none by default).
+
+    ``spark.readStream`` reads the same feed as a stream, if records are only added at its
+    end: every record once, across restarts from the checkpoint (:class:`PagedStreamReader`).
     """
 
     class PagedSource(DataSource):
@@ -119,8 +179,8 @@ def paged_source(
         def schema(self) -> str:
             return RECORD_SCHEMA
 
-        def reader(self, schema) -> DataSourceReader:
-            return PagedReader(
+        def _settings(self) -> tuple:
+            return (
                 fetch_total,
                 fetch_page,
                 int(self.options.get("perPage", PAGE_SIZE)),
@@ -128,4 +188,10 @@ def paged_source(
                 int(self.options.get("maxFetches", 0)) or None,
             )
 
+        def reader(self, schema) -> DataSourceReader:
+            return PagedReader(*self._settings())
+
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return PagedStreamReader(*self._settings())
+
     return PagedSource

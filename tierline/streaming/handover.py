@@ -8,15 +8,16 @@ which is the gate's "skip".
 """
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.plans.stages import Audit, SilverPast, write_silver
+from tierline.plans.stages import Audit, Layers, SilverPast, bronze_stage, write_silver
 from tierline.schemas import SILVER
 from tierline.sources import lake
 from tierline.sources.bronze import BronzeStore
+from tierline.streaming.reconcile import BatchCount, reconciled_stream
 
 
 def _free_name(run_id: str, taken: set[str]) -> str:
@@ -84,3 +85,36 @@ def stream_silver(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _batch_run(batch: int) -> str:
+    return f"{batch:012d}"
+
+
+def _now(_run_id: str) -> datetime:
+    return datetime.now(timezone.utc)
+
+
+def stream_bronze(
+    spark: SparkSession,
+    layers: Layers,
+    fetched: DataFrame,
+    checkpoint: str,
+    run_of: Callable[[int], str] = _batch_run,
+    clock: Callable[[str], datetime] = _now,
+    **bronze_options,
+) -> list[BatchCount]:
+    """Merge a stream of fetched records ``(page, pos, payload)`` into the bronze store until
+    what is there has been read: a bronze run per micro-batch, its fetched rows reconciled
+    with those that landed.
+
+    A micro-batch that is tried again is the same run again. ``run_of`` names the run of a
+    batch number; names must grow, also over those of other runs in the store.
+    """
+
+    def write(batch: DataFrame, number: int) -> int:
+        run_id = run_of(number)
+        bronze_stage(spark, layers, batch, run_id, clock(run_id), **bronze_options)
+        return spark.read.parquet(lake.run_path(layers.landing, run_id)).count()
+
+    return reconciled_stream(spark, fetched, write, checkpoint)
