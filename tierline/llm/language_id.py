@@ -36,7 +36,7 @@ EVIDENCE_WORDS = 30
 MEMO_WORDS = 200_000
 
 #: Times the sample that is ranked to find it.
-DRAWN = 8
+DRAWN = 2
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -130,21 +130,29 @@ class _Words(dict):
         self.rows = np.zeros((MEMO_WORDS, len(model.languages)), dtype=np.float32)
         self.known = np.ones(MEMO_WORDS, dtype=bool)
 
-    def __missing__(self, word: str) -> int:
+    def learn(self, words: list[str]) -> None:
+        """Add words not met yet: known ones as they are, others by their n-grams."""
         model = self.model
-        self[word] = at = len(self)
-        row = model.words.get(word)
-        self.known[at] = row is not None
-        self.rows[at] = 0 if row is None else model.scores[row]
-        if row is None:
-            marked = f"<{word}>"
-            for length in range(min(MAX_GRAM, len(marked)), 0, -1):
-                known = [g for i in range(len(marked) + 1 - length) if (g := model.grams.get(marked[i : i + length])) is not None]
-                if known:
-                    self.rows[at] = BACKOFF ** (MAX_GRAM - length) * model.scores[known].mean(axis=0)
-                    self.known[at] = True
-                    break
-        return at
+        rows, sizes, weights = [], [], []
+        for word in words:
+            row, weight = model.words.get(word), 1.0
+            found = [] if row is None else [row]
+            if row is None:
+                marked = f"<{word}>"
+                for length in range(min(MAX_GRAM, len(marked)), 0, -1):
+                    found = [g for i in range(len(marked) + 1 - length) if (g := model.grams.get(marked[i : i + length])) is not None]
+                    if found:
+                        weight = BACKOFF ** (MAX_GRAM - length) / len(found)
+                        break
+            # A word of no known n-gram gets some row with weight 0.
+            rows += found or [0]
+            sizes.append(len(found) or 1)
+            weights.append(weight if found else 0.0)
+        at, end = len(self), len(self) + len(words)
+        starts = np.cumsum([0, *sizes[:-1]])
+        self.rows[at:end] = np.add.reduceat(model.scores[rows], starts, axis=0) * np.array(weights)[:, None]
+        self.known[at:end] = np.array(weights) > 0
+        self.update(zip(words, range(at, end)))
 
 
 def _judge(text: str | None, words: _Words) -> tuple[str, float, float]:
@@ -160,6 +168,9 @@ def _judge(text: str | None, words: _Words) -> tuple[str, float, float]:
         if at:
             words.clear()
         part = found[at : at + MEMO_WORDS]
+        new = [w for w in dict.fromkeys(part) if w not in words]
+        if new:
+            words.learn(new)
         rows = np.fromiter(map(words.__getitem__, part), dtype=np.int64, count=len(part))
         total += words.rows[rows].sum(axis=0, dtype=np.float64)
         known += int(words.known[rows].sum())
