@@ -126,3 +126,34 @@ def test_components(spark):
         above[max(root(a), root(b))] = min(root(a), root(b))
     out = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {n: root(n) for n in above if root(n) != n}
+
+
+@pytest.fixture
+def blind(monkeypatch):
+    """A sketch whose counts have all cancelled out: every shingle is held for rare."""
+    monkeypatch.setattr(jaccard_join, "frequency_classes", lambda sketch: np.zeros(len(sketch), dtype=np.int8))
+    monkeypatch.setattr(jaccard_join, "FEW_ROWS", 20)
+
+
+def test_a_frequent_shingle_held_for_rare_meets_in_no_task(spark, monkeypatch, blind):
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    passage = rng.choices(vocabulary, k=40)
+    docs = [(i, " ".join(passage + rng.choices(vocabulary, k=rng.choice([2, 5, 9, 60])))) for i in range(700)]
+    docs += [(2000 + i, "k2467") for i in range(300)] + [(3000 + i, "k2238") for i in range(300)]
+    docs += [(4000 + i, " ".join(rng.choices(vocabulary, k=30))) for i in range(300)]
+    together = []
+    hot = jaccard_join._Join.hot_cells
+    monkeypatch.setattr(jaccard_join._Join, "hot_cells", lambda self: together.append((self.profiles, hot(self))) or together[-1][1])
+    rows = linked(spark.createDataFrame(docs, "doc_id long, text string").repartition(8)).collect()
+    assert _result(rows) == brute(docs)
+    profiles, (cells, found) = together[0]
+    assert 0 < len(found) <= jaccard_join.PART_SHARE * 8
+    rare = [(t % cells, t) for r in profiles.select("rare").collect() for t in r["rare"]]
+    left = {}
+    for cell, token in rare:
+        if cell not in found:
+            left[token] = left.get(token, 0) + 1
+    assert max(left.values()) <= max(len(rare) // (jaccard_join.PART_SHARE * 8), 20)
+    # Equal texts of a task have one row a shingle.
+    assert profiles.where("n = 1 and size(rare) > 0").count() <= 2 * 8

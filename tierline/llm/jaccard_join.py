@@ -11,7 +11,8 @@ are ordered by their frequency class (a count sketch over all documents, of fixe
 then by hash; two documents that are similar enough share one of their first
 n - ceil(t n) + 1. Frequent shingles come last, so a passage that many documents have
 makes a group only of those that consist of little else. Each group is a forest of trees
-over blocks of it.
+over blocks of it. The sketch only decides where a shingle's documents are brought together:
+rare ones in one task, which a second count bounds, frequent ones block by block.
 
 Similar documents are not paired one by one: of the pairs that a tree leaves, those that
 connect its documents are verified first, on the exact shingles; the others only where
@@ -47,6 +48,10 @@ PLACE_BITS = 24
 #: Documents of a tree, and children of a node.
 BLOCK, FAN = 512, 8
 
+#: Cells per shuffle partition that shingles held for rare are counted in, the part of a
+#: partition's rows that one of them may have, and rows that are always few.
+CELLS_A_PART, PART_SHARE, FEW_ROWS = 64, 4, 1024
+
 #: Pairs that a block may leave per document before only the connecting ones are kept.
 DENSE = 8
 
@@ -69,10 +74,10 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
             out.append(np.unique(full[a : b - SHINGLE + 1]))
         elif b > a:
             # The whole of a short text; its length keeps it apart from longer ones.
-            h = np.uint64(b - a)
+            h = np.full(1, b - a, dtype=np.uint64)
             for w in words[a:b]:
                 h = h * MIXES[1] + w
-            out.append(mixed(np.array([h], dtype=np.uint64) * FACTOR, MIXES[0]))
+            out.append(mixed(h * FACTOR, MIXES[0]))
         else:
             out.append(np.empty(0, dtype=np.uint64))
     return out
@@ -368,14 +373,20 @@ def _shared_groups(percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[
         return pd.DataFrame({"ids": _lists(found.values())})
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = [np.empty(0, dtype=np.int64)] * 3
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            rows = [np.concatenate([r, batch[c].to_numpy()]) for r, c in zip(rest, ("token", "id", "at"))]
+            if not len(batch):
+                continue
+            held.append([batch[c].to_numpy() for c in ("token", "id", "at")])
             # The last token may go on in the next batch.
-            cut = np.searchsorted(rows[0], rows[0][-1]) if len(rows[0]) else 0
+            if held[0][0][0] == held[-1][0][-1]:
+                continue
+            rows = [np.concatenate(c) for c in zip(*held)]
+            cut = np.searchsorted(rows[0], rows[0][-1])
             yield groups(*(r[:cut] for r in rows))
-            rest = [r[cut:] for r in rows]
-        yield groups(*rest)
+            held = [[r[cut:] for r in rows]]
+        if held:
+            yield groups(*(np.concatenate(c) for c in zip(*held)))
 
     return shared
 
@@ -399,15 +410,34 @@ class _Join:
         ready = ready.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
         return ready.mapInPandas(_join_blocks(self.percent, complete, DENSE), "a long, b long, use int")
 
+    def hot_cells(self) -> tuple[int, list[int]]:
+        """The sketch may hold a frequent shingle for rare, since counts of two can cancel
+        out. So the shingles it holds for rare are counted again by cell, never too low:
+        the number of cells, and those with more rows than a task should have of one
+        shingle. They are a few a shuffle partition at most."""
+        parts = int(self.profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cells = CELLS_A_PART * parts
+        counted = self.profiles.select(F.explode("rare").alias("token")).groupBy(F.pmod("token", F.lit(cells)).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+        counted = stage(counted, "cells")
+        rows = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        most = max(rows // (PART_SHARE * parts), FEW_ROWS)
+        return cells, [r["cell"] for r in counted.where(F.col("n") > most).select("cell").collect()]
+
     def groups(self) -> DataFrame:
         """``group, id, many``: documents that share one of their first shingles."""
+        cells, hot = self.hot_cells()
         rare = self.profiles.select(F.posexplode("rare").alias("place", "token"), F.col("text_id").alias("id"), "n")
+        frequent = self.profiles.select(F.explode("frequent").alias("group"), F.col("text_id").alias("id"))
+        if hot:
+            is_hot = F.pmod("token", F.lit(cells)).isin(hot)
+            frequent = frequent.unionByName(rare.where(is_hot).select(F.col("token").alias("group"), "id"))
+            rare = rare.where(~is_hot)
         rare = rare.select("token", "id", F.shiftleft("n", PLACE_BITS).bitwiseOR(F.col("place").cast("long")).alias("at"))
         shared = rare.repartition("token").sortWithinPartitions("token").mapInPandas(_shared_groups(self.percent), "ids array<bigint>")
         small = shared.groupBy(F.xxhash64("ids").alias("group")).agg(F.first("ids").alias("ids"))
         small = small.select("group", F.explode("ids").alias("id"), F.size("ids").cast("long").alias("many"))
         # Frequent shingles: first one row a document set, combined before the shuffle.
-        frequent = stage(self.profiles.select(F.explode("frequent").alias("group"), F.col("text_id").alias("id")).distinct(), "frequent")
+        frequent = stage(frequent.distinct(), "frequent")
         counts = stage(frequent.groupBy("group").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "counts")
         large = frequent.join(small_side(counts), "group")
         return stage(small.unionByName(large.select("group", "id", "many")), "groups")
@@ -524,7 +554,8 @@ def _digest(shingles: np.ndarray) -> int:
 
 def _grouped(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """A row ``doc, version`` (a hash of the text)``, n, text_id`` per input row, and
-    ``text_id, root`` of the texts that have shingles."""
+    ``text_id, root`` of the texts that another one stands for. These are far fewer than the
+    documents; joined as a small side, they leave a large group's rows where they are."""
     spark = df.sparkSession
     python_tasks(spark)
     docs = df.select(df[key].alias("doc"), df[text].cast("string").alias("text"))
@@ -532,14 +563,21 @@ def _grouped(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFram
     kind = df.schema[key].dataType.simpleString()
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Equal sets of a task are grouped by the first of them.
+        seen: set[int] = set()
+        none = np.empty(0, dtype=np.uint64)
         for batch in batches:
             found = shingle_sets(list(batch["text"]))
-            firsts = [_first_ones(s, classes.value, percent) for s in found]
+            digests = [_digest(s) for s in found]
+            firsts = []
+            for s, digest in zip(found, digests):
+                firsts.append((none, none) if digest in seen else _first_ones(s, classes.value, percent))
+                seen.add(digest)
             yield pd.DataFrame(
                 {
                     "doc": batch["doc"],
                     "version": batch["version"],
-                    "text_id": [_digest(s) for s in found],
+                    "text_id": digests,
                     "n": [len(s) for s in found],
                     "rare": _lists(f.view(np.int64) for f, _ in firsts),
                     "frequent": _lists(f.view(np.int64) for _, f in firsts),
@@ -550,9 +588,8 @@ def _grouped(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFram
     made = docs.withColumn("version", F.xxhash64("text")).mapInPandas(profile, f"doc {kind}, version long, text_id long, n long, rare array<bigint>, frequent array<bigint>, bits binary")
     profiles = stage(made, "profiles")
     parts = components(_Join(docs, profiles, percent).links()).withColumnRenamed("node", "text_id")
-    texts = profiles.where("n > 0").select("text_id").distinct()
-    roots = texts.join(parts, "text_id", "left").withColumn("root", F.coalesce("root", "text_id"))
-    return profiles.select("doc", "version", "n", F.when(F.col("n") > 0, F.col("text_id")).alias("text_id")), stage(roots, "roots")
+    rows = profiles.select("doc", "version", "n", F.when(F.col("n") > 0, F.col("text_id")).alias("text_id"))
+    return rows, small_side(stage(parts, "roots"))
 
 
 def linked(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -567,11 +604,13 @@ def linked(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
     never the smallest unless there is no other. Other columns are left out.
     """
     rows, roots = _grouped(df, percent, key, text)
-    first = rows.where("n > 0").groupBy("text_id").agg(F.min("doc").alias("doc")).join(roots, "text_id")
-    named = first.join(first.groupBy("root").agg(F.min("doc").alias("component_id")), "root").select("text_id", "component_id")
-    return rows.join(named, "text_id", "left").select(
-        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id")
-    )
+    first = rows.where("n > 0").groupBy("text_id").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("times"))
+    first = stage(first.join(roots, "text_id", "left").withColumn("root", F.coalesce("root", "text_id")), "first")
+    # Only groups of several rows have anything to be told.
+    whole = first.groupBy("root").agg(F.min("doc").alias("component_id"), F.sum("times").alias("times")).where("times > 1")
+    whole = small_side(stage(whole.drop("times"), "whole"))
+    named = small_side(stage(first.join(whole, "root").select("text_id", "component_id"), "named"))
+    return rows.join(named, "text_id", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
 
 
 def first_of_groups(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -581,10 +620,11 @@ def first_of_groups(df: DataFrame, percent: int = PERCENT, key: str = "doc_id",
     Rows without shingles all stay.
     """
     rows, roots = _grouped(df, percent, key, text)
-    rows = rows.where("n > 0").groupBy("text_id", "doc", "version").agg(F.count(F.lit(1)).alias("times")).join(roots, "text_id")
+    rows = rows.where("n > 0").groupBy("text_id", "doc", "version").agg(F.count(F.lit(1)).alias("times"))
+    rows = stage(rows.join(roots, "text_id", "left").withColumn("root", F.coalesce("root", "text_id")), "rooted")
     order = F.struct(F.col("doc").isNull().alias("last"), "doc", "version")
-    chosen = rows.groupBy("root").agg(F.min(order).alias("chosen"))
-    judged = rows.join(chosen, "root").withColumn("stays", order == F.col("chosen"))
+    chosen = rows.groupBy("root").agg(F.min(order).alias("chosen"), F.sum("times").alias("all_times")).where("all_times > 1")
+    judged = rows.join(small_side(stage(chosen.drop("all_times"), "chosen")), "root").withColumn("stays", order == F.col("chosen"))
     gone = small_side(stage(judged.where("not stays").select(F.col("doc").alias("gone_doc"), F.col("version").alias("gone_version")), "gone"))
     repeated = stage(judged.where("stays and times > 1").select(F.col("doc").alias("gone_doc"), F.col("version").alias("gone_version")), "repeated")
 

@@ -125,6 +125,20 @@ from queued q left join takes t on q.doc_id = t.doc_id and q.up_to = t.up_to and
 """
 
 
+_OP9 = r"""with recursive words as materialized (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingled as materialized (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+                                 when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words
+), sizes as materialized (select doc_id, count(*) as n from shingled group by doc_id),
+links as materialized (
+  select x.doc_id as a, y.doc_id as b from shingled x join shingled y using (s) join sizes p on p.doc_id = x.doc_id join sizes q on q.doc_id = y.doc_id
+  group by x.doc_id, y.doc_id having 100 * count(*) >= 75 * (any_value(p.n) + any_value(q.n) - count(*))
+), reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(least(doc_id, c), doc_id) as component_id
+from documents left join sizes using (doc_id) left join (select a as doc_id, min(b) as c from reach group by a) using (doc_id)
+"""
+
 
 def _op11(k: int = 16, rounds: int = 3) -> str:
     """Every round as a nearest centroid by full comparison and a floor of sums."""
@@ -173,5 +187,6 @@ ORACLES = {
     "op4_decontaminate": _OP4,
     "op5_license_scan": _OP5,
     "op6_mixing": _OP6,
+    "op9_jaccard_join": _OP9,
     "op11_clustering": _op11(),
 }
