@@ -1,0 +1,167 @@
+"""Packed runs, pruned buckets, even ranges for scans."""
+
+import glob
+import json
+import os
+from datetime import datetime
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tierline.functions.stamps import stamp
+from tierline.operators import keyed
+from tierline.plans import stages
+from tierline.plans.stages import Layers, bronze_stage
+from tierline.schemas import GOLD, LOCATION_COLUMNS, SILVER
+from tierline.sources import jdbc, lake
+from tierline.sources.bronze import BronzeStore
+
+SCHEMA = T.StructType([T.StructField("n", T.LongType()), T.StructField("place", T.StringType())])
+
+
+def _write(spark, base, run, first, rows=20, **options):
+    df = spark.range(first, first + rows).select(F.col("id").alias("n"), F.when(F.col("id") % 4 > 0, F.concat(F.lit("p"), F.col("id") % 4)).alias("place"))
+    return lake.write_run(df, base, run, ["place"], **options)
+
+
+def _rows(spark, base, runs=None):
+    return sorted((r.run_id, r.n, r.place or "") for r in lake.read_runs(spark, base, SCHEMA, runs).collect())
+
+
+def _files(base):
+    return sorted(f for f in glob.glob(f"{base}/**/*.parquet", recursive=True))
+
+
+def test_packed_runs_read_the_same(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    for n in range(5):
+        _write(spark, base, f"run{n}", n * 100)
+    before, files = _rows(spark, base), len(_files(base))
+    reader = lake.read_runs(spark, base, SCHEMA)
+    packs = lake.compact(spark, base, SCHEMA, ["place"])
+    assert len(packs) == 1 and lake.compact(spark, base, SCHEMA, ["place"]) == []
+    assert all("_packs" in f for f in lake.read_runs(spark, base, SCHEMA).inputFiles())
+    assert _rows(spark, base) == before and sorted((r.run_id, r.n, r.place or "") for r in reader.collect()) == before
+    assert _rows(spark, base, ["run_id=run3"]) == [r for r in before if r[0] == "run3"]
+    assert lake.drop_packed(spark, base) == [f"run_id=run{n}" for n in range(5)]
+    assert _rows(spark, base) == before and len(_files(base)) <= 4 < files
+    assert lake.list_runs(spark, base) == [f"run_id=run{n}" for n in range(5)] and lake.latest_run(spark, base) == "run_id=run4"
+    assert os.listdir(f"{base}/{lake.STAGING}") == []
+
+
+def test_a_run_written_again_leaves_its_pack(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    for n in range(3):
+        _write(spark, base, f"run{n}", n * 100)
+    lake.compact(spark, base, SCHEMA, ["place"])
+    lake.drop_packed(spark, base)
+    _write(spark, base, "run1", 5000)
+    _write(spark, base, "run3", 300)
+    want = sorted((f"run{n}", i, f"p{i % 4}" if i % 4 else "") for n, first in ((0, 0), (1, 5000), (2, 200), (3, 300)) for i in range(first, first + 20))
+    assert _rows(spark, base) == want
+    # Packed once more: the old pack is part of the new one, and goes.
+    assert len(lake.compact(spark, base, SCHEMA, ["place"])) == 1
+    assert _rows(spark, base) == want
+    lake.drop_packed(spark, base)
+    assert _rows(spark, base) == want and len(glob.glob(f"{base}/_packs/*")) == 1
+    lake.drop_run(spark, base, "run0")
+    assert {r[0] for r in _rows(spark, base)} == {"run1", "run2", "run3"}
+
+
+def test_large_runs_are_left_and_bins_are_full(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    for n in range(3):
+        _write(spark, base, f"run{n}", n * 100)
+    assert lake.compact(spark, base, SCHEMA, ["place"], target_bytes=10) == []
+    assert lake.compact(spark, base, SCHEMA, ["place"], pack_bytes=10) == []
+    assert lake._bins({"a": 6, "b": 5, "c": 4, "d": 3, "e": 20}, 10) == [["a", "c"], ["b", "d"]]
+
+
+def test_stages_go_on_over_packed_layers(spark, tmp_path):
+    layers = Layers.under(str(tmp_path))
+    runs, times = [f"2024010{d}_0900" for d in (1, 2, 3)], [datetime(2024, 1, d, 9) for d in (1, 2, 3)]
+    for n, (run, as_of) in enumerate(zip(runs, times)):
+        rows = [(1, i, json.dumps({"id": k, "name": k, "brewery_type": f"kind {n}", "city": "x", "country": "y"})) for i, k in enumerate(("a", f"new {n}"))]
+        stages.refresh(spark, layers, spark.createDataFrame(rows, "page long, pos int, payload string"), run, as_of, scope="current")
+        if n:
+            assert len(lake.compact(spark, layers.silver, SILVER, LOCATION_COLUMNS)) == 1
+            lake.drop_packed(spark, layers.silver)
+    found = {r.brewery_type: r.total_breweries for r in lake.read_run(spark, layers.gold, GOLD).collect()}
+    assert found == {"Kind 0": 1, "Kind 1": 1, "Kind 2": 2}
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path):
+    store = BronzeStore(spark, str(tmp_path))
+    rows = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("id_api"), F.lit('{"v":1}').alias("payload")).withColumn("updated_at", stamp(datetime(2024, 1, 1)))
+    store.append(keyed.upsert_changes([], rows), "1")
+    store.compact(buckets=32)
+    return store
+
+
+def _bucket_of(spark, key, buckets):
+    """How the file names of a key's bucket end."""
+    number = spark.range(1).select(F.pmod(F.hash(F.lit(key)), F.lit(buckets))).first()[0]
+    return f"_{number:05d}.c000.snappy.parquet"
+
+
+def test_a_small_batch_reads_its_buckets(spark, bucketed):
+    batch = spark.createDataFrame([("k5", '{"v":2}'), ("k1700", '{"v":1.0}'), ("new", "{}")], "id_api string, payload string").withColumn("updated_at", stamp(datetime(2024, 1, 2)))
+    keys = keyed.few_keys(batch)
+    assert sorted(keys) == ["k1700", "k5", "new"]
+    (layer,) = bucketed.layers(keys=keys)
+    # No other bucket can be read.
+    for path in glob.glob(f"{bucketed.snapshot_path}/*/*.parquet"):
+        held = set(pq.read_table(path, columns=["id_api"])["id_api"].to_pylist())
+        if not held & set(keys) and not path.endswith(_bucket_of(spark, "new", 32)):
+            with open(path, "wb") as f:
+                f.write(b"no Parquet")
+    assert {r.id_api for r in layer.collect()} == {"k5", "k1700"}
+    changes = keyed.upsert_changes([layer], batch).collect()
+    assert {(r.id_api, r.op) for r in changes} == {("k5", "update"), ("new", "insert")}
+
+
+def test_snapshots_have_bloom_filters(spark, bucketed):
+    files = glob.glob(f"{bucketed.snapshot_path}/*/*.parquet")
+    # The reader used here does not show filters; a file with them is larger than its columns.
+    meta = [pq.ParquetFile(f).metadata for f in files]
+    columns = sum(m.row_group(g).column(c).total_compressed_size for m in meta for g in range(m.num_row_groups) for c in range(m.num_columns))
+    assert sum(map(os.path.getsize, files)) - sum(m.serialized_size for m in meta) > columns + 32 * len(files)
+
+
+def test_many_keys_are_no_literals(spark):
+    many = spark.range(keyed.MOST_LITERALS + 1).select(F.col("id").cast("string").alias("id_api"))
+    assert keyed.few_keys(many) is None
+    assert len(keyed.few_keys(many.limit(keyed.MOST_LITERALS))) == keyed.MOST_LITERALS
+    assert keyed.few_keys(many.limit(0)) == []
+
+
+def test_the_stage_prunes_too(spark, tmp_path, monkeypatch):
+    layers, asked = Layers.under(str(tmp_path)), []
+    real = BronzeStore.layers
+    monkeypatch.setattr(BronzeStore, "layers", lambda self, before=None, keys=None: asked.append(keys) or real(self, before, keys))
+    fetched = spark.createDataFrame([(1, 0, '{"id":"a","name":"x","brewery_type":"b","city":"c","country":"d"}')], "page long, pos int, payload string")
+    assert bronze_stage(spark, layers, fetched, "1", datetime(2024, 1, 1)).rows == 1
+    assert bronze_stage(spark, layers, fetched, "2", datetime(2024, 1, 2)).status == "skip"
+    assert asked.count(["a"]) == 2
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "date", "timestamp_ntz", "decimal(12,2)"])
+def test_ranges_hold_each_row_once(spark, kind):
+    number = F.when(F.col("id") % 5 == 0, 3).when(F.col("id") % 97 != 1, (F.col("id") % 1000) * (F.col("id") % 1000) / 100)
+    value = F.date_add(F.lit("2020-01-01").cast("date"), number.cast("int")).cast(kind) if kind in ("date", "timestamp_ntz") else number.cast(kind)
+    rows = spark.range(20_000).select("id", value.alias("v"))
+    for tie in (None, "id"):
+        ranges = jdbc.split_predicates(rows, "v", 10, tie)
+        hits = [F.expr(p) for p in ranges]
+        found = rows.select(F.size(F.filter(F.array(*hits), lambda h: h)).alias("n"), *[h.alias(f"r{i}") for i, h in enumerate(hits)])
+        sizes = found.agg(F.count_if(F.col("n") != 1), *[F.count_if(F.col(f"r{i}")) for i in range(len(ranges))]).first()
+        assert sizes[0] == 0 and sum(sizes[1:]) == 20_000
+        if tie:
+            assert max(sizes[1:]) <= 1.5 * 20_000 / 10
+
+
+def test_ranges_of_nothing(spark):
+    assert jdbc.split_predicates(spark.range(0), "id", 4) == ["1 = 1"]
+    assert jdbc.split_predicates(spark.range(10).select(F.lit(None).cast("int").alias("v")), "v", 4) == ["1 = 1"]

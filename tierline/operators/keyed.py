@@ -79,6 +79,16 @@ def row_bytes(*columns: str) -> Column:
     return F.coalesce(F.sum(size), F.lit(0))
 
 
+#: Keys that may stand in a filter as literals.
+MOST_LITERALS = 1000
+
+
+def few_keys(batch: DataFrame, key: str = KEY) -> list[str] | None:
+    """The different keys of a batch if they are few, else None. Reads no more than that."""
+    found = batch.select(key).distinct().limit(MOST_LITERALS + 1).collect()
+    return [r[0] for r in found] if len(found) <= MOST_LITERALS else None
+
+
 def upsert_broadcast(
     target: DataFrame,
     batch: DataFrame,

@@ -269,6 +269,17 @@ select page, pos, null::varchar as missing_keys, 'malformed' as reason from ({_C
 select o_orderkey, case o_orderkey % 6 when 3 then cents * 10 <> cents * 10 + 1 when 4 then true when 5 then cents <> -cents
                    else false end as differ
 from (select o_orderkey, round(o_totalprice * 100)::bigint as cents from orders)""",
+    "upsert_pruned": f"""
+with {_VERSIONS},
+last as (select * from (select *, row_number() over (partition by id_api order by ts desc, event_id desc) as nth
+                        from versions where ts >= timestamp '2024-01-30') where nth = 1)
+select id_api, '{{ "type": "' || l.event_type || '", "n": 1.0 }}' as payload, coalesce(t.ts, l.ts) as ingested_at, l.ts as updated_at,
+       case when t.ts is null then 'insert' else 'update' end as op
+from last l left join t using (id_api) where t.ts is null or t.kind <> l.event_type""",
+    "split_predicates": "select count(*) as n_rows, 0 as n_misplaced, true as even from orders",
+    "lake_compacted": f"""
+select * from ({_runs("id, name, country, state_province, brewery_type, latitude", _stored(_CUSTOMERS), _stored(_SUPPLIERS))})
+union all select id, name, country, state_province, brewery_type, latitude, '20240104_0900' as run_id from ({_stored(_SUPPLIERS)})""",
     "stream_pages": f"select page, pos, id, name, city, phone from ({_CUSTOMERS})",
     "stream_reconcile": """
 select batch, n_read, n_read as n_written, 'proceed' as status, n as n_stored

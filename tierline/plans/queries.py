@@ -15,7 +15,7 @@ from tierline.plans import feeds
 from tierline.plans.stages import Layers, StageFailed, bronze_stage, gold_stage, refresh, silver_stage
 from tierline.schemas import BRONZE_CHANGES, GOLD, LOCATION_COLUMNS, PAGE_SIZE, SILVER
 from tierline.session import new_folder, prepare, ship_package, stage
-from tierline.sources import lake, pages
+from tierline.sources import jdbc, lake, pages
 from tierline.sources.bronze import BronzeStore
 from tierline.sources.jdbc import append_sink
 from tierline.sources.sink import LakeRunSink
@@ -32,6 +32,7 @@ SECOND = datetime(2024, 1, 3, 9)
 FIRST_RUN, REPEAT_RUN, SECOND_RUN = "20240101_0900", "20240102_0900", "20240103_0900"
 LATER, LATER_RUN, LATE_RUN = datetime(2024, 1, 4, 9), "20240104_0900", "20231231_0900"
 SPLIT = datetime(2024, 1, 16)
+LAST_DAY = datetime(2024, 1, 30)
 
 
 def query(run: Query) -> Query:
@@ -290,15 +291,16 @@ def key_check(spark, sf_dir):
     return keyed.key_check(feeds.table(spark, sf_dir, "events"), "user_id")
 
 
-def _event_versions(spark, sf_dir):
-    """Event types per user and hour of day: the state at SPLIT, and what came later.
+def _event_versions(spark, sf_dir, since: datetime = SPLIT):
+    """Event types per user and hour of day: the state at SPLIT, and what came later
+    (or ``since`` another time).
 
     Both sides write the same JSON value in a different spelling.
     """
     events = feeds.table(spark, sf_dir, "events").withColumn(
         "id_api", F.concat_ws("-", F.col("user_id"), F.hour("ts"))
     )
-    split = gates.stamp_like(events, "ts", SPLIT)
+    split, after = gates.stamp_like(events, "ts", SPLIT), gates.stamp_like(events, "ts", since)
 
     def latest(part, payload):
         newest = keyed.latest_per_key(part, "id_api", [F.desc("ts"), F.desc("event_id")])
@@ -306,7 +308,7 @@ def _event_versions(spark, sf_dir):
 
     kind = F.col("event_type")
     stored = latest(events.filter(F.col("ts") < split), F.format_string('{"n":1,"type":"%s"}', kind))
-    batch = latest(events.filter(F.col("ts") >= split), F.format_string('{ "type": "%s", "n": 1.0 }', kind))
+    batch = latest(events.filter(F.col("ts") >= after), F.format_string('{ "type": "%s", "n": 1.0 }', kind))
     return stored.withColumn("ingested_at", F.col("updated_at")), batch
 
 
@@ -345,6 +347,21 @@ def bronze_store(spark, sf_dir):
     return state.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ingested_at", "updated_at")})
 
 
+@query
+def upsert_pruned(spark, sf_dir):
+    """The events of the last day, a small batch, against a bucketed store: only the
+    buckets of its keys are read."""
+    target, _ = _event_versions(spark, sf_dir)
+    _, batch = _event_versions(spark, sf_dir, LAST_DAY)
+    store = BronzeStore(spark, new_folder(spark, "pruned"))
+    rows = target.withColumn("op", F.lit("insert"))
+    store.append(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_CHANGES.fields]), FIRST_RUN)
+    store.compact(buckets=64)
+    batch = stage(batch.withColumn("updated_at", F.col("updated_at").cast("timestamp")), "batch")
+    changes = keyed.upsert_changes(store.layers(keys=keyed.few_keys(batch)), batch)
+    return changes.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ingested_at", "updated_at")})
+
+
 # --- gates
 
 
@@ -447,6 +464,34 @@ def lake_scan(spark, sf_dir):
     return history.select("run_id", "id", "name", *LOCATION_COLUMNS, "brewery_type", "latitude")
 
 
+@query
+def lake_compacted(spark, sf_dir):
+    """The two silver runs packed into one, their own files removed, and a run added."""
+    base = _silver_lake(spark, sf_dir)
+    lake.compact(spark, base, SILVER, LOCATION_COLUMNS)
+    lake.drop_packed(spark, base)
+    lake.write_run(_supplier_silver(spark, sf_dir), base, LATER_RUN, LOCATION_COLUMNS)
+    history = lake.read_runs(spark, base, SILVER)
+    return history.select("run_id", "id", "name", *LOCATION_COLUMNS, "brewery_type", "latitude")
+
+
+@query
+def split_predicates(spark, sf_dir):
+    """Conditions that cut skewed orders, a third of them of one customer, into even ranges:
+    rows in no range or in several, and whether the largest is near the mean."""
+    orders = feeds.table(spark, sf_dir, "orders")
+    skewed = orders.withColumn("customer", F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.pow(F.col("o_custkey"), 2).cast("long")))
+    ranges = jdbc.split_predicates(skewed, "customer", 16, tie="o_orderkey")
+    hits = [F.expr(p).cast("int") for p in ranges]
+    sizes = [F.sum(hit) for hit in hits]
+    times = sum(hits[1:], hits[0])
+    return skewed.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(times != 1).alias("n_misplaced"),
+        (F.greatest(*sizes) <= 1.5 * F.count(F.lit(1)) / len(ranges)).alias("even"),
+    )
+
+
 @query
 def lake_pruned(spark, sf_dir):
     history = lake.read_runs(spark, _silver_lake(spark, sf_dir), SILVER)

@@ -17,6 +17,10 @@ from tierline.schemas import FETCHED, GOLD, GOLD_KEYS, LOCATION_COLUMNS, REQUIRE
 from tierline.sources import lake
 from tierline.sources.bronze import BronzeStore
 
+# Size of a batch's ids (see :func:`keyed.row_bytes`) from which they are not looked at one
+# by one to prune the store's buckets.
+PRUNE_BYTES = 256 << 10
+
 # Takes a run's written rows and its id; a repeated run comes with the same id again.
 Sink = Callable[[DataFrame, str], None]
 
@@ -117,7 +121,10 @@ def bronze_stage(
     batch = keyed.latest_per_key(rows, keyed.KEY, [F.desc("page"), F.desc("pos")])
 
     small_keys = rows.select(keyed.KEY) if id_bytes <= broadcast_bytes else None
-    written = store.append(keyed.upsert_changes(store.layers(run_id), batch, small_keys=small_keys, replaced=True), run_id)
+    few = keyed.few_keys(rows) if id_bytes <= PRUNE_BYTES else None
+    if few is not None:
+        small_keys = None
+    written = store.append(keyed.upsert_changes(store.layers(run_id, few), batch, small_keys=small_keys, replaced=True), run_id)
     # What bronze_gate finds out by counting: nothing is stored, or nothing is newer.
     if not store.runs(run_id):
         raise StageFailed("bronze: table is empty")

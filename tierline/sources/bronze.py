@@ -11,6 +11,7 @@ as a whole; a run that is repeated finds the state before its first try.
 
 import hashlib
 import re
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,6 +26,9 @@ from tierline.sources import lake
 BUCKET_BYTES = 256 << 20
 LEAST_BUCKETS = 8
 
+# Most bytes of a row group's Bloom filter on the key.
+BLOOM_BYTES = 1 << 20
+
 # Change runs, or part of the snapshot's size, from which they are folded into it.
 FOLD_RUNS = 8
 FOLD_SHARE = 0.25
@@ -57,17 +61,20 @@ class BronzeStore:
         changes = self._visible(self.changes_path, run_id, inclusive)
         return snapshot, [c for c in changes if snapshot is None or c > _run_of(snapshot)]
 
-    def layers(self, before: str | None = None) -> list[DataFrame]:
+    def layers(self, before: str | None = None, keys: Sequence[str] | None = None) -> list[DataFrame]:
         """Snapshot and later changes, oldest first, each unique per key.
 
         ``before`` hides that run and newer ones, so a retry starts from the same state.
+        With ``keys``, few literals, only their rows: of the snapshot the buckets that hold
+        them are read, and of the files the row groups whose Bloom filters may.
         """
         snapshot, changes = self._parts(before)
         layers = []
+        wanted = F.lit(True) if keys is None else F.col(KEY).isin(list(keys))
         if snapshot:
-            layers.append(self._snapshot(snapshot))
+            layers.append(self._snapshot(snapshot).where(wanted))
         if changes:
-            log = self._log(changes)
+            log = self._log(changes).where(wanted)
             # One run holds a key once; only several runs need versioning.
             if len(changes) > 1:
                 log = latest_per_key(log.select(*BRONZE.fieldNames(), "run_id"), KEY, [F.desc("run_id")])
@@ -232,6 +239,9 @@ class BronzeStore:
         table = self._table_name(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         writer = state.write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
+        # The size of a filter follows from the keys a row group holds, up to this many bytes.
+        writer = writer.option(f"parquet.bloom.filter.enabled#{KEY}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer = writer.option("parquet.bloom.filter.max.bytes", str(BLOOM_BYTES))
         writer.option("path", path).format("parquet").saveAsTable(table)
         return name
 

@@ -1,5 +1,6 @@
 """JDBC scan and sinks. The lake is written first; a database copy derives from it."""
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
@@ -24,6 +25,54 @@ def range_options(column: str, lower: object, upper: object, partitions: int) ->
     }
 
 
+def split_predicates(rows: DataFrame, column: str, parts: int, tie: str | None = None, accuracy: int = 10_000) -> list[str]:
+    """SQL conditions that cut a table into about ``parts`` ranges of equally many rows, each
+    row in exactly one: the ``predicates`` of :func:`jdbc_delta_scan`, for a column whose
+    values are spread unevenly.
+
+    The bounds are quantiles of ``rows`` (the column as an earlier load has it, or a sample),
+    from a sketch of ``accuracy``; only they reach the driver. Numbers, dates and timestamps
+    may be split. A value that fills several ranges by itself becomes as many, by the
+    remainder of the whole-number column ``tie``; without one it is one range. Nulls, and
+    values beyond those known, are in the first and last range.
+    """
+    kind = rows.schema[column].dataType.simpleString()
+    wanted = [n / parts for n in range(1, parts)]
+    found = rows.agg(F.percentile_approx(column, wanted, accuracy).cast("array<string>")).first()[0] or []
+    literal = (lambda v: v) if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal") else (lambda v: f"{_SQL_TYPES.get(kind, '')}'{v}'")
+    bounds = [literal(v) for v in dict.fromkeys(found)]
+    fills = Counter(map(literal, found))
+    if not bounds:
+        return ["1 = 1"]
+    predicates = [f"({column} < {bounds[0]} OR {column} IS NULL)"]
+    for n, bound in enumerate(bounds):
+        low = ">="
+        if tie is not None and fills[bound] > 1:
+            # The value's rows fill what lies between its first and its last bound, and some.
+            k = _prime_from(max(fills[bound] + 1, 5))
+            predicates += [f"({column} = {bound} AND {_remainder(tie, k)} = {i})" for i in range(k)]
+            low = ">"
+        upper = f" AND {column} < {bounds[n + 1]}" if n + 1 < len(bounds) else ""
+        predicates.append(f"({column} {low} {bound}{upper})")
+    return predicates
+
+
+# How SQL marks the type of a literal.
+_SQL_TYPES = {"date": "DATE ", "timestamp": "TIMESTAMP ", "timestamp_ntz": "TIMESTAMP "}
+
+
+def _prime_from(n: int) -> int:
+    """The first prime from n on: keys that go up in steps spread evenly over it."""
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def _remainder(column: str, k: int) -> str:
+    """0 to k - 1 for any whole number; 0 for null."""
+    return f"ABS(MOD(COALESCE({column}, 0), {k}))"
+
+
 def jdbc_delta_scan(
     spark: SparkSession,
     url: str,

@@ -22,6 +22,7 @@ from tierline.functions.stamps import moment
 
 RUN_PREFIX = "run_"
 STAGING = "_staging"
+PACKS = "_packs"
 TOKEN_PREFIX = "_token."
 
 # Takes the rows of a run as read back before they are published, and their number;
@@ -212,8 +213,17 @@ def read_runs(spark: SparkSession, base: str, schema: T.StructType, runs: Sequen
     full = T.StructType(schema.fields + [T.StructField("run_id", T.StringType())])
     if not runs:
         return spark.createDataFrame([], full)
-    paths = [f"{base.rstrip('/')}/{name}" for name in runs]
-    return spark.read.schema(full).option("basePath", base).parquet(*paths)
+    packed = _packed(spark, base)
+    paths = [f"{base.rstrip('/')}/{name}" for name in runs if name not in packed]
+    parts = [spark.read.schema(full).option("basePath", base).parquet(*paths)] if paths else []
+    for pack in sorted({packed[name] for name in runs if name in packed}):
+        held = [name.removeprefix("run_id=") for name in runs if packed.get(name) == pack]
+        rows = spark.read.schema(full).option("basePath", pack).parquet(pack)
+        parts.append(rows.where(F.col("run_id").isin(held)).select(*full.fieldNames()))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.select(*full.fieldNames()).unionByName(part)
+    return whole
 
 
 def read_run(spark: SparkSession, base: str, schema: T.StructType, run: str | None = None) -> DataFrame:
@@ -222,6 +232,114 @@ def read_run(spark: SparkSession, base: str, schema: T.StructType, run: str | No
     return read_runs(spark, base, schema, [run]).select(*schema.fieldNames())
 
 
+def _read_text(spark: SparkSession, path: str) -> str:
+    target, fs = _path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _packs(spark: SparkSession, base: str) -> dict[str, dict[str, str]]:
+    """Packs, oldest first, with the runs and tokens each of them holds."""
+    found = sorted(path.toString() for path in _found(spark, f"{base.rstrip('/')}/{PACKS}/pack_*/_runs"))
+    return {path.rpartition("/")[0]: dict(line.split(" ") for line in _read_text(spark, path).splitlines()) for path in found}
+
+
+def _packed(spark: SparkSession, base: str) -> dict[str, str]:
+    """The newest pack that holds a run as it was written last, by run."""
+    packs = _packs(spark, base)
+    tokens = commits(spark, base) if packs else {}
+    return {run: pack for pack, held in packs.items() for run, token in held.items() if tokens.get(run) == token}
+
+
+def _bins(sizes: dict[str, int], capacity: int) -> list[list[str]]:
+    """Names in as few bins as first fit, largest first, finds; larger ones are left out."""
+    bins: list[list] = []
+    for name in sorted((n for n in sizes if sizes[n] <= capacity), key=lambda n: (-sizes[n], n)):
+        place = next((b for b in bins if b[0] + sizes[name] <= capacity), None)
+        if place is None:
+            bins.append([sizes[name], [name]])
+        else:
+            place[0] += sizes[name]
+            place[1].append(name)
+    return [names for _, names in bins]
+
+
+def compact(
+    spark: SparkSession, base: str, schema: T.StructType, partition_by: Sequence[str] = (), target_bytes: int = 128 << 20, pack_bytes: int = 32 << 30
+) -> list[str]:
+    """Pack the rows of runs with small files together, ``run_id`` as a column; returns the
+    new packs' folders.
+
+    Runs whose files are smaller than half of ``target_bytes`` on average, and packs that
+    hold such runs, are put into bins of at most ``pack_bytes``; each bin of two or more
+    becomes a pack, with files of about ``target_bytes``, at least one a directory. A pack
+    appears by a rename with the list of what it holds, and from then on every reader of
+    :func:`read_runs` takes those runs from it; one that began before goes on with the old
+    files until :func:`drop_packed`. A run written again is read from its folder. The rows
+    are counted before a pack is published. Run names, and what was noted, stay.
+    """
+    tokens, packs, packed = commits(spark, base), _packs(spark, base), _packed(spark, base)
+    units = {run: [run] for run, token in tokens.items() if token and run not in packed}
+    units |= {pack: held for pack in packs if (held := sorted(r for r, p in packed.items() if p == pack))}
+    sizes = {}
+    for name in units:
+        path, fs = _path(spark, name if name in packs else f"{base.rstrip('/')}/{name}")
+        summary = fs.getContentSummary(path)
+        if summary.getLength() < target_bytes / 2 * max(summary.getFileCount(), 1):
+            sizes[name] = summary.getLength()
+    made = []
+    for names in _bins(sizes, pack_bytes):
+        runs = sorted(run for name in names for run in units[name])
+        if len(names) > 1:
+            made.append(_pack(spark, base, schema, partition_by, target_bytes, runs, tokens, len(packs) + len(made)))
+    return made
+
+
+def _pack(spark: SparkSession, base: str, schema: T.StructType, partition_by: Sequence[str], target_bytes: int, runs: list[str], tokens: dict, number: int) -> str:
+    name = f"pack_{number:08d}_{uuid.uuid4().hex}"
+    staging, place = (f"{base.rstrip('/')}/{folder}/{name}" for folder in (STAGING, PACKS))
+    rows, seen = read_runs(spark, base, schema, runs), Observation()
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, str(target_bytes))
+    try:
+        # A reader of one run skips row groups of others.
+        placed = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, "run_id")
+        writer = placed.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
+        expected = rows.count()
+        if seen.get["n"] != expected:
+            raise RuntimeError(f"packed {seen.get['n']} rows of {expected}")
+        write_note(spark, f"{staging}/_runs", "\n".join(f"{run} {tokens[run]}" for run in runs))
+        source, fs = _path(spark, staging)
+        make_folder(spark, f"{base.rstrip('/')}/{PACKS}")
+        if not fs.rename(source, _path(spark, place)[0]):
+            raise OSError(f"cannot publish {place}")
+    finally:
+        spark.conf.set(advisory, before)
+        drop_folder(spark, staging)
+    return place
+
+
+def drop_packed(spark: SparkSession, base: str) -> list[str]:
+    """Remove the data files of runs that a pack holds, but not the runs' markers, and packs
+    that newer ones stand for: call it when no reader of before the packing is left, and not
+    beside a catalog table of :func:`publish`, which reads the runs' folders. Returns the
+    names of the runs."""
+    packed = _packed(spark, base)
+    for run in packed:
+        path, fs = _path(spark, f"{base.rstrip('/')}/{run}")
+        for status in fs.listStatus(path):
+            if not status.getPath().getName().startswith(("_", ".")):
+                fs.delete(status.getPath(), True)
+    for pack in set(_packs(spark, base)) - set(packed.values()):
+        drop_folder(spark, pack)
+    return list(packed)
+
+
 def run_stamp(run: DataFrame, ts: str) -> datetime | None:
     """The one stamp that all rows of a run carry; None without rows. Reads one row."""
     row = run.select(F.unix_micros(ts)).first()
