@@ -49,7 +49,7 @@ def split_predicates(rows: DataFrame, column: str, parts: int, tie: str | None =
         low = ">="
         if tie is not None and fills[bound] > 1:
             # The value's rows fill what lies between its first and its last bound, and some.
-            k = _prime_from(max(fills[bound] + 1, 5))
+            k = fills[bound] + 1
             predicates += [f"({column} = {bound} AND {_remainder(tie, k)} = {i})" for i in range(k)]
             low = ">"
         upper = f" AND {column} < {bounds[n + 1]}" if n + 1 < len(bounds) else ""
@@ -61,16 +61,17 @@ def split_predicates(rows: DataFrame, column: str, parts: int, tie: str | None =
 _SQL_TYPES = {"date": "DATE ", "timestamp": "TIMESTAMP ", "timestamp_ntz": "TIMESTAMP "}
 
 
-def _prime_from(n: int) -> int:
-    """The first prime from n on: keys that go up in steps spread evenly over it."""
-    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
-        n += 1
-    return n
+# The factor and prime modulus of the minimal standard generator.
+_FACTOR, _PRIME = 48271, 2147483647
 
 
 def _remainder(column: str, k: int) -> str:
-    """0 to k - 1 for any whole number; 0 for null."""
-    return f"ABS(MOD(COALESCE({column}, 0), {k}))"
+    """0 to k - 1 for any whole number, null as 0. Keys that go up in steps of k would all
+    have one remainder, so they are mixed first, in terms that any database knows."""
+    mixed = f"MOD(ABS(CAST(COALESCE({column}, 0) AS BIGINT)), {_PRIME})"
+    for _ in range(2):
+        mixed = f"MOD({mixed} * {_FACTOR}, {_PRIME})"
+    return f"MOD({mixed}, {k})"
 
 
 def jdbc_delta_scan(
