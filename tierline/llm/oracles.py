@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-from tierline.llm.license_scan import EQUIVALENT, KNOWN
+from tierline.llm.license_scan import DIGESTS, EQUIVALENT, KNOWN, TITLES
 
 _OP3 = r"""
 with turns as (
@@ -71,27 +71,53 @@ group by docs.id, items.id having count(*) * 100 >= any_value(n) * 75
 
 
 def _canonical(text: str) -> str:
+    """Single words are spelled by a look-up, pairs of words in text whose words stand two
+    blanks apart."""
     bare = rf"regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n(©]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9]{{4}}|by )|\(c\)|©|all rights reserved)[^\n]*$', '', 'g')"
-    out = rf"' ' || trim(regexp_replace({bare}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
-    for a, b in EQUIVALENT:
-        out = f"replace({out}, ' {a} ', ' {b} ')"
-    return f"trim({out})"
+    words = rf"string_split(trim(regexp_replace({bare}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"
+    single = ", ".join(f"{_quoted(x)}: {_quoted(y)}" for x, y in EQUIVALENT if " " not in x)
+    out = f"'  ' || array_to_string(list_transform({words}, lambda w: coalesce(map {{{single}}}[w], w)), '  ') || '  '"
+    for x, y in EQUIVALENT:
+        if " " in x:
+            out = f"replace({out}, {_quoted('  ' + x.replace(' ', '  ') + '  ')}, {_quoted('  ' + y.replace(' ', '  ') + '  ')})"
+    return f"trim(replace({out}, '  ', ' '))"
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_TITLED = [(a, f"{title}\n{t}") for a, title in TITLES for of, t in KNOWN if a == of and "\n" in t]
+
 _OP5 = rf"""
-with known as (
+with plain as materialized (
   select distinct license, {_canonical("t")} as c from (values {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}) k(license, t)
+), known as materialized (
+  select * from plain union
+  select license, {_canonical("t")} as c from (values {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in _TITLED)}) k(license, t)
 ), units as (
   select doc_id, 'text' as unit, text as u from documents
   union all select doc_id, 'paragraph', p from (
     select doc_id, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) as p from documents where regexp_matches(text, '\n[ \t\r]*\n')) where contains(p, chr(10))
   union all select doc_id, 'line', unnest(string_split(text, chr(10))) from documents where contains(text, chr(10))
+), digests(license, head, chars, digest) as (
+  values {", ".join(f"({_quoted(a)}, {_quoted(h)}, {n}, {_quoted(d)})" for a, h, n, d in DIGESTS)}
+), canonical as materialized (
+  select doc_id, unit, {_canonical("u")} as c from units
+), parted as (
+  select doc_id, list_filter(list_transform(regexp_split_to_array(text, '\n[ \t\r]*\n'), lambda p: {_canonical("p")}), lambda p: p <> '') as parts
+  from documents where regexp_matches(text, '\n[ \t\r]*\n')
+), begun as (
+  select doc_id, parts[i:] as parts, array_to_string(parts[i:], ' ') || ' ' as rest from parted, lateral (select unnest(range(1, len(parts))) as i) where len(parts) > 1
+), rows_found as (
+  select doc_id, license, 'paragraphs' as unit from begun join plain on starts_with(rest, c || ' ') and len(string_split(c, ' ')) > 4
+  where list_contains(list_transform(range(2, len(parts) + 1), lambda j: length(array_to_string(parts[1:j], ' '))), length(c))
+  union all select doc_id, license, 'paragraphs' from begun join digests on starts_with(rest, head || ' ') and sha256(rest[:chars]) = digest
+  where list_contains(list_transform(range(2, len(parts) + 1), lambda j: length(array_to_string(parts[1:j], ' '))), chars)
+  union all select doc_id, license, unit from canonical join known using (c)
+  union all select doc_id, license, unit from canonical join digests on length(c) = chars and sha256(c) = digest
 )
-select doc_id, license, unit, count(*) as n from (select doc_id, unit, {_canonical("u")} as c from units) join known using (c) group by all
+select doc_id, license, unit, count(*) as n from rows_found group by all
 """
 
 _OP6 = r"""
