@@ -46,3 +46,9 @@ def test_other_template(spark):
     row = format_chats(df, template).select(read_back(F.col("formatted"), template).alias("read"), loss_text(F.col("segments"), template).alias("learned"), "formatted").first()
     assert row["read"][0]["text"] == row["learned"] == "a {#end}\n{\\# b"
     assert row["formatted"] == "{#user\na {\\#end}\n{\\\\# b{#end}\n"
+
+
+def test_the_role_out_of_turn_is_named_as_it_is(spark):
+    rows = [(1, 1, "!!tool", "x"), (2, 1, "user", "x")]
+    out = format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r["conv_id"]: r["out_of_turn"] for r in out} == {1: "!!tool", 2: "user"}

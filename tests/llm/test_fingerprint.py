@@ -80,3 +80,22 @@ def test_query(spark):
 def test_one_and_no_document(spark):
     assert [tuple(r) for r in fp.with_next(spark.createDataFrame([(1, "ab")], "doc_id long, text string")).collect()] == [(1, "ab", "ab")]
     assert fp.with_next(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_clashing_names_are_kept_and_text_keys_refused(spark):
+    df = spark.createDataFrame([(1, "a b c d", "own", "old")], "doc_id long, text string, summed_ string, text_fingerprint string")
+    row = fp.fingerprints(df, "text").first()
+    assert row["summed_"] == "own" and row["text_fingerprint"] == fp.fingerprint("a b c d")
+    with pytest.raises(TypeError, match="whole numbers"):
+        fp.with_next(spark.createDataFrame([("x", "t")], "doc_id string, text string"))
+
+
+def test_fingerprints_equal_sums_by_hand():
+    """Identity lanes as sums of the lines' hashes, without the module's own arithmetic."""
+    text = "one line of it\n\n  one line of it\nanother"
+    lanes = [0] * fp.IDENTITY_LANES
+    for line in ("one line of it", "one line of it", "another"):
+        digest = hashlib.shake_128(line.encode()).digest(4 * len(lanes))
+        for i in range(len(lanes)):
+            lanes[i] = (lanes[i] + int.from_bytes(digest[4 * i : 4 * i + 4], "little")) % 2**32
+    assert fp.fingerprint(text).startswith("".join(x.to_bytes(4, "little").hex() for x in lanes))

@@ -80,3 +80,9 @@ def test_units_in_context_equal_the_library(library):
     for text, steps in zip(texts, counter.all_steps(texts), strict=True):
         want = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
         assert [0, *steps.cumsum().tolist()] == want, repr(text)
+
+
+def test_other_vocabularies_are_refused(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="normalizer, pre_tokenizer"):
+        prefix_counts(df, public_tokenizers.path("word_bpe_49k.json"))

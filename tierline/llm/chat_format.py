@@ -127,7 +127,7 @@ def format_chats(df: DataFrame, template: Template = Template(), key: str = "con
             F.col("key").alias(key),
             F.size("turns").cast("long").alias("n_turns"),
             ended.alias("valid"),
-            F.when(~ended, F.ltrim(state, F.lit("!"))).alias("out_of_turn"),
+            F.when(~ended, F.regexp_replace(state, "^!", "")).alias("out_of_turn"),
             "segments",
             F.array_join(F.col("segments")["text"], "").alias("formatted"),
         )

@@ -21,6 +21,13 @@ def python_tasks(spark: SparkSession, rows: int = 500, megabytes: int = 16) -> N
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one after it that no column has."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def text_or_empty(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -12,6 +12,7 @@ of its sketches. What the sketches find is verified on the shingles themselves.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.llm.common import small_side
 from tierline.session import stage
 
 SHINGLE = 5
@@ -58,16 +59,16 @@ def contained(documents: DataFrame, items: DataFrame, percent: int = THRESHOLD_P
     """
     docs = documents.select(documents[doc_key].alias("doc"), documents[doc_text].cast("string").alias("text"))
     test = stage(items.select(items[item_key].alias("item"), words(items[item_text].cast("string")).alias("words")), "items")
-    # Written tables: the planner knows their sizes, and broadcasts them only if small.
+    # A document's hashes are not shuffled as long as the probes, counted, are few.
     probes = stage(sketches(test, percent), "sketches")
     shingles = stage(test.select("item", F.explode(_shingles("words")).alias("shingle")).distinct(), "shingles")
 
-    # No document hash above every sketch can match; this is most of them.
+    # No document hash above every sketch can match: with long items, most of them.
     highest = probes.agg(F.max("probe")).first()[0]
     highest = F.lit(highest).cast("long")
     split = docs.where(F.col("text").isNotNull()).select("doc", words(F.col("text")).alias("words"))
     hashed = split.select("doc", F.explode(F.filter(_hashes("words"), lambda h: h <= highest)).alias("probe"))
-    candidates = stage(hashed.join(probes, "probe").select("doc", "item").distinct(), "candidates")
+    candidates = stage(hashed.join(small_side(probes), "probe").select("doc", "item").distinct(), "candidates")
 
     found = candidates.select(F.col("doc").alias("found")).distinct()
     texts = docs.join(found, F.col("doc").eqNullSafe(F.col("found")), "left_semi")

@@ -19,9 +19,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegralType
 
-from tierline.llm.common import python_tasks, text_or_empty
+from tierline.llm.common import free_name, python_tasks, text_or_empty
 from tierline.llm.hashing import MIXES, mixed
 from tierline.llm.hashing import words as hashed_words
 
@@ -118,8 +118,10 @@ def near(one: str, other: str) -> float:
 
 def fingerprints(df: DataFrame, *texts: str) -> DataFrame:
     """The rows of ``df`` with ``<text>_fingerprint`` for each column of ``texts``; a null
-    text has the fingerprint of an empty one, which is all zeros."""
+    text has the fingerprint of an empty one, which is all zeros. Columns that have these
+    names already are replaced, all others kept."""
     python_tasks(df.sparkSession)
+    held = free_name(df, "summed_")
     names = [f"{t}_fingerprint" for t in texts]
 
     @F.pandas_udf(", ".join(f"c{i} string" for i in range(len(texts))))
@@ -130,8 +132,8 @@ def fingerprints(df: DataFrame, *texts: str) -> DataFrame:
             known = dict(zip(different, fingerprint_all(different), strict=True))
             yield pd.DataFrame({f"c{i}": [known[t] for t in column] for i, column in enumerate(columns)})
 
-    made = df.withColumn("summed_", summed(*(F.col(t) for t in texts)))
-    return made.withColumns({n: F.col(f"summed_.c{i}") for i, n in enumerate(names)}).drop("summed_")
+    made = df.withColumn(held, summed(*(F.col(t) for t in texts)))
+    return made.withColumns({n: F.col(f"{held}.c{i}") for i, n in enumerate(names)}).drop(held)
 
 
 @F.pandas_udf(DoubleType())
@@ -167,11 +169,13 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
 def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``text`` and ``next_text``, the text of the next row by key, for the last
     row that of the first. Equal keys are ordered by the text's digest; null keys first,
-    null texts are empty.
+    null texts are empty. Keys are whole numbers; a column of another type is refused.
 
     Texts are shuffled once, by ranges of keys; the first row of a range is also sent to
     the range before it.
     """
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} is no column of whole numbers")
     rows = df.select(df[key].cast("long").alias("key"), text_or_empty(df[text].cast("string")).alias("text"))
     rows = rows.withColumn("tie", F.sha2("text", 256))
     bounds = _ranges(rows)

@@ -49,8 +49,9 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.
     ``repeats`` times its size, always whole copies.
 
     A null text has size 0, a null source is a source, a null key a key. Documents are
-    shuffled by a hash of their key, so reruns agree and repeated rows of equal size are
-    treated alike. The copy in which the budget ends is taken if more than half of it
+    shuffled by a hash of their key, so reruns agree. Rows of one key and size are queued one
+    behind the other, so the mix may take some of them and not the others; which of them is
+    all the same. The copy in which the budget ends is taken if more than half of it
     fits; so a source may miss its target by a document. Other columns are left out.
 
     No queue passes through one task: it is cut into slices of the shuffle order, whose

@@ -104,12 +104,28 @@ class _UnitSteps(dict):
         return steps
 
 
+def _refuse_unknown(spec: dict) -> None:
+    """Raise for a file whose settings would give other counts than are found here."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    unknown = [name for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges") if model.get(name)]
+    if model.get("type", "BPE") != "BPE":
+        unknown.append("model")
+    if spec.get("normalizer"):
+        unknown.append("normalizer")
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or split.get("use_regex") is False:
+        unknown.append("pre_tokenizer")
+    unknown += [f"added token {t['content']}" for t in spec.get("added_tokens", []) if any(t.get(name) for name in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if unknown:
+        raise ValueError(f"not a plain byte-level BPE file: {', '.join(unknown)}")
+
+
 class PrefixCounter(dict):
     """Counts of a vocabulary; as a dict, it maps pieces to the tokens of the whole piece."""
 
     def __init__(self, vocabulary: bytes):
         super().__init__()
         spec = json.loads(vocabulary)
+        _refuse_unknown(spec)
         letter = _byte_letters()
         raw = {text: bytes(letter[c] for c in text) for text in spec["model"]["vocab"] if all(c in letter for c in text)}
         self.tokens = {raw[text]: i for text, i in spec["model"]["vocab"].items() if text in raw}
@@ -377,13 +393,16 @@ def prefix_counts(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     ``vocabulary`` is the path of a byte-level BPE file of the tokenizers library; the
     driver reads it (a few MB) and sends it to the workers. A null text counts as empty
     (0 tokens). Repeated rows stay repeated rows, other columns are left out, an empty
-    table gives an empty one. Texts of any length are counted whole.
+    table gives an empty one. Texts of any length are counted whole. A file with a normaliser,
+    another split or other settings that are not known here is refused.
     """
     if budget is not None and (budget < 0 or not store):
         raise ValueError("a budget is a number of tokens, answered from the stored counts")
     python_tasks(df.sparkSession)
     with open(vocabulary, "rb") as f:
-        shipped = df.sparkSession.sparkContext.broadcast(f.read())
+        content = f.read()
+    _refuse_unknown(json.loads(content))
+    shipped = df.sparkSession.sparkContext.broadcast(content)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = counter(shipped.value)
