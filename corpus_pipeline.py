@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm import decontaminate, jaccard_join, language_id, mixing
-from tierline.llm.common import small_side, table
+from tierline.llm.common import free_name, small_side, table
 from tierline.session import stage
 
 #: A text's language is clear if its score is this part of the way from that of no
@@ -27,7 +27,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no recognisable language: null texts, texts without a letter and
     texts whose language is not clear. The labels of all documents are learned from."""
     columns = docs.columns
-    names = ("predicted_language_", "language_score_", "known_words_")
+    names = tuple(free_name(docs, n) for n in ("predicted_language_", "language_score_", "known_words_"))
     model = language_id.train(docs)
     chance = 1 / max(len(model.languages), 1)
     judged = language_id.identify(docs, model, names=names)
@@ -59,7 +59,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing sources to target weights", mixture),
 ]
 
-#: SQL cannot express language identification; the tests compare with brute force.
+#: SQL cannot express language identification; the tests compare it, and the other stages,
+#: with brute force.
 ORACLE_SQL = None
 
 
