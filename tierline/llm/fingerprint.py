@@ -127,6 +127,8 @@ def fingerprints(df: DataFrame, *texts: str) -> DataFrame:
     @F.pandas_udf(", ".join(f"c{i} string" for i in range(len(texts))))
     def summed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for columns in batches:
+            # One column comes by itself.
+            columns = columns if isinstance(columns, tuple) else (columns,)
             # Equal texts of a batch are hashed once.
             different = list(dict.fromkeys(t for column in columns for t in column))
             known = dict(zip(different, fingerprint_all(different), strict=True))
