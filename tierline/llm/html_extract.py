@@ -381,6 +381,8 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     every = NEAR_ROWS * (placed.count() // (NEAR_ROWS * MOST_RANGES) + 1)
     chosen = placed.select("place").where(F.pmod(F.xxhash64("place"), F.lit(every)) == 0).distinct().collect()
     bounds = spark.sparkContext.broadcast(sorted(r["place"] for r in chosen))
+    # Two areas a partition on average, whatever the session's number of partitions is.
+    parts = len(bounds.value) // 2 + 1
 
     page_type = "place string, lines array<bigint>, sizes array<int>, article boolean"
     parsed_type = f"key {carried}, url string, area int, texts array<string>, zones string, links string, {page_type}"
@@ -475,10 +477,10 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     parsed_type += ", rank int"
     if bounds.value:
         # Pages are parsed once more, for the ends of the areas: only lines are shuffled for that.
-        lines = parsed.select("area", "rank", *_Page._fields).repartition("area").sortWithinPartitions(*order)
+        lines = parsed.select("area", "rank", *_Page._fields).repartition(parts, "area").sortWithinPartitions(*order)
         edges = stage(lines.mapInPandas(ends, f"area int, rank int, {page_type}"), "page-edges")
         parsed = parsed.unionByName(pass_on(True).unionByName(pass_on(False)), allowMissingColumns=True)
     # Every area is read in order and then in reverse, where it lies: texts are shuffled once.
-    around = parsed.repartition("area").sortWithinPartitions(*order).mapInPandas(look_back, f"{parsed_type}, {near_type}").sortWithinPartitions(*(c.desc() for c in order))
+    around = parsed.repartition(parts, "area").sortWithinPartitions(*order).mapInPandas(look_back, f"{parsed_type}, {near_type}").sortWithinPartitions(*(c.desc() for c in order))
     made = around.mapInPandas(difference, f"key {carried}, url string, text string, n_chars long, n_shared long")
     return made.select(F.col("key").cast(kind).alias(key), F.col("url").alias(url), "text", "n_chars", "n_shared")
