@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.llm import mixing
 from tierline.llm.mixing import mix
@@ -53,3 +54,24 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark):
     assert sum(r["taken"] for r in out) in (500_000 * 1, 500_004, 500_008, 1_000_000, 1_000_008)
     assert mix(spark.createDataFrame([], SCHEMA)).count() == 0
     assert [r["taken"] for r in mix(spark.createDataFrame([(1, "", "s"), (2, None, "s")], SCHEMA)).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 10])
+def test_sums_before_are_those_of_one_level(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "BLOCK_BITS", bits)
+    rng = random.Random(bits)
+    rows = [(k, at, rng.randint(0, 9)) for k in "ab" for at in rng.sample(range(200), 60)]
+    df = spark.createDataFrame(rows, "k string, at long, n long")
+    got = {(r["k"], r["at"]): r["before"] for r in mixing._before(df, ["k"], "at", "n").collect()}
+    assert got == {(k, at): sum(n for j, b, n in rows if j == k and b < at) for k, at, _ in rows}
+    whole = df.groupBy("at").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    got = {r["at"]: r["before"] for r in mixing._before(whole, [], "at", "n").collect()}
+    assert got == {at: sum(n for _, b, n in rows if b < at) for _, at, _ in rows}
+
+
+def test_only_blocks_are_added_up_in_one_task(spark):
+    df = spark.range(5000).select(F.col("id").alias("at"), F.lit(1).alias("n"))
+    plan = mixing._before(df, [], "at", "n")._jdf.queryExecution().optimizedPlan().toString()
+    # One window over blocks, one over places that is cut by block.
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and all("windowspecdefinition(block#" in line for line in windows), plan

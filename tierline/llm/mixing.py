@@ -15,6 +15,9 @@ from tierline.session import stage
 #: Documents that a slice of a queue, or of virtual time, holds on average.
 SLICE_ROWS = 1024
 
+#: Bits of a place in a block of slices or spans; see :func:`_before`.
+BLOCK_BITS = 10
+
 #: Bits of the shuffle order.
 ORDER_BITS = 60
 
@@ -43,6 +46,21 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, repeat
     ).select("source", "words", "target")
 
 
+def _before(sums: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
+    """``sums`` (one row for each ``at`` of the ``keys``) with ``before``, the sum of
+    ``value`` over all smaller ``at`` of the same keys.
+
+    In two levels, so that not all rows of a key pass through one task: within blocks of
+    2^BLOCK_BITS consecutive ``at``, and over the sums of blocks."""
+    blocked = sums.withColumn("block", F.shiftright(at, BLOCK_BITS))
+    blocks = blocked.groupBy(*keys, "block").agg(F.sum(value).alias("of_block"))
+    over_blocks = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "block", F.coalesce(F.sum("of_block").over(over_blocks), F.lit(0)).alias("of_blocks"))
+    within = Window.partitionBy(*keys, "block").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    inside = blocked.withColumn("inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return inside.join(blocks, [*keys, "block"]).withColumn("before", F.col("of_blocks") + F.col("inside")).drop("block", "of_blocks", "inside")
+
+
 def mix(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per document: ``key``, ``source``, ``size`` (words), ``source_size``,
     ``target`` (its source's) and ``taken``: the words the mix takes of it, 0 to
@@ -55,7 +73,7 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.
     fits; so a source may miss its target by a document. Other columns are left out.
 
     No queue passes through one task: it is cut into slices of the shuffle order, whose
-    sums give each slice its start; so is virtual time.
+    sums, added up in two levels, give each slice its start; so is virtual time.
     """
     digest = F.md5(F.coalesce(df[key].cast("string"), F.lit("")))
     sized = stage(
@@ -76,8 +94,7 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.
     slices = stage(slices, "slices")
     aims = targets(slices.groupBy("source").agg(F.sum("words").alias("words")), weights, share, repeats)
     aims = aims.select(F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")).alias("queue"), F.col("words").alias("source_size"), "target")
-    ahead = Window.partitionBy("queue").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slices.select("queue", "slice", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start")).join(aims, "queue")
+    starts = _before(slices, ["queue"], "slice", "words").select("queue", "slice", F.col("before").alias("start")).join(aims, "queue")
 
     within = Window.partitionBy("queue", "slice").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     queued = stage(sized.withColumn("up_to", F.sum("size").over(within)).join(starts, ["queue", "slice"]).withColumn("up_to", F.col("up_to") + F.col("start")), "queued")
@@ -92,12 +109,12 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.
     copies = queued.where("size > 0 and target > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("number"))
     copies = timed(copies, F.col("number"))
     budget = aims.agg(F.sum("target")).first()[0] or 0.0
-    spans = copies.groupBy("span").agg(F.sum("size").alias("words")).withColumn("until", F.sum("words").over(Window.orderBy("span")))
+    spans = _before(stage(copies.groupBy("span").agg(F.sum("size").alias("words")), "spans"), [], "span", "words")
     # The span in which the budget is spent, and the last copy taken in it.
-    cut = spans.where(F.col("until") > budget).orderBy("span").limit(1).first()
+    cut = spans.where(F.col("before") + F.col("words") > budget).orderBy("span").limit(1).first()
     last = None
     if cut is not None:
-        spent = F.sum("size").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) + (cut["until"] - cut["words"])
+        spent = F.sum("size").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) + cut["before"]
         inside = copies.where(F.col("span") == cut["span"]).withColumn("spent", spent)
         last = inside.where(F.col("spent") - F.col("size") / 2 < budget).agg(F.max("at").alias("at")).first()["at"]
 
