@@ -244,3 +244,14 @@ def test_counts_that_do_not_add_up_are_refused(spark, layers, monkeypatch):
     with pytest.raises(StageFailed, match="counted 2 rows, there are 1"):
         gold_stage(spark, layers, RUNS[1], TIMES[1])
     assert lake.list_runs(spark, layers.gold) == [lake.run_name(RUNS[0])]
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_notes_read_alike_by_job_or_not(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(lake, "FEW_NOTES", few)
+    notes = {"a": ["one", "two"], "b.c": ["é"]}
+    for name, lines in notes.items():
+        lake.write_note(spark, f"{tmp_path}/notes/{name}", "\n".join(lines))
+    (tmp_path / "notes" / "_hidden").write_text("x")
+    assert lake.read_notes(spark, f"{tmp_path}/notes") == notes
+    assert lake.read_notes(spark, f"{tmp_path}/none") == {}

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tierline.functions.stamps import stamp, utc
 from tierline.operators import clean, counts, gates, keyed, records
@@ -335,8 +335,7 @@ def gold_stage(
     found: list[int] = []
 
     def audit(staged: DataFrame, written: int) -> None:
-        _reconciled("gold", staged, "processed_at", as_of, written)
-        total = staged.agg(F.coalesce(F.sum("total_breweries"), F.lit(0))).first()[0]
+        (total,) = _reconciled("gold", staged, "processed_at", as_of, written, F.coalesce(F.sum("total_breweries"), F.lit(0)))
         if expected is not None and total != expected:
             raise StageFailed(f"gold: counted {total} rows, there are {expected}")
         for check in audits:
@@ -378,11 +377,13 @@ def current_counts(
     return counts.gold_current(history, [F.desc("run_id")]), None
 
 
-def _reconciled(stage: str, run: DataFrame, ts: str, as_of: datetime, written: int) -> None:
-    """A run, read back, has as many rows of its stamp as were written."""
-    found = run.filter(F.col(ts) == stamp(as_of)).count()
+def _reconciled(stage: str, run: DataFrame, ts: str, as_of: datetime, written: int, *more: Column) -> list:
+    """A run, read back, has as many rows of its stamp as were written; returns what ``more``
+    aggregates find on the way."""
+    found, *others = run.agg(F.count_if(F.col(ts) == stamp(as_of)), *more).first()
     if found != written:
         raise StageFailed(f"{stage}: wrote {written} rows, found {found}")
+    return others
 
 
 def _same(stage: str, written: int, found: Sequence[int]) -> None:

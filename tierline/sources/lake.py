@@ -124,10 +124,15 @@ def drop_notes(spark: SparkSession, pattern: str, keep: str) -> None:
             drop_note(spark, path.toString())
 
 
+# Notes that are read one by one, without a job.
+FEW_NOTES = 64
+
+
 def read_notes(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Lines of all notes in a folder by file name, read as one small table."""
-    if not exists(spark, folder):
-        return {}
+    """Lines of all notes in a folder by file name; many are read as one small table."""
+    found = [path for path in _found(spark, f"{folder.rstrip('/')}/*") if not path.getName().startswith(("_", "."))]
+    if len(found) <= FEW_NOTES:
+        return {path.getName(): _read_text(spark, path.toString()).splitlines() for path in found}
     notes: dict[str, list[str]] = {}
     for name, line in spark.read.text(folder).select("_metadata.file_name", "value").collect():
         notes.setdefault(name, []).append(line)
