@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(warehouse))
+        # No checksum files: each file written costs a process here.
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         # Many short queries: quick compilation beats the best code.
         .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .getOrCreate()
