@@ -276,7 +276,7 @@ last as (select * from (select *, row_number() over (partition by id_api order b
 select id_api, '{{ "type": "' || l.event_type || '", "n": 1.0 }}' as payload, coalesce(t.ts, l.ts) as ingested_at, l.ts as updated_at,
        case when t.ts is null then 'insert' else 'update' end as op
 from last l left join t using (id_api) where t.ts is null or t.kind <> l.event_type""",
-    "split_predicates": "select count(*) as n_rows, 0 as n_misplaced, true as even from orders",
+    "split_predicates": "select count(*) as n_rows, 0::bigint as n_misplaced, true as even from orders",
     "lake_compacted": f"""
 select * from ({_runs("id, name, country, state_province, brewery_type, latitude", _stored(_CUSTOMERS), _stored(_SUPPLIERS))})
 union all select id, name, country, state_province, brewery_type, latitude, '20240104_0900' as run_id from ({_stored(_SUPPLIERS)})""",
