@@ -10,6 +10,7 @@ from pyspark.sql import functions as F, types as T
 
 from tierline.functions.stamps import stamp
 from tierline.operators import keyed
+from tierline.plans import feeds
 from tierline.schemas import LOCATION_COLUMNS, SILVER
 from tierline.sources import jdbc, lake, pages
 from tierline.sources.bronze import BronzeStore
@@ -299,3 +300,31 @@ def test_append_once(spark):
     with pytest.raises(RuntimeError, match="1 of the run's 3"):
         jdbc.append_once(run, "ts", run.limit(1), sent.append)
     assert len(sent) == 2
+
+
+# --- saved pages looked up one by one
+
+
+def test_a_saved_page_is_fetched_without_the_others(spark, tmp_path):
+    folder = f"{tmp_path}/pages"
+    rows = [(page, pos, f'{{"id":"{page}-{pos}"}}') for page in range(1, 101) for pos in (2, 0, 1)]
+    saved, fetch = feeds.saved_pages(spark.createDataFrame(rows, "page long, pos int, payload string").repartition(4), folder)
+    assert saved.columns == ["page", "pos", "payload"] and sorted(map(tuple, saved.collect())) == sorted(rows)
+    for page in (1, 31, 32, 33, 63, 64, 100):
+        assert fetch(page, 200) == [{"id": f"{page}-{pos}"} for pos in range(3)]
+    assert fetch(101, 200) == fetch(5000, 200) == []
+    # What a fetch reads does not grow with the table: files of other blocks are not opened.
+    for block in ("0", "2", "3"):
+        for file in glob.glob(f"{folder}/block={block}/*.parquet"):
+            with open(file, "wb") as f:
+                f.write(b"not a table")
+    assert fetch(40, 200) == [{"id": f"40-{pos}"} for pos in range(3)]
+
+
+def test_saved_pages_of_no_records_or_no_number(spark, tmp_path):
+    schema = "page long, pos int, payload string"
+    saved, fetch = feeds.saved_pages(spark.createDataFrame([], schema), f"{tmp_path}/none")
+    assert saved.count() == 0 and fetch(1, 200) == []
+    rows = [(None, None, "{}"), (1, 0, '{"a":1}'), (1, 0, '{"a":1}')]
+    saved, fetch = feeds.saved_pages(spark.createDataFrame(rows, schema), f"{tmp_path}/some")
+    assert saved.count() == 3 and fetch(1, 200) == [{"a": 1}, {"a": 1}]

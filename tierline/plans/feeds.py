@@ -4,10 +4,15 @@ Customers and suppliers become JSON records with the gaps a real feed has: nulls
 blanks, stray spaces and case, unreadable numbers.
 """
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierline.schemas import PAGE_SIZE, PAYLOAD_FIELDS
 
+#: Pages that are saved in one folder of :func:`saved_pages`: what a fetch reads to find its own.
+PAGES_PER_BLOCK = 32
 
 _schemas: dict[str, T.StructType] = {}
 
@@ -127,3 +132,31 @@ def pages(records: DataFrame) -> DataFrame:
     items = F.transform(F.array_sort(F.collect_list(F.struct("pos", "payload"))), lambda r: r["payload"])
     body = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
     return records.groupBy("page").agg(body.alias("body"))
+
+
+def saved_pages(records: DataFrame, folder: str) -> tuple[DataFrame, Callable[[int, int], list]]:
+    """Records written once, and a fetcher that looks a page up in them.
+
+    Pages lie in blocks, a folder each that is named after the page numbers in it, so a
+    fetch reads the folder of its block only, however many pages there are. A page that is
+    not there is empty.
+    """
+    block = F.floor(F.col("page") / PAGES_PER_BLOCK)
+    placed = records.withColumn("block", block).repartition("block").sortWithinPartitions("block", "page", "pos")
+    placed.write.mode("overwrite").partitionBy("block").parquet(folder)
+    pages_per_block = PAGES_PER_BLOCK
+
+    def fetch_page(number: int, per_page: int) -> list:
+        from pyarrow import dataset, fs
+
+        files, path = fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
+        path = f"{path}/block={number // pages_per_block}"
+        if files.get_file_info(path).type == fs.FileType.NotFound:
+            return []
+        # No threads: a worker holds what one page's block needs, one file after the other.
+        found = dataset.dataset(path, filesystem=files, format="parquet").to_table(
+            ["pos", "payload"], filter=dataset.field("page") == number, use_threads=False
+        )
+        return [json.loads(r["payload"]) for r in sorted(found.to_pylist(), key=lambda r: r["pos"])]
+
+    return records.sparkSession.read.schema(records.schema).parquet(folder).select(records.columns), fetch_page

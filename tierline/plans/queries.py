@@ -1,6 +1,5 @@
 """The registered queries: every operator over whole test tables."""
 
-import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -178,17 +177,9 @@ def page_files(spark, sf_dir):
 @query
 def page_source(spark, sf_dir):
     """The paged source over a fetcher that looks each page up in a table of pages."""
-    folder = new_folder(spark, "page_source")
     feed = _feed(spark, sf_dir)
-    feed.repartition("page").write.mode("overwrite").parquet(folder)
-    last = spark.read.schema(feed.schema).parquet(folder).agg(F.max("page")).first()[0]
-
-    def fetch_page(number: int, per_page: int) -> list:
-        from pyarrow import dataset, fs
-
-        files, path = fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
-        found = dataset.dataset(path, filesystem=files, format="parquet").to_table(filter=dataset.field("page") == number)
-        return [json.loads(r["payload"]) for r in sorted(found.to_pylist(), key=lambda r: r["pos"])]
+    saved, fetch_page = feeds.saved_pages(feed, new_folder(spark, "page_source"))
+    last = saved.agg(F.max("page")).first()[0]
 
     ship_package(spark)
     source = f"pages_{uuid.uuid4().hex}"
@@ -202,29 +193,20 @@ def _growing_feed(spark, sf_dir, name: str):
     """A stream over the customers' pages, and a function that lets so many of them be
     there; the totals and pages are read from the shared folder."""
     folder, feed = new_folder(spark, name), _feed(spark, sf_dir)
-    feed.repartition("page").write.mode("overwrite").parquet(f"{folder}/pages")
+    saved, fetch_page = feeds.saved_pages(feed, f"{folder}/pages")
 
-    def opened(path: str):
+    def fetch_total() -> str:
         from pyarrow import fs
 
-        return fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
-
-    def fetch_total() -> str:
-        files, path = opened(f"{folder}/total")
+        total = f"{folder}/total"
+        files, path = fs.FileSystem.from_uri(total if ":/" in total else f"file://{total}")
         return files.open_input_stream(path).read().decode()
 
-    def fetch_page(number: int, per_page: int) -> list:
-        from pyarrow import dataset
-
-        files, path = opened(f"{folder}/pages")
-        found = dataset.dataset(path, filesystem=files, format="parquet").to_table(filter=dataset.field("page") == number)
-        return [json.loads(r["payload"]) for r in sorted(found.to_pylist(), key=lambda r: r["pos"])]
-
     ship_package(spark)
     source = f"{name}_{uuid.uuid4().hex}"
     spark.dataSource.register(pages.paged_source(fetch_total, fetch_page, source))
     stream = spark.readStream.format(source).option("pagesPerTask", 2).load()
-    n_records = spark.read.schema(feed.schema).parquet(f"{folder}/pages").count()
+    n_records = saved.count()
     return stream, n_records, lambda total: lake.write_note(spark, f"{folder}/total", str(total))
 
 
