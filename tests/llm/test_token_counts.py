@@ -5,6 +5,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tierline.llm.queries import TOKEN_LIMIT, op8_token_counts
+from tierline.llm import token_counts
 from tierline.llm.token_counts import PrefixCounter, fitting_prefix, prefix_counts, unpack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,3 +87,43 @@ def test_other_vocabularies_are_refused(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(ValueError, match="normalizer, pre_tokenizer"):
         prefix_counts(df, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_narrow_texts_have_the_same_units():
+    random.seed(7)
+    counter = PrefixCounter(open(PATH, "rb").read())
+    narrow = [chr(i) for i in range(256)]
+    texts = [a + b for a in narrow for b in narrow]
+    texts += ["".join(random.choices([*narrow, " ", " ", "'", "'s", "'re", "\n"], k=12)) for _ in range(5000)]
+    for text in texts:
+        assert counter._units_of(text) == counter.unit.findall(text), repr(text)
+    assert counter._units_of("a é\u0153 \u2160") == ["a", " é\u0153", " \u2160"]
+
+
+def test_texts_are_split_once(monkeypatch):
+    counter, split = PrefixCounter(open(PATH, "rb").read()), []
+
+    class Counted:
+        def __init__(self, pattern):
+            self.pattern = pattern
+
+        def findall(self, text):
+            split.append(text)
+            return self.pattern.findall(text)
+
+        def finditer(self, text):
+            split.append(text)
+            return self.pattern.finditer(text)
+
+    for name in ("unit", "latin_unit"):
+        monkeypatch.setattr(counter, name, Counted(getattr(counter, name)), raising=False)
+    texts = ["the word", "漢字 the", "", "x" * 50]
+    want = [list(counter.prefixes(t)) for t in texts]
+    split.clear()
+    assert [[0, *s.cumsum().tolist()] for s in counter.all_steps(texts)] == want
+    assert split == texts
+    # Texts held together are bounded; one that is too long is not held as a list.
+    monkeypatch.setattr(token_counts, "LONG_TEXT", 9)
+    split.clear()
+    assert [[0, *s.cumsum().tolist()] for s in counter.all_steps(texts)] == want
+    assert split == texts

@@ -11,6 +11,7 @@ Nothing is encoded again to answer "how many tokens has the first k characters"
 
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, batched
@@ -26,9 +27,25 @@ from tierline.llm.common import python_tasks
 #: Fixed value: the split that byte-level vocabularies of this family are made for.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+
+def _units(space: str, letter: str, number: str) -> str:
+    words = "'s|'t|'re|'ve|'m|'ll|'d"
+    rest = rf"[{letter}]+|[{number}]+|[^{space}{letter}{number}]+"
+    return rf"[{space}]+(?:(?<! )(?:{words})|{rest})?|{words}|{rest}"
+
+
 #: The same split with white space and the piece after it in one unit: the counts of a
 #: unit's prefixes do not depend on what is around it.
-UNITS = r"\s+(?:(?<! )(?:'s|'t|'re|'ve|'m|'ll|'d)|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)?|'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
+UNITS = _units(r"\s", r"\p{L}", r"\p{N}")
+
+
+def _latin(kind: str) -> str:
+    """The code points below 256 of a kind, as the split knows it, for a class of ``re``."""
+    return "".join(re.escape(c) for c in map(chr, range(256)) if regex.match(kind, c))
+
+
+#: The same units of texts without other code points, for ``re``: it is twice as fast.
+LATIN_UNITS = _units(*map(_latin, (r"\s", r"\p{L}", r"\p{N}")))
 
 #: Pieces whose counts a worker remembers before it starts afresh.
 MEMO_PIECES = 1_000_000
@@ -152,6 +169,7 @@ class PrefixCounter(dict):
         self.added = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.split = regex.compile(SPLIT)
         self.unit = regex.compile(UNITS)
+        self.latin_unit = re.compile(LATIN_UNITS)
         self.units = _UnitSteps(self)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -304,17 +322,31 @@ class PrefixCounter(dict):
         except OverflowError:
             return np.concatenate([np.diff(self._unit_counts(u), prepend=0) for u in units]).astype(np.int32)
 
-    def _part_steps(self, part: str) -> np.ndarray:
-        if len(part) <= LONG_TEXT:
-            return self._joined(self.unit.findall(part))
+    def _units_of(self, part: str) -> list[str]:
+        try:
+            part.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.unit.findall(part)
+        return self.latin_unit.findall(part)
+
+    def _cut(self, text: str) -> list[tuple[str, bool, list[str] | None]]:
+        """The parts of a text with their units, if the text is not too long to hold them."""
+        return [(part, added, self._units_of(part) if not added and len(text) <= LONG_TEXT else None) for part, added in self._parts(text)]
+
+    def _part_steps(self, part: str, units: list[str] | None) -> np.ndarray:
+        if units is not None:
+            return self._joined(units)
         return np.concatenate([self._joined(some) for some in batched((m.group() for m in self.unit.finditer(part)), 1 << 16)])
 
     def prefix_steps(self, text: str) -> np.ndarray:
         """Item k is by how much the token count grows from the first k code points to
         the first k + 1, each prefix encoded on its own."""
+        return self._cut_steps(self._cut(text))
+
+    def _cut_steps(self, cut: list[tuple[str, bool, list[str] | None]]) -> np.ndarray:
         out = []
         total, before = 0, ""
-        for part, added in self._parts(text):
+        for part, added, units in cut:
             if added:
                 # Cut short, the string of an added token is text like any other.
                 pieces = self.split.findall(before)
@@ -324,14 +356,24 @@ class PrefixCounter(dict):
                 out.append(np.diff(counts).astype(np.int32))
                 total, before = total + 1, ""
             elif part:
-                out.append(self._part_steps(part))
+                out.append(self._part_steps(part, units))
                 total, before = total + int(out[-1].sum(dtype=np.int64)), part
         return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, dtype=np.int8), *out])
 
     def all_steps(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """:meth:`prefix_steps` of each text; the units of the texts are learned together first."""
-        self.units.learn({u for text in texts if len(text) <= LONG_TEXT for part, added in self._parts(text) if not added for u in self.unit.findall(part)})
-        return map(self.prefix_steps, texts)
+        """:meth:`prefix_steps` of each text; the units of some texts are learned together first."""
+        some, size = [], 0
+        for text in texts:
+            if some and size + len(text) > LONG_TEXT:
+                yield from self._learned(some)
+                some, size = [], 0
+            some.append(self._cut(text))
+            size += len(text)
+        yield from self._learned(some)
+
+    def _learned(self, cuts: list[list[tuple[str, bool, list[str] | None]]]) -> Iterator[np.ndarray]:
+        self.units.learn(set().union(*(units for cut in cuts for _, _, units in cut if units)))
+        return map(self._cut_steps, cuts)
 
     def prefixes(self, text: str) -> np.ndarray:
         """Item k is the token count of the first k code points, encoded on their own."""
